@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunelake.functions.pytext import truthy
-from tunelake.functions.sqltext import normalize_sql
+from tunelake.functions.sqltext import with_normal_sql
 
 
 def sides_from_columns(
@@ -27,10 +27,9 @@ def match_predictions(
 
     Both sides are normalized before the join, so only short text is shuffled.
     """
-    left = predictions.withColumn(
-        "prediction_norm", normalize_sql(F.col("prediction"), compat=compat))
-    right = truths.select(
-        key, normalize_sql(F.col("truth"), compat=compat).alias("truth_norm"))
+    left = with_normal_sql(predictions, "prediction", "prediction_norm", compat=compat)
+    right = with_normal_sql(
+        truths.select(key, "truth"), "truth", "truth_norm", compat=compat).drop("truth")
     return left.join(right, key).withColumn(
         "correct", F.col("prediction_norm") == F.col("truth_norm"))
 

@@ -32,8 +32,7 @@ def with_inputs(sql: str, uses: tuple[str, ...]) -> str:
     """Prefix a statement with the derived inputs it reads."""
     ctes = ",\n".join(f"{u} AS ({INPUTS[u].strip()})" for u in uses)
     body = sql.strip()
-    if not ctes:
-        return body
-    if body[:5].upper() == "WITH ":
-        return f"WITH {ctes},\n{body[5:]}"
-    return f"WITH {ctes}\n{body}"
+    for head in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(head):
+            return f"{head}{ctes},\n{body[len(head):]}" if ctes else body
+    return f"WITH {ctes}\n{body}" if ctes else body

@@ -38,9 +38,9 @@ formats AS (SELECT *, CASE WHEN n_msg IS NOT NULL THEN 'messages' WHEN n_conv IS
 # One row per message of every example, in SQL.
 MESSAGES = PARSED + """,
 conv AS (SELECT line_no, format, tools, k, json_extract(j, concat('$.conversations[', k, ']')) AS t
-  FROM (SELECT *, unnest(range(n_conv)) AS k FROM formats WHERE format = 'conversations')),
+  FROM (SELECT *, unnest(range(CAST(n_conv AS BIGINT))) AS k FROM formats WHERE format = 'conversations')),
 msg AS (SELECT line_no, format, tools, k, json_extract(j, concat('$.messages[', k, ']')) AS t
-  FROM (SELECT *, unnest(range(n_msg)) AS k FROM formats WHERE format = 'messages')),
+  FROM (SELECT *, unnest(range(CAST(n_msg AS BIGINT))) AS k FROM formats WHERE format = 'messages')),
 turns AS (
   SELECT line_no, format, CAST(NULL AS VARCHAR) AS tools, CAST(k AS INTEGER) AS pos,
     CASE WHEN json_extract_string(t, '$.from') IS NOT NULL THEN json_extract_string(t, '$.from') ELSE coalesce(json_extract_string(t, '$.role'), '') END AS raw_role,
@@ -181,7 +181,7 @@ def chat_instruct_to_messages(spark, sf_dir):
 
 @register("chat_tool_args", PARSED + """,
 calls AS (SELECT line_no, c, json_extract(j, concat('$.messages[2].tool_calls[', c, ']')) AS t
-  FROM (SELECT *, unnest(range(json_array_length(j, '$.messages[2].tool_calls'))) AS c FROM formats WHERE format = 'messages')),
+  FROM (SELECT *, unnest(range(CAST(json_array_length(j, '$.messages[2].tool_calls') AS BIGINT))) AS c FROM formats WHERE format = 'messages')),
 args AS (SELECT line_no, c, json_extract_string(t, '$.function.name') AS fn, json_extract_string(t, '$.name') AS flat,
   coalesce(json_extract(t, '$.function.arguments'), json_extract(t, '$.arguments')) AS a FROM calls)
 SELECT line_no, CAST(c AS INTEGER) AS call_pos, coalesce(fn, flat) AS name, fn IS NOT NULL AS nested,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tunelake.functions.sqltext import normalize_sql
+from tunelake.functions.sqltext import with_normal_sql
 from tunelake.operators import sqleval
 from tunelake.registry.core import register
 from tunelake.registry.inputs import derive
@@ -60,8 +60,7 @@ def eval_improvement(spark, sf_dir):
     "p", "long", "example_id, side", "prediction") + " SELECT * FROM p", FX)
 def sql_normalize(spark, sf_dir):
     preds = sqleval.sides_from_columns(_pairs(spark, sf_dir), SIDES, carry=["example_id"])
-    return preds.select(
-        "example_id", "side", normalize_sql(F.col("prediction")).alias("norm"))
+    return with_normal_sql(preds, "prediction", "norm").drop("prediction")
 
 
 @register("join_prediction_truth", MATCHED + """
