@@ -1,0 +1,30 @@
+"""Joins that hold when one key has most of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 16
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    spread_by: list[str],
+    how: str = "left",
+    *,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join a large left side to a lookup of distinct keys.
+
+    The left rows of one key, or of a null key, are spread over ``salts`` tasks
+    by a hash of ``spread_by``; the lookup is repeated once per salt. No side is
+    forced to broadcast: adaptive execution does so when the measured size of
+    the lookup allows it.
+    """
+    salt = "__salt"
+    spread = left.withColumn(salt, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    repeated = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return spread.join(repeated, [*keys, salt], how).drop(salt)

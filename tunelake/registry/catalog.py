@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunelake.registry import data_prep, sql_eval, tokens_splits  # noqa: F401
+from tunelake.registry import code_eval, data_prep, sql_eval, tokens_splits  # noqa: F401
 from tunelake.registry.core import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
