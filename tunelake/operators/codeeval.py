@@ -103,12 +103,15 @@ def with_known_names(
 
     A whitelist of at most ``max_inline`` symbols is handed to each row as one
     array, with no shuffle. A larger one is joined name by name, salted because
-    every row may call the same name.
+    every row may call the same name; the rows are then fixed first, since both
+    the join and the result read them.
     """
     used = F.array_distinct(F.concat(*[F.col(n) for n in names]))
     if whitelist.limit(max_inline + 1).count() <= max_inline:
         allowed = whitelist.agg(F.collect_set("symbol").alias("s")).scalar()
         return df.withColumn("known", F.array_intersect(used, allowed))
+    shared_dir(df.sparkSession)
+    df = df.checkpoint()
     called = df.select(*keys, F.explode(used).alias("symbol"))
     known = (
         salted_join(called, whitelist.select("symbol"), ["symbol"], keys, "inner")
