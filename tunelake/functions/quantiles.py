@@ -53,12 +53,11 @@ def index_quantiles(
     ])
     targets = (
         binned.groupBy(*keys, "__bin").agg(F.sum("__c").alias("__c"))
-        .select(
-            *keys, "__bin", "__c",
-            (F.sum("__c").over(upto) - F.col("__c")).alias("__before"),
-            F.sum("__c").over(whole).alias("n"),
-            F.explode(wanted).alias("__p"),
-        )
+        .withColumns({
+            "__before": F.sum("__c").over(upto) - F.col("__c"),
+            "n": F.sum("__c").over(whole),
+        })
+        .withColumn("__p", F.explode(wanted))
         .withColumn("__idx", F.least(F.col("n") - 1, F.floor(F.col("__p.q") * F.col("n"))))
         .filter(
             (F.col("__before") <= F.col("__idx"))
