@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunelake.operators import codeeval, execeval, perf, report, splits, sqleval
-from tunelake.sinks.records import append_new, read_records
+from tunelake.sinks.records import path_exists, read_records, write_records
 from tunelake.sinks.shared import shared_dir
 from tunelake.sources.predictions import attach_predictions
 
@@ -94,13 +94,17 @@ def evaluate_executions(
     The summary covers every stored record below ``limit``, whichever run wrote it.
     """
     keys = ["idx", "side"]
+    spark = runs.sparkSession
+    todo = runs
+    if path_exists(spark, path):
+        done = read_records(spark, path).filter(F.col("run_id") != run_id)
+        todo = runs.join(done.select(*keys), keys, "left_anti")
     scored = execeval.score_invariants(
-        execeval.attach_references(execeval.score_layers(runs), references, keys), tol)
-    columns = [
+        execeval.attach_references(execeval.score_layers(todo), references, keys), tol)
+    write_records(scored.select(
         *keys, "example_id", "skipped", "query_error", "has_code_block", *execeval.LAYERS,
-        "exec_category", "exec_error", "L5_reason"]
-    append_new_or_first(scored.select(*columns), path, run_id, keys)
-    records = read_records(runs.sparkSession, path)
+        "exec_category", "exec_error", "L5_reason"), path, run_id)
+    records = read_records(spark, path)
     if limit > 0:
         records = records.filter(F.col("idx") < limit)
     counts = execeval.layer_counts(records)
@@ -108,9 +112,3 @@ def evaluate_executions(
     return ExecutionEvaluation(
         records, counts, execeval.summary_table(counts), execeval.summary_document(counts, total))
 
-
-def append_new_or_first(records: DataFrame, path: str, run_id: str, keys: list[str]) -> None:
-    """Append new keys; a first run finds no table yet and writes an empty one."""
-    records.limit(0).withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy(
-        "run_id").parquet(path)
-    append_new(records, path, run_id, keys)

@@ -14,10 +14,19 @@ def write_records(records: DataFrame, path: str, run_id: str) -> None:
     )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table's folder is there, asked of the folder's own file system."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def append_new(records: DataFrame, path: str, run_id: str, keys: list[str]) -> None:
     """Write, as a run of its own, the records whose keys no other run holds yet."""
-    done = read_records(records.sparkSession, path).filter(F.col("run_id") != run_id)
-    write_records(records.join(done.select(*keys), keys, "left_anti"), path, run_id)
+    spark = records.sparkSession
+    if path_exists(spark, path):
+        done = read_records(spark, path).filter(F.col("run_id") != run_id)
+        records = records.join(done.select(*keys), keys, "left_anti")
+    write_records(records, path, run_id)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
