@@ -17,7 +17,23 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-NUM_BINS = 128
+# A power of two; each bin is searched out by halving.
+NUM_BINS = 1_024
+
+
+def _with_bin(df: DataFrame, num_bins: int) -> DataFrame:
+    """Add ``__bin``, the number of ``__edges`` below ``__x``, by binary search.
+
+    One column per step keeps the search inside generated code.
+    """
+    df = df.withColumn("__bin", F.lit(0))
+    step = num_bins // 2
+    while step:
+        at = F.col("__bin")
+        df = df.withColumn(
+            "__bin", at + F.when(F.get("__edges", at + (step - 1)) < F.col("__x"), step).otherwise(0))
+        step //= 2
+    return df
 
 
 def index_quantiles(
@@ -30,8 +46,11 @@ def index_quantiles(
 ) -> DataFrame:
     """One row per key: ``keys``, ``n`` and one column per entry of ``probs``.
 
-    Null values are left out; a group of nulls only does not appear.
+    Null values are left out; a group of nulls only does not appear. ``num_bins``
+    must be a power of two.
     """
+    if num_bins < 2 or num_bins & (num_bins - 1):
+        raise ValueError("num_bins must be a power of two")
     keys = list(keys)
     counts = (
         df.filter(F.col(value).isNotNull())
@@ -39,12 +58,9 @@ def index_quantiles(
     )
     cuts = [i / num_bins for i in range(1, num_bins)]
     edges = counts.groupBy(*keys).agg(
-        F.percentile_approx("__x", cuts, num_bins * 20).alias("__edges")
-    )
-    binned = counts.join(edges, keys).select(
-        *keys, "__x", "__c",
-        F.size(F.filter("__edges", lambda e: e < F.col("__x"))).alias("__bin"),
+        F.percentile_approx("__x", cuts, num_bins * 4).alias("__edges")
     )
+    binned = _with_bin(counts.join(edges, keys), num_bins).drop("__edges")
     upto = Window.partitionBy(*keys).orderBy("__bin")
     whole = Window.partitionBy(*keys)
     wanted = F.array(*[

@@ -132,12 +132,12 @@ def pack_wrapped(
     placed = (
         bucketed(df.select(id_col, "input_ids"), id_col,
                  num_buckets=num_buckets, bucket_rows=bucket_rows)
-        .filter(size > 0)
         .withColumn("__start", F.coalesce(F.sum(size).over(before), F.lit(0)))
     )
     first = F.floor(F.col("__start") / F.lit(max_len))
     last = F.floor((F.col("__start") + size - 1) / F.lit(max_len))
-    cuts = placed.select("*", F.explode(F.sequence(first, last)).alias("block"))
+    # An empty example has no block; exploding null leaves it out.
+    cuts = placed.select("*", F.explode(F.when(size > 0, F.sequence(first, last))).alias("block"))
     lo = F.greatest(F.col("block") * max_len, F.col("__start"))
     hi = F.least((F.col("block") + 1) * max_len, F.col("__start") + size)
     slices = cuts.select(

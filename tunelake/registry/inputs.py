@@ -11,6 +11,9 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tunelake.sinks.shared import size_of
+
+SPLIT_BYTES = 128 * 1024 * 1024
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -211,7 +214,7 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Run one derived input over the parquet tables under ``sf_dir``."""
     text = INPUTS[name]
     used = {
-        t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+        t: table(spark, sf_dir, t)
         for t in TABLES if re.search(rf"^FROM {t}\b", text, re.MULTILINE)
     }
     text = text.replace("{", "{{").replace("}", "}}")
@@ -220,5 +223,17 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **used)
 
 
+# Text tables with costly work per row, and their keys.
+TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. A text table too small to give every core a full split
+    often lies in one row group, so it is spread by key; a large one is read as
+    it is, without a shuffle."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if name in TEXT_KEYS and size_of(spark, path) < cores * SPLIT_BYTES:
+        return df.repartition(cores, TEXT_KEYS[name])
+    return df

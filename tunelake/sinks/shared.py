@@ -22,3 +22,10 @@ def shared_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes under a path, asked of the path's own file system."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(hadoop_path).getLength()

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunelake.functions.codetext import extract_code
-from tunelake.functions.ordered import BLOCK_ROWS, row_index
+from tunelake.functions.ordered import BLOCK_ROWS
 from tunelake.functions.pytext import is_blank, strip, text_or_empty
 from tunelake.functions.rows import select_where
 
@@ -137,14 +137,28 @@ def eval_window(
 ) -> DataFrame:
     """Number the non-blank lines from 0 and keep ``start_from <= idx < limit``.
 
-    ``limit`` of 0 means no limit.
+    ``limit`` of 0 means no limit. Lines are counted per block of line numbers;
+    only blocks that reach into the window are sorted.
     """
-    indexed = row_index(
-        lines.filter(~is_blank(F.col("value"))), order, "idx", block_rows=block_rows)
-    keep = F.col("idx") >= start_from
+    block, before = "__block", "__before"
+    filled = lines.filter(~is_blank(F.col("value"))).withColumn(
+        block, F.floor(F.col(order) / F.lit(block_rows)))
+    earlier = Window.partitionBy(F.lit(0)).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        filled.groupBy(block).agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn(before, F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    )
+    reached = F.col(before) + F.col("__n") > start_from
+    inside = F.col("idx") >= start_from
     if limit > 0:
-        keep = keep & (F.col("idx") < limit)
-    return indexed.filter(keep)
+        reached = reached & (F.col(before) < limit)
+        inside = inside & (F.col("idx") < limit)
+    in_block = F.row_number().over(Window.partitionBy(block).orderBy(order))
+    return (
+        filled.join(blocks.filter(reached).drop("__n"), block)
+        .withColumn("idx", F.col(before) + in_block - 1)
+        .filter(inside).drop(block, before)
+    )
 
 
 def sharegpt_eval_rows(classified: DataFrame, *carry: str) -> DataFrame:
