@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on the smallest tables."""
+"""Every registered query against its SQL, on the smallest tables, and its plan."""
 
 import pytest
 from oracle import compare, connect
@@ -14,7 +14,17 @@ def duck(sf_dir):
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, sf_dir, duck, name):
-    assert compare(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) == []
+    df = QUERIES[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert unwanted not in plan
+    assert compare(df, duck, ORACLES[name]) == []
+
+
+def test_pushdown_reaches_the_scan(spark, sf_dir):
+    plan = QUERIES["quantile_index"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_extendedprice:double,l_returnflag:string>" in plan
+    assert "PushedFilters: [IsNotNull(l_extendedprice)" in plan
 
 
 def test_entry_runs(spark):

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # A power of two; each bin is searched out by halving.
-NUM_BINS = 1_024
+NUM_BINS = 512
 
 
 def _with_bin(df: DataFrame, num_bins: int) -> DataFrame:

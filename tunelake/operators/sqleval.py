@@ -25,7 +25,8 @@ def match_predictions(
 ) -> DataFrame:
     """Join predictions to true answers and compare their normal forms.
 
-    Both sides are normalized before the join, so only short text is shuffled.
+    Both sides are normalized before the join. A report that needs no text moves
+    only the normal forms.
     """
     left = with_normal_sql(predictions, "prediction", "prediction_norm", compat=compat)
     right = with_normal_sql(
@@ -75,15 +76,17 @@ def fixed_examples(
     matched: DataFrame, *, key: str = "example_id", k: int = 5,
     base: str = "base", tuned: str = "tuned",
 ) -> DataFrame:
-    """First ``k`` keys, in key order, that the base side failed and the tuned side passed."""
-    return (
-        matched.groupBy(key).agg(
-            F.max(F.when(F.col("side") == base, F.col("correct"))).alias("base_ok"),
-            F.max(F.when(F.col("side") == tuned, F.col("correct"))).alias("tuned_ok"),
-            F.max(F.when(F.col("side") == base, F.col("prediction"))).alias("base_prediction"),
-            F.max(F.when(F.col("side") == tuned, F.col("prediction"))).alias("tuned_prediction"),
-        )
-        .filter(~F.col("base_ok") & F.col("tuned_ok"))
-        .orderBy(key).limit(k)
-        .select(key, "base_prediction", "tuned_prediction")
+    """First ``k`` keys, in key order, that the base side failed and the tuned side passed.
+
+    The keys are found from the marks alone; texts are fetched for ``k`` keys only.
+    """
+    def of(side: str, c: str) -> Column:
+        return F.max(F.when(F.col("side") == side, F.col(c)))
+
+    keys = (
+        matched.groupBy(key).agg(of(base, "correct").alias("b"), of(tuned, "correct").alias("t"))
+        .filter(~F.col("b") & F.col("t")).orderBy(key).limit(k).select(key)
     )
+    return matched.join(F.broadcast(keys), key).groupBy(key).agg(  # k rows at most
+        of(base, "prediction").alias("base_prediction"),
+        of(tuned, "prediction").alias("tuned_prediction"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tunelake.functions.ordered import BLOCK_ROWS, last_before, running_sum
 from tunelake.functions.pytext import first_match
+from tunelake.functions.rows import select_where
 
 # The line formats of the training log.
 TRAIN_LINE = r"^\[TRAIN\] step=(\d+)/(\S+) loss=(\S+) lr=(\S+)"
@@ -36,10 +37,10 @@ def metric_columns(value: Column) -> dict[str, Column]:
 def metrics(lines: DataFrame) -> DataFrame:
     """One row per metric line; works the same on a stream."""
     columns = metric_columns(F.col("value"))
-    keep = F.col("value").startswith("[TRAIN] step=") | F.col("value").startswith("[EVAL] eval_loss=")
-    return lines.filter(keep).select(
-        "file", "line_no", *[c.alias(n) for n, c in columns.items()]
-    ).filter(F.col("kind").isNotNull())
+    marked = lines.withColumn("kind", columns.pop("kind"))
+    return select_where(
+        marked, F.col("kind").isNotNull(), "file", "line_no", "kind",
+        *[c.alias(n) for n, c in columns.items()])
 
 
 def phase_event(value: Column) -> Column:

@@ -21,7 +21,18 @@ TABLES = (
 
 _FENCE = "repeat('`',3)"
 _NL = "chr(10)"
-_SIDES = "(SELECT 'base' AS side, 0 AS salt UNION ALL SELECT 'tuned' AS side, 1 AS salt) s"
+_BOTH_SIDES = """(
+SELECT *, 'base' AS side, 0 AS salt
+FROM part
+UNION ALL SELECT *, 'tuned' AS side, 1 AS salt
+FROM part
+) p"""
+_BOTH_FACTORS = """(
+SELECT *, 'A' AS f
+FROM part
+UNION ALL SELECT *, 'B' AS f
+FROM part
+) p"""
 
 
 def _escaped(col: str) -> str:
@@ -65,7 +76,7 @@ SELECT p_partkey AS example_id, side,
     ELSE concat('SELECT  p_name FROM part WHERE p_size = ', cast(p_size AS string)) END AS prediction,
   CASE WHEN side = 'base' AND p_partkey % 8 = 4 THEN 'URLError: timed out' END AS error,
   CASE WHEN side = 'base' AND p_partkey % 8 = 4 THEN 0 ELSE p_partkey % 900 + 1 END AS latency_ms
-FROM part CROSS JOIN {_SIDES}
+FROM {_BOTH_SIDES}
 """
 
 INPUTS["fx_code_pairs"] = f"""
@@ -81,7 +92,7 @@ SELECT p_partkey AS example_id, side,
     WHEN 5 THEN concat('Sorry, no ', p_name, '.')
     ELSE concat({_FENCE}, 'python', {_NL}, 'x = Box(1)', {_FENCE}) END AS prediction,
   CASE WHEN (p_partkey + 2 * salt) % 7 = 5 THEN 0 ELSE (p_partkey * 31 + salt) % 900 + 1 END AS latency_ms
-FROM part CROSS JOIN {_SIDES}
+FROM {_BOTH_SIDES}
 """
 
 INPUTS["fx_jsonl_lines"] = f"""
@@ -128,7 +139,7 @@ SELECT p_partkey AS idx, side,
     WHEN 3 THEN concat('Traceback (most recent call last):', {_NL}, '  File "<string>", line 3', {_NL}, 'NameError: name ', p_name, {_NL})
     WHEN 4 THEN concat('Traceback (most recent call last):', {_NL}, CASE WHEN p_partkey % 4 = 0 THEN '  File "<string>", SyntaxError' ELSE 'ValueError: bad ' END, repeat('x', 400))
     ELSE '' END AS stderr
-FROM part CROSS JOIN {_SIDES}
+FROM {_BOTH_SIDES}
 """
 
 INPUTS["fx_reference_invariants"] = """
@@ -182,7 +193,7 @@ SELECT concat('model.language_model.layers.', cast(p_partkey AS string),
 FROM part
 """
 
-INPUTS["fx_adapter_keys"] = """
+INPUTS["fx_adapter_keys"] = f"""
 SELECT concat('base_model.model.model.layers.', cast(p_partkey AS string),
     CASE p_partkey % 6 WHEN 0 THEN '.self_attn.q_proj' WHEN 1 THEN '.mlp.experts.base_layer' WHEN 2 THEN '.self_attn.v_proj'
       WHEN 3 THEN '.self_attn.k_proj' WHEN 4 THEN '.mlp.experts' ELSE '.mlp.gate' END,
@@ -190,7 +201,7 @@ SELECT concat('base_model.model.model.layers.', cast(p_partkey AS string),
   CASE WHEN f = 'A' THEN CASE WHEN p_partkey % 6 IN (1, 4) THEN 32 ELSE 4 END ELSE p_size + 16 END AS dim0,
   CASE WHEN f = 'A' THEN CASE WHEN p_partkey % 14 = 0 THEN 63 ELSE 64 END
     ELSE CASE WHEN p_partkey % 6 IN (1, 4) THEN CASE WHEN p_partkey % 16 = 4 THEN 31 ELSE 32 END ELSE 4 END END AS dim1
-FROM part CROSS JOIN (SELECT 'A' AS f UNION ALL SELECT 'B' AS f) x
+FROM {_BOTH_FACTORS}
 """
 
 INPUTS["fx_saved_names"] = """

@@ -10,6 +10,7 @@ from tunelake.registry.core import register
 from tunelake.registry.data_prep import FX, RENDERED, messages
 from tunelake.registry.inputs import derive, table
 from tunelake.registry.sql_text import WS
+from tunelake.sinks.shared import shared_dir
 
 MAX_LEN = 256
 BUCKET_ROWS = 128
@@ -46,6 +47,12 @@ def tokenized(spark, sf_dir):
     return tokens.tokenize(chat.render_with(messages(spark, sf_dir)), MAX_LEN)
 
 
+def stored_tokens(spark, sf_dir):
+    """Token rows written once, as batching and packing read a prepared table."""
+    shared_dir(spark)
+    return tokenized(spark, sf_dir).select("line_no", "input_ids").checkpoint()
+
+
 @register("tok_truncate", TOKENS + """
 SELECT line_no, n_tokens, array_to_string(ids, ' ') AS input_ids FROM toks""", FX)
 def tok_truncate(spark, sf_dir):
@@ -80,8 +87,7 @@ SELECT line_no, bucket, batch, row_in_batch, CAST(width AS INTEGER) AS width,
   trim(concat(repeat('1 ', size), repeat('0 ', gap))) AS attention_mask,
   trim(repeat('0 ', width)) AS token_type_ids FROM wide""", FX)
 def tok_collate(spark, sf_dir):
-    ready = tokens.add_aux(tokenized(spark, sf_dir)).select(
-        "line_no", "input_ids", "attention_mask", *tokens.AUX_FIELDS)
+    ready = tokens.add_aux(stored_tokens(spark, sf_dir))
     return tokens.collate(ready, "line_no", 8, bucket_rows=BUCKET_ROWS).select(
         "line_no", "bucket", "batch", "row_in_batch", "width", _joined("input_ids"),
         _joined("labels"), _joined("attention_mask"), _joined("token_type_ids"))
@@ -93,7 +99,7 @@ SELECT bucket, CAST(floor(place / {MAX_LEN}.0) AS BIGINT) AS block, array_to_str
 FROM stream GROUP BY ALL""", FX)
 def tok_pack_wrapped(spark, sf_dir):
     return tokens.pack_wrapped(
-        tokenized(spark, sf_dir), "line_no", MAX_LEN, bucket_rows=BUCKET_ROWS
+        stored_tokens(spark, sf_dir), "line_no", MAX_LEN, bucket_rows=BUCKET_ROWS
     ).select("bucket", "block", _joined("input_ids"))
 
 
@@ -110,7 +116,7 @@ SELECT bucket, pack, array_to_string(list(line_no ORDER BY rn), ' ') AS example_
   array_to_string(flatten(list(ids ORDER BY rn)), ' ') AS input_ids FROM filled GROUP BY bucket, pack""", FX)
 def tok_pack_examples(spark, sf_dir):
     return tokens.pack_examples(
-        tokenized(spark, sf_dir), "line_no", MAX_LEN, bucket_rows=BUCKET_ROWS
+        stored_tokens(spark, sf_dir), "line_no", MAX_LEN, bucket_rows=BUCKET_ROWS
     ).select("bucket", "pack", _joined("example_ids"), _joined("starts"), _joined("input_ids"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tunelake.functions.rows import select_where
 from tunelake.operators.trainlog import SESSION_LINE, metric_columns, phase_event
 from tunelake.sources.logs import rank_of
 
@@ -27,9 +28,10 @@ def stream_log_files(spark: SparkSession, path: str) -> DataFrame:
 def stream_metrics(lines: DataFrame) -> DataFrame:
     """Metric lines of a stream; no state."""
     columns = metric_columns(F.col("value"))
-    return lines.select(
-        "file", "value", *[c.alias(n) for n, c in columns.items()]
-    ).filter(F.col("kind").isNotNull())
+    marked = lines.withColumn("kind", columns.pop("kind"))
+    return select_where(
+        marked, F.col("kind").isNotNull(), "file", "value", "kind",
+        *[c.alias(n) for n, c in columns.items()])
 
 
 def _follow(

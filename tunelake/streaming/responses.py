@@ -24,6 +24,9 @@ STATE = (
 def _fold(
     key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
 ) -> Iterator[pd.DataFrame]:
+    if state.hasTimedOut:
+        state.remove()
+        return
     first, last, content, tokens, ended, frames = (
         state.get if state.exists else (None, None, None, 0, False, 0))
     for row in pd.concat(list(batches)).sort_values("seq").itertuples(index=False):
@@ -47,15 +50,23 @@ def _fold(
     })
 
 
-def fold_response_stream(frames: DataFrame) -> DataFrame:
+def fold_response_stream(frames: DataFrame, *, idle_ms: int | None = None) -> DataFrame:
     """The fold of every request touched by a micro-batch, as a log of states.
 
     A request's frames must arrive in order of ``seq`` across micro-batches; the
     source's rate limits bound what one micro-batch holds of it. State is six
-    values per request. :func:`latest_folds` takes each request's last row.
+    values per request, dropped ``idle_ms`` after its last frame if given; a
+    frame later than that starts a new fold. :func:`latest_folds` takes each
+    request's last row.
     """
+    def fold(key, batches, state):
+        yield from _fold(key, batches, state)
+        if idle_ms is not None and state.exists:
+            state.setTimeoutDuration(idle_ms)
+
+    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     return parse_frames(frames).groupBy("request_id").applyInPandasWithState(
-        _fold, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
+        fold, OUTPUT, STATE, "append", timeout)
 
 
 def latest_folds(states: DataFrame) -> DataFrame:
