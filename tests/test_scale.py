@@ -3,6 +3,7 @@
 import math
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from tunelake.functions.quantiles import index_quantiles
 from tunelake.functions.salted import salted_join
 from tunelake.operators import perf, splits, tokens, trainlog
 from tunelake.operators.codeeval import api_whitelist, score_static
+from tunelake.registry.catalog import QUERIES
 
 rng = random.Random(7)
 # One key holds most rows.
@@ -213,3 +215,37 @@ def test_static_scores(spark, max_inline):
     near((2, "b"), 0.7 * 4 / 5 + 0.3, 1.0, [])
     near((3, "a"), 0.0, 0.0, [])
     near((3, "b"), 0.7 * 3 / 5 + 0.3 * (0.5 + 1) / 2, 0.5, [])
+
+
+def test_a_callers_tokenizer(spark):
+    @F.pandas_udf("array<int>")
+    def lengths(text: pd.Series) -> pd.Series:
+        return text.str.split().map(lambda words: [len(w) for w in words])
+
+    df = spark.createDataFrame([("a bbb cc dddd",), ("",)], "text string")
+    got = tokens.tokenize(df, 3, tokenizer=lambda c: lengths(c)).collect()
+    assert [(r.n_tokens, r.input_ids) for r in got] == [(4, [1, 3, 2]), (0, [])]
+
+
+def test_split_with_many_rows_of_one_id(spark):
+    ids = spark.range(100).union(spark.range(200).select(F.lit(7).cast("long").alias("id")))
+    for fraction in (0.05, 0.3, 0.9):
+        got = splits.split_exact(ids, "id", fraction=fraction)
+        sides = got.groupBy("id").agg(F.count_distinct("split").alias("n")).filter("n > 1")
+        assert sides.count() == 0
+        assert got.filter("split = 'eval'").count() >= math.ceil(300 * fraction)
+
+
+@pytest.mark.parametrize("name", [
+    "tok_collate", "tok_pack_wrapped", "tok_pack_examples", "split_train_eval", "sse_request_fold",
+    "log_phases", "quantile_index", "score_static", "eval_static_aggregate"])
+def test_results_do_not_depend_on_partitions(spark, sf_dir, name):
+    results = []
+    for n in ("1", "5"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            results.append(sorted(map(str, QUERIES[name](spark, sf_dir).collect())))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1]

@@ -2,7 +2,8 @@
 
 The order of examples is ``(md5(id:seed), id)``. A holdout is the head of that
 order, so it is the same under any partitioning, and a smaller fraction's
-holdout lies inside a larger one's. Ids must be unique and not null.
+holdout lies inside a larger one's. Ids must not be null; counts are exact when
+they are unique.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ def _cut_at_rank(df: DataFrame, id_col: str, seed, count: Callable[[Column], Col
     """One row: the last (hash, id) inside the holdout, null for an empty one.
 
     Counting by hash prefix finds the prefix that the cut falls into; only that
-    prefix's rows, one in 65,536, are ranked.
+    prefix's ids, one in 65,536, are ranked. Rows sharing an id count first, so
+    they are never sorted and stay on one side.
     """
     keyed = df.select(order_key(id_col, seed).alias("h"), F.col(id_col).alias("id"))
     prefix = F.substring("h", 1, _PREFIX)
@@ -47,9 +49,12 @@ def _cut_at_rank(df: DataFrame, id_col: str, seed, count: Callable[[Column], Col
         .select("p", (F.col("n") - F.col("upto") + F.col("c")).alias("need"))
     )
     in_bin = keyed.withColumn("p", prefix).join(F.broadcast(cut_bin), "p")  # one row at most
-    ranked = in_bin.withColumn(
-        "rank", F.row_number().over(Window.partitionBy("p").orderBy("h", "id")))
-    return ranked.filter(F.col("rank") == F.col("need")).agg(F.max(F.struct("h", "id")).alias("cut"))
+    reached = (
+        in_bin.groupBy("h", "id", "need").agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("upto", F.sum("c").over(everything.orderBy("h", "id")))
+        .filter(F.col("upto") >= F.col("need"))
+    )
+    return reached.agg(F.min(F.struct("h", "id")).alias("cut"))
 
 
 def split_exact(

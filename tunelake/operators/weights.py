@@ -52,19 +52,28 @@ def shapes_agree(num_experts: int) -> Column:
     return outer & inner & (experts.isNull() | fused)
 
 
-def match_pairs(pairs: DataFrame, base: DataFrame, num_experts: int) -> DataFrame:
+def match_pairs(
+    pairs: DataFrame, base: DataFrame, num_experts: int, *, rank: int | None = None
+) -> DataFrame:
     """Every pair with its base tensor and a status: merged, shape_mismatch,
-    target_missing or incomplete; plus the rank its shape implies."""
+    target_missing or incomplete; plus the rank its shape implies.
+
+    The adapter's own ``rank`` sets the scale, whatever the shape says; given
+    here, ``rank_differs`` marks the pairs whose shape disagrees with it.
+    """
     tensors = base.select(F.col("name").alias("target"), "shard", "experts", "out_dim", "in_dim")
     status = (
         F.when(~is_complete(), "incomplete")
         .when(F.col("shard").isNull(), "target_missing")
         .when(shapes_agree(num_experts), "merged").otherwise("shape_mismatch")
     )
-    return pairs.join(tensors, "target", "left").withColumn("status", status).withColumn(
+    matched = pairs.join(tensors, "target", "left").withColumn("status", status).withColumn(
         "block_rank",
         F.when(F.col("status") == "merged",
                (F.col("a_rows") / F.coalesce("experts", F.lit(1))).cast("bigint")))
+    if rank is None:
+        return matched
+    return matched.withColumn("rank_differs", F.col("block_rank") != rank)
 
 
 def outcomes(matched: DataFrame) -> DataFrame:

@@ -87,12 +87,16 @@ class ExecutionEvaluation:
 
 def evaluate_executions(
     runs: DataFrame, references: DataFrame, path: str, run_id: str, *, tol: float = 0.1,
-    limit: int = 0,
+    limit: int = 0, start_from: int = 0,
 ) -> ExecutionEvaluation:
     """Score the runs not yet recorded under ``path``, then sum up all records.
 
-    The summary covers every stored record below ``limit``, whichever run wrote it.
+    Only runs from ``start_from`` on are scored; the summary covers every stored
+    record below ``limit``, also earlier ones, whichever run wrote them.
     """
+    runs = runs.filter(F.col("idx") >= start_from)
+    if limit > 0:
+        runs = runs.filter(F.col("idx") < limit)
     keys = ["idx", "side"]
     spark = runs.sparkSession
     todo = runs

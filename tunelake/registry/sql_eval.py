@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tunelake.functions.sqltext import with_normal_sql
 from tunelake.operators import sqleval
 from tunelake.registry.core import register
-from tunelake.registry.inputs import derive
+from tunelake.registry.inputs import derive, table
 from tunelake.registry.sql_text import normalized_cte
 from tunelake.sources.predictions import attach_predictions, base_vs_tuned
 
@@ -108,7 +108,7 @@ SELECT example_id, human, sides.side, coalesce(f.prediction, '') AS prediction,
   CAST(coalesce(f.latency_ms, 0) AS BIGINT) AS latency_ms
 FROM ex CROSS JOIN sides LEFT JOIN fx_sql_sides f USING (example_id, side)""", ("fx_sql_sides",))
 def predictions_attach(spark, sf_dir):
-    examples = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+    examples = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("example_id"), F.col("p_name").alias("human"))
     return attach_predictions(
         examples, derive(spark, sf_dir, "fx_sql_sides"), sides=("base", "tuned", "other"))
