@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tunelake.functions.pytext import first_match, strip, text_or_empty
 
+# The patterns that find fenced code and called names.
 PYTHON_FENCE = r"(?isU)```python\s*\n(.*?)\n```"
 ANY_FENCE = r"(?sU)```(?:\w+)?\s*\n(.*?)\n```"
 LOOSE_FENCE = r"(?sU)```(?:python)?\s*\n(.*?)```"

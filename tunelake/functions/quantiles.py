@@ -13,6 +13,8 @@ size of the bins; it never decides the result.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,33 +48,31 @@ def index_quantiles(
 ) -> DataFrame:
     """One row per key: ``keys``, ``n`` and one column per entry of ``probs``.
 
-    Null values are left out; a group of nulls only does not appear. ``num_bins``
-    must be a power of two.
+    Rows with a null key or value are left out, a group of nulls only does not
+    appear. ``num_bins`` must be a power of two.
     """
     if num_bins < 2 or num_bins & (num_bins - 1):
         raise ValueError("num_bins must be a power of two")
     keys = list(keys)
     counts = (
-        df.filter(F.col(value).isNotNull())
+        df.filter(reduce(and_, [F.col(c).isNotNull() for c in [*keys, value]]))
         .groupBy(*keys, F.col(value).alias("__x")).agg(F.count(F.lit(1)).alias("__c"))
     )
     cuts = [i / num_bins for i in range(1, num_bins)]
+    # Taking n here keeps the counts' shuffle the same for every reader, so it is reused.
     edges = counts.groupBy(*keys).agg(
-        F.percentile_approx("__x", cuts, num_bins * 4).alias("__edges")
+        F.percentile_approx("__x", cuts, num_bins * 4).alias("__edges"),
+        F.sum("__c").alias("n"),
     )
     binned = _with_bin(counts.join(edges, keys), num_bins).drop("__edges")
     upto = Window.partitionBy(*keys).orderBy("__bin")
-    whole = Window.partitionBy(*keys)
     wanted = F.array(*[
         F.struct(F.lit(name).alias("name"), F.lit(float(q)).alias("q"))
         for name, q in probs.items()
     ])
     targets = (
-        binned.groupBy(*keys, "__bin").agg(F.sum("__c").alias("__c"))
-        .withColumns({
-            "__before": F.sum("__c").over(upto) - F.col("__c"),
-            "n": F.sum("__c").over(whole),
-        })
+        binned.groupBy(*keys, "__bin").agg(F.sum("__c").alias("__c"), F.max("n").alias("n"))
+        .withColumn("__before", F.sum("__c").over(upto) - F.col("__c"))
         .withColumn("__p", F.explode(wanted))
         .withColumn("__idx", F.least(F.col("n") - 1, F.floor(F.col("__p.q") * F.col("n"))))
         .filter(
@@ -83,7 +83,7 @@ def index_quantiles(
     )
     inside = Window.partitionBy(*keys, "__bin", "__name").orderBy("__x")
     reached = (
-        binned.join(targets, [*keys, "__bin"])
+        binned.drop("n").join(targets, [*keys, "__bin"])
         .withColumn("__seen", F.col("__before") + F.sum("__c").over(inside))
         .filter(F.col("__seen") > F.col("__idx"))
     )

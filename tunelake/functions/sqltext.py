@@ -14,6 +14,7 @@ TERMINATORS = (";", "```", "\n`", "\n\nNote", "\n\nThis ", "\n\nExplanation")
 ARTIFACTS = ("<end_of_turn>", "<start_of_turn>", "<|im_end|>", "<|im_start|>")
 ARTIFACT_WORDS = ("model", "user")
 
+# The patterns that find fenced SQL and the last SELECT.
 FENCED = r"(?isU)```(?:sql)?\s*\n?(.*?)```"
 LAST_SELECT = r"(?isU)\A.*(\bSELECT\b.*)\z"
 

@@ -15,6 +15,7 @@ from tunelake.functions.pytext import mean_of, text_or_empty
 from tunelake.functions.salted import salted_join
 from tunelake.sinks.shared import shared_dir
 
+# Fixed value: the variable that generated code must assign.
 TARGET_NAME = "root_part"
 
 # Module roots that generated code must not import.
@@ -29,6 +30,7 @@ SAFE_CALLS = (
     "Vector", "Vertex", "Axis", "Plane",
 )
 
+# The pass/fail marks of a static score.
 FLAGS = (
     "has_python_block", "parses", "defines_root_part", "no_forbidden", "api_in_whitelist",
     "length_sanity",

@@ -234,23 +234,13 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **used)
 
 
-# The first column of each table, unique or nearly so, to spread small tables by.
-KEYS = {
-    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey",
-    "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
-    "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id",
-    "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id", "labels": "doc_id",
-    "conversations": "conv_id",
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. One too small to give every core a full split often lies
-    in one row group, and all work on it would run in one task, so it is spread
-    by key. A larger table is read as it is, without a shuffle."""
+    """A driver table. Work on texts is costly per row, and a documents table too
+    small to give every core a full split often lies in one row group, so that
+    one is spread by key. A larger one is read as it is, without a shuffle."""
     path = f"{sf_dir}/{name}.parquet"
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if size_of(spark, path) < cores * SPLIT_BYTES:
-        return df.repartition(cores, KEYS[name])
+    if name == "documents" and size_of(spark, path) < cores * SPLIT_BYTES:
+        return df.repartition(cores, "doc_id")
     return df
