@@ -21,6 +21,18 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
     assert compare(df, duck, ORACLES[name]) == []
 
 
+@pytest.mark.parametrize("name", [
+    "tok_collate", "tok_pack_wrapped", "tok_pack_examples", "split_train_eval", "sse_request_fold",
+    "log_phases", "quantile_index", "eval_static_aggregate"])
+def test_results_do_not_depend_on_partitions(spark, sf_dir, duck, name):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        assert compare(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) == []
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_pushdown_reaches_the_scan(spark, sf_dir):
     plan = QUERIES["quantile_index"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_extendedprice:double,l_returnflag:string>" in plan

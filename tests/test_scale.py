@@ -12,7 +12,6 @@ from tunelake.functions.quantiles import index_quantiles
 from tunelake.functions.salted import salted_join
 from tunelake.operators import perf, splits, tokens, trainlog
 from tunelake.operators.codeeval import api_whitelist, score_static
-from tunelake.registry.catalog import QUERIES
 
 rng = random.Random(7)
 # One key holds most rows.
@@ -234,18 +233,3 @@ def test_split_with_many_rows_of_one_id(spark):
         sides = got.groupBy("id").agg(F.count_distinct("split").alias("n")).filter("n > 1")
         assert sides.count() == 0
         assert got.filter("split = 'eval'").count() >= math.ceil(300 * fraction)
-
-
-@pytest.mark.parametrize("name", [
-    "tok_collate", "tok_pack_wrapped", "tok_pack_examples", "split_train_eval", "sse_request_fold",
-    "log_phases", "quantile_index", "score_static", "eval_static_aggregate"])
-def test_results_do_not_depend_on_partitions(spark, sf_dir, name):
-    results = []
-    for n in ("1", "5"):
-        before = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", n)
-        try:
-            results.append(sorted(map(str, QUERIES[name](spark, sf_dir).collect())))
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert results[0] == results[1]

@@ -25,10 +25,14 @@ def metric_delta(
         "delta", F.col("tuned") - F.col("base"))
 
 
-def flips(scored: DataFrame, *, key: str = "example_id", threshold: float = 0.5) -> DataFrame:
-    """Examples whose composite the tuned side lifts from below the threshold."""
-    return base_vs_tuned(scored, ["composite"], key=key).filter(
+def flips(
+    scored: DataFrame, *, key: str = "example_id", threshold: float = 0.5, k: int | None = None
+) -> DataFrame:
+    """Examples whose composite the tuned side lifts from below the threshold;
+    the first ``k`` in key order if given."""
+    lifted = base_vs_tuned(scored, ["composite"], key=key).filter(
         (F.col("base_composite") < threshold) & (F.col("tuned_composite") >= threshold))
+    return lifted if k is None else lifted.orderBy(key).limit(k)
 
 
 def run_report(aggregate: DataFrame, config: dict[str, str | int]) -> DataFrame:

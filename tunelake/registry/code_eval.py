@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tunelake.functions.codetext import called_names, extract_code, length_sanity
 from tunelake.operators import codeeval, report
+from tunelake.operators.sqleval import quality_mark
 from tunelake.registry.core import register
 from tunelake.registry.inputs import derive
 from tunelake.sources.predictions import base_vs_tuned
@@ -172,6 +173,21 @@ def report_flips(spark, sf_dir):
     return report.flips(scored(spark, sf_dir))
 
 
+@register("topk_flips", FEATURES + """
+SELECT b.example_id, b.composite AS base_composite, t.composite AS tuned_composite
+FROM scored b JOIN scored t ON b.example_id = t.example_id AND b.side = 'base' AND t.side = 'tuned'
+WHERE b.composite < 0.5 AND t.composite >= 0.5 ORDER BY b.example_id LIMIT 2""", FX)
+def topk_flips(spark, sf_dir):
+    return report.flips(scored(spark, sf_dir), k=2)
+
+
+@register("eval_quality_mark", FEATURES + """
+SELECT example_id, side, CASE WHEN composite >= 0.7 THEN 'OK' ELSE '??' END AS mark FROM scored""", FX)
+def eval_quality_mark(spark, sf_dir):
+    return scored(spark, sf_dir).select(
+        "example_id", "side", quality_mark(F.col("composite")).alias("mark"))
+
+
 @register("join_static_sides", FEATURES + """
 SELECT b.example_id, b.composite AS base_composite, t.composite AS tuned_composite, b.parses AS base_parses, t.parses AS tuned_parses
 FROM scored b JOIN scored t ON b.example_id = t.example_id AND b.side = 'base' AND t.side = 'tuned'""", FX)

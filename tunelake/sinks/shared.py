@@ -10,17 +10,19 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which every executor can reach.
 
-    Where it is unset, a local session gets a temporary folder of its own; a
-    cluster session is refused, since its executors share no local folder.
+    Where it is unset, a checkpoint folder set on the context is used. Failing
+    that, a local session gets a temporary folder; a cluster session is refused,
+    since its executors share no local folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        path = tempfile.mkdtemp(prefix="tunelake-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tunelake-"))
+        path = sc.getCheckpointDir()
+    elif sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
