@@ -44,4 +44,5 @@ def test_entry_runs(spark):
 
 
 def test_contract_lists_every_query():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql()) and set(QUERIES) == set(ORACLES)
