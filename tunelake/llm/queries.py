@@ -6,13 +6,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import decontaminate, line_dedup, packing, token_counts
+from tunelake.llm import decontaminate, language, line_dedup, ngram_join, packing, site_quality, token_counts, toxicity, weak_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def page_sites(pages: DataFrame) -> DataFrame:
+    """Rows (doc_id, host, path, suffix, declared): where each document stands, from its first page.
+
+    The last number of a page's address is the document's id. The path is the first folder.
+    """
+    place = F.regexp_extract("url", r"^[A-Za-z]+://[^/]+(/[^?#]*)", 1)
+    host = F.lower(F.regexp_extract("url", r"^[A-Za-z]+://([^/:?#]+)", 1))
+    none_if_empty = lambda c: F.when(c != "", c)
+    found = pages.select(
+        "page_id", F.regexp_extract(place, r"/(\d+)(?:\.html?)?/?$", 1).try_cast("long").alias("doc_id"), none_if_empty(host).alias("host"),
+        F.regexp_extract(place, r"^/([^/]*)/", 1).alias("path"), none_if_empty(F.regexp_extract(host, r"\.([^.]+)$", 1)).alias("suffix"),
+        none_if_empty(F.lower(F.regexp_extract("html", r"(?i)<html[^>]*\slang=[\"']?([a-z]+)", 1))).alias("declared"))
+    first = found.filter("doc_id is not null").groupBy("doc_id").agg(F.min_by(F.struct("host", "path", "suffix", "declared"), F.struct("page_id", "host")).alias("s"))
+    return first.select("doc_id", "s.*")
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", "text")
@@ -82,11 +98,40 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sites = page_sites(table(spark, sf_dir, "pages"))
+    return site_quality.judge_sites(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), sites)
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = weak_rules.judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.fused_languages(table(spark, sf_dir, "documents"), page_sites(table(spark, sf_dir, "pages")))
+
+
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked_documents(table(spark, sf_dir, "documents"), n=5, threshold=0.8, recall=0.999)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.grade_toxicity(docs, table(spark, sf_dir, "labels")).select("doc_id", "expected_severity", "toxic")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_counts": op2_token_counts,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_quality_rules": op6_quality_rules,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_language_id": op8_language_id,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
