@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from tunelake.llm.bytewords import SPACE, buffers, rolling, words
@@ -74,7 +74,6 @@ def stats_of(texts: pa.Array) -> list[np.ndarray]:
         *(per_text(table[data]) for table in (UPPER, LOWER, BANGS, STOPS, DIGITS))]
 
 
-@arrow_udf(", ".join(f"{n} long" for n in NAMES))
 def _counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
         parts = [stats_of(texts[a:b]) for a, b in slices(texts)]
@@ -89,4 +88,4 @@ def text_stats(text: Column) -> Column:
     n_dup_lines those equal to an earlier one of the text, n_repeat_words the words
     inside 5-word windows that the text has twice or more.
     """
-    return _counted(text.cast("string"))
+    return arrow_udf(_counted, T.StructType([T.StructField(n, T.LongType()) for n in NAMES]))(text.cast("string"))

@@ -1,10 +1,12 @@
 """Quality by weak supervision: rules vote or abstain, and agreement tells how far to trust each.
 
 A rule says good (1), bad (-1) or nothing (0). Expectation-maximisation estimates
-from the votes alone how often each rule is right when it speaks. All documents
+from the votes alone how often each rule is right when it says good and when it says
+bad. All documents
 take part: the votes of a text are one of ``3 ** rules`` patterns, and counts of
-patterns, summed up by Spark, are all that the estimate needs. A text's posterior is
-then a sum of its votes, each weighted by its rule's log odds of being right.
+patterns, summed up by Spark, are all that the estimate needs. A text's posterior
+is then a sum over its votes, each weighted by how much oftener good texts get it than bad
+ones.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ def rules() -> dict[str, Column]:
     return {
         "length": vote(n_words >= 30, n_words < 10),
         "word_length": vote(share("word_chars", "n_words").between(3, 10), ~share("word_chars", "n_words").between(2, 15)),
-        "symbols": vote(share("n_symbols", "n_words") <= 0.03, share("n_symbols", "n_words") > 0.15),
+        "symbols": vote(share("n_symbols", "n_words") <= 0.03, share("n_symbols", "n_words") > 0.1),
+        "symbol_chars": vote(share("n_symbols", "word_chars") <= 0.01, share("n_symbols", "word_chars") > 0.05),
         "same_lines": vote((F.col("_stats.n_dup_lines") == 0) & (F.col("_stats.n_lines") > 1), share("n_dup_lines", "n_lines") > 0.3),
         "repeats": vote(share("n_repeat_words", "n_words") <= 0.05, share("n_repeat_words", "n_words") > 0.2),
         "capitals": vote(upper <= 0.15, upper > 0.5),
@@ -46,28 +49,43 @@ def rules() -> dict[str, Column]:
 
 class RuleModel(NamedTuple):
     prior: float  # share of good texts
-    accuracy: np.ndarray  # of each rule, when it speaks
+    says_bad: np.ndarray  # chance that each rule, when it speaks, says bad: of bad texts, and of good ones (2 x rules)
 
+    def weights(self) -> np.ndarray:
+        """Log odds that a bad and a good vote of each rule add for a good text: rules x 2. Silence adds nothing."""
+        bad, good = self.says_bad
+        return np.column_stack([np.log(good / bad), np.log((1 - good) / (1 - bad))])
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> RuleModel:
+    def accuracy(self) -> np.ndarray:
+        """How often each rule is right when it speaks."""
+        return (1 - self.prior) * self.says_bad[0] + self.prior * (1 - self.says_bad[1])
+
+
+def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500) -> RuleModel:
     """Accuracies by expectation-maximisation over vote patterns and their counts.
 
-    Starts from the majority. Accuracies stay within 0.55 to 0.99 and the prior
-    within 0.05 to 0.95, so that no rule turns against its own meaning.
+    The start doubts every text by its bad votes. No rule turns against its own
+    meaning: one that the data would have say bad of good texts more often than of
+    bad ones gets the same chance for both, and so no weight.
     """
     counts = counts.astype(float)
-    good = 1 / (1 + np.exp(-patterns.sum(axis=1)))
+    bad, good_vote = (patterns == -1).astype(float), (patterns == 1).astype(float)
+    good = 1 / (1 + np.exp(2 * bad.sum(axis=1) - 1.5))
+    model = RuleModel(0.5, np.full((2, patterns.shape[1]), 0.5))
     for _ in range(rounds):
-        weight = counts * good
-        right = ((patterns == 1) * weight[:, None] + (patterns == -1) * (counts - weight)[:, None]).sum(axis=0)
-        spoken = ((patterns != 0) * counts[:, None]).sum(axis=0)
-        accuracy = np.clip((right + 8) / (spoken + 10), 0.55, 0.99)
-        prior = float(np.clip((weight.sum() + 1) / (counts.sum() + 2), 0.05, 0.95))
-        odds = np.log(prior / (1 - prior)) + patterns @ np.log(accuracy / (1 - accuracy))
-        before, good = good, 1 / (1 + np.exp(-odds))
+        weight = np.stack([counts * (1 - good), counts * good])
+        said, spoken = weight @ bad, weight @ (bad + good_vote)
+        chance = (said + 0.5) / (spoken + 1)
+        wrong = chance[1] > chance[0]
+        chance[:, wrong] = ((said.sum(axis=0) + 0.5) / (spoken.sum(axis=0) + 1))[wrong]
+        prior = float(np.clip((weight[1].sum() + 1) / (counts.sum() + 2), 0.05, 0.95))
+        model = RuleModel(prior, chance)
+        says = model.weights()
+        odds = np.log(prior / (1 - prior)) + bad @ says[:, 0] + good_vote @ says[:, 1]
+        before, good = good, 1 / (1 + np.exp(-np.clip(odds, -35, 35)))
         if np.abs(before - good).max(initial=0) < 1e-9:
             break
-    return RuleModel(prior, accuracy)
+    return model
 
 
 def fit_rules(docs: DataFrame, text_col: str = "text") -> RuleModel:
@@ -90,8 +108,8 @@ def judge_quality(docs: DataFrame, text_col: str = "text", keep_at: float = 0.5)
     """
     model = fit_rules(docs, text_col)
     odds = F.lit(float(np.log(model.prior / (1 - model.prior))))
-    for v, a in zip(rules().values(), model.accuracy.tolist(), strict=True):
-        odds = odds + v * F.lit(float(np.log(a / (1 - a))))
+    for v, (bad, good) in zip(rules().values(), model.weights().tolist(), strict=True):
+        odds = odds + F.when(v == -1, bad).when(v == 1, good).otherwise(0.0)
     out = replace_columns(docs, {"_stats": text_stats(F.col(text_col))})
     n_words, repeated = F.col("_stats.n_words"), F.col("_stats.n_repeat_words")
     failed = (n_words < 10) | (100 * repeated > 20 * n_words)
