@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import decontaminate, language, line_dedup, ngram_join, packing, site_quality, token_counts, toxicity, weak_rules
+from tunelake.llm import decontaminate, katz, language, line_dedup, ngram_join, packing, site_quality, token_counts, toxicity, weak_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +98,13 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = katz.train_katz(docs.filter(~katz.held_out("doc_id")))
+    return katz.score_katz(docs, model).withColumn("held_out", katz.held_out("doc_id")).withColumn(
+        "train_tokens", F.lit(model.train_tokens).cast("long"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     sites = page_sites(table(spark, sf_dir, "pages"))
     return site_quality.judge_sites(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), sites)
@@ -125,6 +132,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_counts": op2_token_counts,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_quality_rules": op6_quality_rules,
