@@ -9,10 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import line_dedup, packing
+from tunelake.llm import decontaminate, line_dedup, ngram_join, packing, toxicity
 from tunelake.llm.rows import work_dir
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose expected severity stays below the mark."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.grade_toxicity(docs, labels).filter(~F.col("toxic")).select(*docs.columns)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,13 +27,27 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return kept.select(*docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that links of 0.8 and more hold together."""
+    return ngram_join.one_of_each_class(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage of ten words."""
+    out = decontaminate.mark_contained(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return out.filter(F.size("hit_words") == 0).select(*docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept texts' tokens, dealt over sequences of 4096."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("line_dedup", remove_repeats),
+    ("ngram_jaccard_join", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
     ("best_fit_packing", pack),
 ]
 ORACLE_SQL = None  # toxicity and packing have no SQL form; tests hold each stage against brute force

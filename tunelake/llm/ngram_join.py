@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tunelake.llm.bytewords import BASE, SPACE, mix, rolling, words
 from tunelake.llm.components import components
-from tunelake.llm.rows import cut, field_type, slices, text_of
+from tunelake.llm.rows import cut, field_type, replace_columns, row_key, slices, text_of
 
 MAX_HASHES = 192
 BLOCK_GRAMS = 1 << 20  # n-grams in one block of a family
@@ -92,13 +92,12 @@ def band_keys(grams: np.ndarray, first: np.ndarray, bands: int, rows: int) -> np
 
 
 def sketched(rows: DataFrame, n: int, bands: int, band_rows: int) -> DataFrame:
-    """Rows (_id, _set, _grams, _bands), one per document."""
-    id_field = pa.field("_id", pa.null())
+    """Rows (_id, _k1, _k2, _set, _grams, _bands), one per document."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(1)):
-                grams, first = gram_sets(batch.column(1)[a:b], n)
+            for a, b in slices(batch.column(3)):
+                grams, first = gram_sets(batch.column(3)[a:b], n)
                 sizes = np.diff(first)
                 full = np.flatnonzero(sizes)
                 keys = band_keys(grams, first[full], bands, band_rows) if full.size else np.zeros((0, bands), np.int64)
@@ -106,11 +105,12 @@ def sketched(rows: DataFrame, n: int, bands: int, band_rows: int) -> DataFrame:
                 lengths[1:] = np.cumsum((sizes > 0) * bands)
                 listed = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(keys.reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[a:b], pa.array(set_keys(grams, first)), pa.array(sizes.astype(np.int64)), listed],
-                    names=[id_field.name, "_set", "_grams", "_bands"])
+                    [*(batch.column(i)[a:b] for i in range(3)), pa.array(set_keys(grams, first)), pa.array(sizes.astype(np.int64)), listed],
+                    names=["_id", "_k1", "_k2", "_set", "_grams", "_bands"])
 
     kind = field_type(rows, "_id").simpleString()
-    return rows.mapInArrow(sketch, f"_id {kind}, _set long, _grams long, _bands array<long>")
+    keyed = rows.select("_id", *row_key("_id", "_text"), "_text")
+    return keyed.mapInArrow(sketch, f"_id {kind}, _k1 long, _k2 long, _set long, _grams long, _bands array<long>")
 
 
 def keyed_texts(rows: DataFrame, n: int) -> DataFrame:
@@ -194,21 +194,8 @@ def verifier(n: int, threshold: float):
     return verify
 
 
-def linked_documents(
-    docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999, id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """Rows (id, class_id, n_links), one per document.
-
-    Two documents are linked if the Jaccard similarity of their n-gram sets is at
-    least ``threshold``. n_links counts the other rows linked to a row, copies among
-    them. class_id is the least id of the documents that links lead to, over any
-    number of steps. ``recall`` is the least chance of finding a pair right at the
-    threshold; copies and pairs in one family are all found.
-
-    Null, empty and blank texts have no n-grams, no links, and their own id as
-    class. Repeated rows are copies of each other. Null ids are not least unless a
-    class has no other; then its class_id is null.
-    """
+def classified(docs: DataFrame, n: int, threshold: float, recall: float, id_col: str, text_col: str) -> DataFrame:
+    """Rows (_id, _k1, _k2, _root, class_id, n_links), one per document; _root names the class, null without n-grams."""
     bands, band_rows = band_plan(threshold, recall)
     rows = text_of(docs, id_col, text_col)
     sketches = cut(sketched(rows, n, bands, band_rows))
@@ -240,8 +227,43 @@ def linked_documents(
     least = named.groupBy("_root").agg(F.min("_least_id").alias("class_id"))
     links = verified.groupBy("_set").agg(F.sum("_links").alias("_links"))
     known = named.join(least, "_root").join(links, "_set", "left").select(
-        "_set", "class_id", (F.col("_rows") - 1 + F.coalesce("_links", F.lit(0))).alias("n_links"))
-    joined = sketches.select("_id", F.when(F.col("_grams") > 0, F.col("_set")).alias("_set")).join(known, "_set", "left")
+        "_set", "_root", "class_id", (F.col("_rows") - 1 + F.coalesce("_links", F.lit(0))).alias("n_links"))
+    joined = sketches.select("_id", "_k1", "_k2", F.when(F.col("_grams") > 0, F.col("_set")).alias("_set")).join(known, "_set", "left")
     return joined.select(
-        F.col("_id").alias(id_col), F.when(F.col("_set").isNull(), F.col("_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "_id", "_k1", "_k2", "_root", F.when(F.col("_set").isNull(), F.col("_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def linked_documents(
+    docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """Rows (id, class_id, n_links), one per document.
+
+    Two documents are linked if the Jaccard similarity of their n-gram sets is at
+    least ``threshold``. n_links counts the other rows linked to a row, copies among
+    them. class_id is the least id of the documents that links lead to, over any
+    number of steps. ``recall`` is the least chance of finding a pair right at the
+    threshold; copies and pairs in one family are all found.
+
+    Null, empty and blank texts have no n-grams, no links, and their own id as
+    class. Repeated rows are copies of each other. Null ids are not least unless a
+    class has no other; then its class_id is null.
+    """
+    return classified(docs, n, threshold, recall, id_col, text_col).select(F.col("_id").alias(id_col), "class_id", "n_links")
+
+
+def one_of_each_class(
+    docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The documents, all columns, without near duplicates: of each class only the row with the least id stays.
+
+    Null ids come last; then a hash of id and text decides. Of rows alike in id and
+    text one stays, also where they have no n-grams; other such texts all stay.
+    """
+    found = classified(docs, n, threshold, recall, id_col, text_col)
+    place = F.struct(F.col("_id").isNull().alias("no_id"), F.col("_id").alias("id"), F.col("_k1").alias("k1"), F.col("_k2").alias("k2"))
+    grouped = found.filter("_root is not null").groupBy("_root").agg(F.min(place).alias("p")).select("p.k1", "p.k2")
+    stay = grouped.unionByName(found.filter("_root is null").select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2")))
+    keyed = replace_columns(docs, dict(zip(("_k1", "_k2"), row_key(id_col, text_col), strict=True)))
+    kept = keyed.join(stay.distinct().toDF("_k1", "_k2"), ["_k1", "_k2"], "left_semi")
+    return kept.dropDuplicates(["_k1", "_k2"]).select(*docs.columns)
