@@ -110,7 +110,7 @@ def all_tokens():
 
 
 def test_wrapped_packs_keep_every_token(examples):
-    packs = tokens.pack_wrapped(examples, "id", 16, bucket_rows=64).collect()
+    packs = tokens.pack_wrapped(examples, "id", 16, num_buckets=5).collect()
     assert sorted(t for p in packs for t in p.input_ids) == all_tokens()
     last = {}
     for p in packs:
@@ -120,7 +120,7 @@ def test_wrapped_packs_keep_every_token(examples):
 
 
 def test_whole_example_packs(examples):
-    packs = tokens.pack_examples(examples, "id", 16, bucket_rows=64).collect()
+    packs = tokens.pack_examples(examples, "id", 16, num_buckets=5).collect()
     assert sorted(t for p in packs for t in p.input_ids) == all_tokens()
     assert sorted(i for p in packs for i in p.example_ids) == list(range(len(LENGTHS)))
     for p in packs:
@@ -129,10 +129,17 @@ def test_whole_example_packs(examples):
             assert p.input_ids[start:start + LENGTHS[i]] == [i * 100 + j + 1 for j in range(LENGTHS[i])]
 
 
+def test_packs_with_repeated_ids_and_long_examples(spark):
+    df = spark.createDataFrame([(1, [1, 2]), (1, [3]), (2, [4] * 20), (None, [5])], "id int, input_ids array<int>")
+    packs = tokens.pack_examples(df, "id", 16, num_buckets=1, cut_long=True).collect()
+    assert sorted(t for p in packs for t in p.input_ids) == [1, 2, 3] + [4] * 16 + [5]
+    assert sum(p.tokens_cut for p in packs) == 4
+
+
 def test_collate(examples):
     ready = tokens.add_aux(examples).withColumn(
         "token_type_ids", F.when(F.col("id") % 2 == 0, F.array_repeat(F.lit(7), 40)))
-    rows = tokens.collate(ready, "id", 4, pad_id=101, bucket_rows=64).collect()
+    rows = tokens.collate(ready, "id", 4, pad_id=101, num_buckets=5).collect()
     assert len(rows) == len(LENGTHS)
     groups = {}
     for r in rows:
@@ -199,10 +206,22 @@ PAIRS = [
 ]
 
 
-@pytest.mark.parametrize("max_inline", [0, 1000])
-def test_static_scores(spark, max_inline):
+def names_of(df, more):
+    spare = df.sparkSession.range(more).select(F.concat(F.lit("Spare"), "id").alias("symbol"))
+    return api_whitelist(df).union(spare)
+
+
+def test_static_scores_of_rows_without_a_key(spark):
+    rows = [(None, "a", "```python\nroot_part = Box(1)\n```", "Box(1)")] * 2 + [(5, "a", "```python\nroot_part = Box(1)\n```", "Box(1)")]
+    df = spark.createDataFrame(rows, "example_id int, side string, prediction string, reference_code string")
+    got = score_static(df, names_of(df, 3000)).collect()
+    assert len(got) == 3 and {(r.api_in_whitelist, r.composite) for r in got} == {(True, got[0].composite)}
+
+
+@pytest.mark.parametrize("more_names", [0, 3000])
+def test_static_scores(spark, more_names):
     df = spark.createDataFrame(PAIRS, "example_id int, side string, prediction string, reference_code string")
-    got = {(r.example_id, r.side): r for r in score_static(df, api_whitelist(df), max_inline=max_inline).collect()}
+    got = {(r.example_id, r.side): r for r in score_static(df, names_of(df, more_names)).collect()}
     def near(key, composite, coverage, unknown):
         r = got[key]
         assert r.composite == pytest.approx(composite) and r.api_coverage == coverage

@@ -20,4 +20,4 @@ def hash_int(text: Column) -> Column:
 def bucket_of(id_col: str | Column, num_buckets: Column | int) -> Column:
     c = F.col(id_col) if isinstance(id_col, str) else id_col
     n = num_buckets if isinstance(num_buckets, Column) else F.lit(num_buckets)
-    return F.pmod(hash_int(c.cast("string")), n.cast("bigint"))
+    return F.pmod(hash_int(F.coalesce(c.cast("string"), F.lit(""))), n.cast("bigint"))

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from tunelake.functions.codetext import called_names, extract_code, length_sanity
 from tunelake.functions.pytext import mean_of, text_or_empty
-from tunelake.functions.salted import salted_join
 from tunelake.sinks.shared import shared_dir
 
 # Fixed value: the variable that generated code must assign.
@@ -35,8 +34,6 @@ FLAGS = (
     "has_python_block", "parses", "defines_root_part", "no_forbidden", "api_in_whitelist",
     "length_sanity",
 )
-# A whitelist up to this size goes to every row as one array; a larger one is joined.
-MAX_INLINE_SYMBOLS = 2_048
 
 CHECKS_SCHEMA = T.StructType([
     T.StructField("parses", T.BooleanType()),
@@ -97,30 +94,22 @@ def fixed_whitelist(whitelist: DataFrame) -> DataFrame:
     return whitelist.checkpoint()
 
 
-def with_known_names(
-    df: DataFrame, names: list[str], whitelist: DataFrame, keys: list[str],
-    *, max_inline: int = MAX_INLINE_SYMBOLS,
-) -> DataFrame:
+def with_known_names(df: DataFrame, names: list[str], whitelist: DataFrame) -> DataFrame:
     """Add ``known``: those names of the row's arrays that the whitelist holds.
 
-    A whitelist of at most ``max_inline`` symbols is handed to each row as one
-    array, with no shuffle. A larger one is joined name by name, salted because
-    every row may call the same name; the rows are then fixed first, since both
-    the join and the result read them.
+    Rows are fixed first under a number of their own, so that keys may repeat or be
+    null. Names are then joined one by one; whether the whitelist is sent to all
+    tasks or a name that every row calls is split is left to adaptive execution.
     """
-    used = F.array_distinct(F.concat(*[F.col(n) for n in names]))
-    if whitelist.limit(max_inline + 1).count() <= max_inline:
-        allowed = whitelist.agg(F.collect_set("symbol").alias("s")).scalar()
-        return df.withColumn("known", F.array_intersect(used, allowed))
     shared_dir(df.sparkSession)
-    df = df.checkpoint()
-    called = df.select(*keys, F.explode(used).alias("symbol"))
+    rows = df.withColumn("__row", F.monotonically_increasing_id()).checkpoint()
+    used = F.array_distinct(F.concat(*[F.col(n) for n in names]))
+    called = rows.select("__row", F.explode(used).alias("symbol"))
     known = (
-        salted_join(called, whitelist.select("symbol"), ["symbol"], keys, "inner")
-        .groupBy(*keys).agg(F.collect_set("symbol").alias("known"))
-    )
-    return df.join(known, keys, "left").withColumn(
-        "known", F.coalesce("known", F.array().cast("array<string>")))
+        called.join(whitelist.select("symbol").distinct(), "symbol")
+        .groupBy("__row").agg(F.collect_set("symbol").alias("known")))
+    return rows.join(known, "__row", "left").withColumn(
+        "known", F.coalesce("known", F.array().cast("array<string>"))).drop("__row")
 
 
 def unknown_names(names: Column, known: Column) -> Column:
@@ -155,7 +144,6 @@ def with_names(df: DataFrame) -> DataFrame:
 
 def score_static(
     pairs: DataFrame, whitelist: DataFrame, *, keys: tuple[str, ...] = ("example_id", "side"),
-    max_inline: int = MAX_INLINE_SYMBOLS,
 ) -> DataFrame:
     """Score each prediction against its reference code, without running it.
 
@@ -179,7 +167,7 @@ def score_static(
     )
     known = F.col("known")
     scored = (
-        with_known_names(features, ["gen_names", "ref_names"], whitelist, keys, max_inline=max_inline)
+        with_known_names(features, ["gen_names", "ref_names"], whitelist)
         .withColumn("unknown_symbols", unknown_names(F.col("gen_names"), known))
         .withColumn("api_in_whitelist", F.col("has_code") & (F.size("unknown_symbols") == 0))
         .withColumn("api_coverage", F.when(

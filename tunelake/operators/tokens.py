@@ -17,9 +17,6 @@ PAD_ID = 0
 IGNORE_LABEL = -100
 AUX_FIELDS = ("token_type_ids", "mm_token_type_ids")
 
-# Rows per bucket; batching and packing work inside buckets of about this size.
-BUCKET_ROWS = 4_096
-
 Tokenizer = Callable[[Column], Column]
 
 
@@ -35,20 +32,18 @@ def piece_ids(words: Column, vocab_size: int = VOCAB_SIZE) -> Column:
 
 
 def tokenize(
-    df: DataFrame, max_len: int, *, text: str = "text", tokenizer: Tokenizer | None = None
+    df: DataFrame, max_len: int | None, *, text: str = "text", tokenizer: Tokenizer | None = None
 ) -> DataFrame:
-    """Add ``n_tokens``, the full length, and ``input_ids``, cut at ``max_len``.
+    """Add ``n_tokens``, the full length, and ``input_ids``, cut at ``max_len`` if given.
 
     ``tokenizer`` maps a text column to an array of ints, for example a pandas
     UDF that loads a model's tokenizer once per worker. The default stays in the
     JVM and hashes only the pieces it keeps.
     """
-    if tokenizer is not None:
-        whole = df.withColumn("__ids", tokenizer(F.col(text)))
-        kept = F.slice("__ids", 1, max_len)
-    else:
-        whole = df.withColumn("__ids", pieces(F.col(text)))
-        kept = piece_ids(F.slice("__ids", 1, max_len))
+    whole = df.withColumn("__ids", (tokenizer or pieces)(F.col(text)))
+    kept = F.col("__ids") if max_len is None else F.slice("__ids", 1, max_len)
+    if tokenizer is None:
+        kept = piece_ids(kept)
     return whole.withColumn("n_tokens", F.size("__ids")).withColumn("input_ids", kept).drop("__ids")
 
 
@@ -64,33 +59,34 @@ def drop_aux(df: DataFrame) -> DataFrame:
     return df.drop(*AUX_FIELDS)
 
 
-def bucketed(
-    df: DataFrame, id_col: str, *, num_buckets: int | None = None, bucket_rows: int = BUCKET_ROWS
-) -> DataFrame:
-    """Add ``bucket``. By default the number of buckets follows the row count, so
-    buckets keep their size as the data grows and never depend on the cluster."""
-    n = F.lit(num_buckets)
-    if num_buckets is None:
-        n = df.agg(
-            F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(bucket_rows))).alias("n")
-        ).scalar()
-    return df.withColumn("bucket", bucket_of(id_col, n))
+def bucketed(df: DataFrame, id_col: str, num_buckets: int) -> DataFrame:
+    """Add ``bucket`` by a hash of the id, so that a new row never moves another one."""
+    return df.withColumn("bucket", bucket_of(id_col, num_buckets))
+
+
+def cut_to(df: DataFrame, max_len: int | None) -> DataFrame:
+    """Cut ``input_ids`` at ``max_len`` if given, and add ``tokens_cut``, how many that left out."""
+    if max_len is None:
+        return df.withColumn("tokens_cut", F.lit(0))
+    gone = F.greatest(F.size("input_ids") - max_len, F.lit(0))
+    return df.withColumn("tokens_cut", gone).withColumn("input_ids", F.slice("input_ids", 1, max_len))
 
 
 def collate(
-    df: DataFrame, id_col: str, batch_size: int, *, pad_id: int = PAD_ID, seed: int = 42,
-    num_buckets: int | None = None, bucket_rows: int = BUCKET_ROWS,
+    df: DataFrame, id_col: str, batch_size: int, *, num_buckets: int, max_len: int | None = None,
+    pad_id: int = PAD_ID, seed: int = 42,
 ) -> DataFrame:
     """Group examples into batches and pad each to its batch's longest.
 
     Labels are the ids with every padded position ignored; a real token equal to
     ``pad_id`` keeps its label. Auxiliary arrays are cut or zero-padded to the
-    same width, a missing one is all zeros. Both windows are over one bucket, so
+    same width, a missing one is all zeros. Examples longer than ``max_len`` are
+    cut, and ``tokens_cut`` says by how much. Both windows are over one bucket, so
     the rows are shuffled once.
     """
     in_bucket = Window.partitionBy("bucket").orderBy(order_key(id_col, seed), id_col)
     batched = (
-        bucketed(df, id_col, num_buckets=num_buckets, bucket_rows=bucket_rows)
+        bucketed(cut_to(df, max_len), id_col, num_buckets)
         .withColumn("__at", F.row_number().over(in_bucket) - 1)
         .withColumn("batch", F.floor(F.col("__at") / F.lit(batch_size)))
         .withColumn("row_in_batch", (F.col("__at") % batch_size).cast("int"))
@@ -116,8 +112,7 @@ def collate(
 
 
 def pack_wrapped(
-    df: DataFrame, id_col: str, max_len: int, *, seed: int = 42,
-    num_buckets: int | None = None, bucket_rows: int = BUCKET_ROWS,
+    df: DataFrame, id_col: str, max_len: int, *, num_buckets: int, seed: int = 42,
 ) -> DataFrame:
     """Concatenate a bucket's examples and cut the stream every ``max_len`` tokens.
 
@@ -130,8 +125,7 @@ def pack_wrapped(
     )
     size = F.size("input_ids")
     placed = (
-        bucketed(df.select(id_col, "input_ids"), id_col,
-                 num_buckets=num_buckets, bucket_rows=bucket_rows)
+        bucketed(df.select(id_col, "input_ids"), id_col, num_buckets)
         .withColumn("__start", F.coalesce(F.sum(size).over(before), F.lit(0)))
     )
     first = F.floor(F.col("__start") / F.lit(max_len))
@@ -150,49 +144,46 @@ def pack_wrapped(
 
 
 def pack_examples(
-    df: DataFrame, id_col: str, max_len: int, *, seed: int = 42,
-    num_buckets: int | None = None, bucket_rows: int = BUCKET_ROWS,
+    df: DataFrame, id_col: str, max_len: int, *, num_buckets: int, cut_long: bool = False, seed: int = 42,
 ) -> DataFrame:
     """Put whole examples together, in seeded order, as long as they fit.
 
-    One row per pack: the ids in order, where each example starts, and the
-    example ids. Only (id, length) goes through Python; an example longer than
-    ``max_len`` must be cut first and fails the job otherwise.
+    One row per pack: the ids in order, where each example starts, the example ids,
+    and how many tokens were cut. An example longer than ``max_len`` fails the job
+    unless ``cut_long`` has it cut. Only its place and length go through Python; the
+    number of a row in its bucket brings the ids back, so ids may repeat, and all
+    steps share the partitioning by bucket.
     """
-    rows = bucketed(
-        df.select(id_col, "input_ids"), id_col, num_buckets=num_buckets, bucket_rows=bucket_rows)
-    id_type = dict(df.dtypes)[id_col]
+    rows = (
+        bucketed(cut_to(df.select(id_col, "input_ids"), max_len if cut_long else None), id_col, num_buckets)
+        .select(F.col(id_col).alias("id"), "bucket", "input_ids", "tokens_cut", order_key(id_col, seed).alias("h"))
+        .withColumn("row", F.row_number().over(Window.partitionBy("bucket").orderBy("h", "id", "input_ids"))))
 
     def assign(bucket: pd.DataFrame) -> pd.DataFrame:
-        bucket = bucket.sort_values(["h", "id"], kind="stable")
+        lengths = bucket.sort_values("row")["length"].to_numpy()
+        if (lengths > max_len).any():
+            raise ValueError(f"example of {lengths.max()} tokens does not fit into {max_len}")
         packs, starts, pack, used = [], [], 0, 0
-        for length in bucket["length"]:
-            if length > max_len:
-                raise ValueError(f"example of {length} tokens does not fit into {max_len}")
+        for length in lengths.tolist():
             if used + length > max_len:
                 pack, used = pack + 1, 0
             packs.append(pack)
             starts.append(used)
             used += length
-        return pd.DataFrame({
-            "id": bucket["id"], "bucket": bucket["bucket"], "pack": packs, "start": starts})
-
-    places = (
-        rows.select(
-            F.col(id_col).alias("id"), "bucket", F.size("input_ids").alias("length"),
-            order_key(id_col, seed).alias("h"))
-        .groupBy("bucket")
-        .applyInPandas(assign, f"id {id_type}, bucket bigint, pack bigint, start bigint")
-    )
-    joined = F.array_sort(F.collect_list(F.struct("start", "id", "input_ids")))
+        return pd.DataFrame({"bucket": bucket["bucket"].iloc[0], "row": range(1, len(lengths) + 1), "pack": packs, "start": starts})
+
+    places = rows.select("bucket", "row", F.size("input_ids").alias("length")).groupBy("bucket").applyInPandas(
+        assign, "bucket bigint, row int, pack bigint, start bigint")
+    joined = F.array_sort(F.collect_list(F.struct("row", "start", "id", "input_ids", "tokens_cut")))
     return (
-        places.join(rows.select(F.col(id_col).alias("id"), "input_ids"), "id")
+        rows.join(places, ["bucket", "row"])
         .groupBy("bucket", "pack").agg(joined.alias("__rows"))
         .select(
             "bucket", "pack",
             F.flatten(F.transform("__rows", lambda r: r["input_ids"])).alias("input_ids"),
             F.transform("__rows", lambda r: r["start"]).alias("starts"),
-            F.transform("__rows", lambda r: r["id"]).alias("example_ids"))
+            F.transform("__rows", lambda r: r["id"]).alias("example_ids"),
+            F.aggregate("__rows", F.lit(0), lambda n, r: n + r["tokens_cut"]).alias("tokens_cut"))
     )
 
 

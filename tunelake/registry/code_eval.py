@@ -12,7 +12,7 @@ from tunelake.functions.codetext import called_names, extract_code, length_sanit
 from tunelake.operators import codeeval, report
 from tunelake.operators.sqleval import quality_mark
 from tunelake.registry.core import register
-from tunelake.registry.inputs import derive
+from tunelake.registry.inputs import derive, table
 from tunelake.sources.predictions import base_vs_tuned
 
 FX = ("fx_code_pairs",)
@@ -65,8 +65,8 @@ def whitelist(spark, sf_dir):
     return codeeval.fixed_whitelist(codeeval.api_whitelist(pairs(spark, sf_dir)))
 
 
-def scored(spark, sf_dir, **kwargs):
-    return codeeval.score_static(pairs(spark, sf_dir), whitelist(spark, sf_dir), **kwargs)
+def scored(spark, sf_dir):
+    return codeeval.score_static(pairs(spark, sf_dir), whitelist(spark, sf_dir))
 
 
 def flat(df):
@@ -80,8 +80,7 @@ def checks(spark, sf_dir):
 
 def named(spark, sf_dir):
     names = codeeval.with_names(codeeval.with_code(pairs(spark, sf_dir)))
-    return codeeval.with_known_names(
-        names, ["gen_names", "ref_names"], whitelist(spark, sf_dir), ["example_id", "side"])
+    return codeeval.with_known_names(names, ["gen_names", "ref_names"], whitelist(spark, sf_dir))
 
 
 @register("code_extract_static", FEATURES + "SELECT example_id, side, code, has_py AS has_python FROM code", FX)
@@ -146,10 +145,16 @@ def score_static(spark, sf_dir):
     return flat(scored(spark, sf_dir))
 
 
-@register("score_static_large_whitelist", FEATURES + "SELECT * FROM scored", FX)
+WIDE = FEATURES.replace(
+    "UNION SELECT unnest([", "UNION SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) FROM documents UNION SELECT unnest([")
+
+
+@register("score_static_large_whitelist", WIDE + "SELECT * FROM scored", FX)
 def score_static_large_whitelist(spark, sf_dir):
-    """The joined form, which a whitelist above the inline size takes."""
-    return flat(scored(spark, sf_dir, max_inline=0))
+    """The same scores where every word of the documents is an allowed name too."""
+    words = F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)))
+    wide = whitelist(spark, sf_dir).union(table(spark, sf_dir, "documents").select(words.alias("symbol")).distinct())
+    return flat(codeeval.score_static(pairs(spark, sf_dir), wide))
 
 
 @register("eval_static_aggregate", AGG + " SELECT * FROM agg", FX)

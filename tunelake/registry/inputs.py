@@ -11,9 +11,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunelake.sinks.shared import size_of
-
-SPLIT_BYTES = 128 * 1024 * 1024
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -235,12 +232,5 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Work on texts is costly per row, and a documents table too
-    small to give every core a full split often lies in one row group, so that
-    one is spread by key. A larger one is read as it is, without a shuffle."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if name == "documents" and size_of(spark, path) < cores * SPLIT_BYTES:
-        return df.repartition(cores, "doc_id")
-    return df
+    """A driver table, read as it lies."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

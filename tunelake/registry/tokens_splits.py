@@ -13,7 +13,7 @@ from tunelake.registry.sql_text import WS
 from tunelake.sinks.shared import shared_dir
 
 MAX_LEN = 256
-BUCKET_ROWS = 128
+NUM_BUCKETS = 8
 PIECE = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_" + WS[1:]
 
 
@@ -28,17 +28,20 @@ def _order(e: str, seed: str = "42") -> str:
 TOKENS = RENDERED + f""",
 words AS (SELECT line_no, format, regexp_extract_all(text, '{PIECE}') AS w FROM rendered),
 toks AS (SELECT line_no, format, CAST(len(w) AS INTEGER) AS n_tokens,
-  list_transform(w[1:{MAX_LEN}], lambda t: {_h32('t')} % {tokens.VOCAB_SIZE - 1} + 1) AS ids FROM words)
+  list_transform(w, lambda t: {_h32('t')} % {tokens.VOCAB_SIZE - 1} + 1) AS all_ids, all_ids[1:{MAX_LEN}] AS ids FROM words)
 """
-BUCKETS = TOKENS + f""",
-nb AS (SELECT CAST(greatest(1, ceil(count(*) / {BUCKET_ROWS}.0)) AS BIGINT) AS n FROM toks),
-placed AS (SELECT toks.*, CAST(len(ids) AS BIGINT) AS size, {_h32('CAST(line_no AS VARCHAR)')} % (SELECT n FROM nb) AS bucket,
-  {_order('line_no')} AS h FROM toks),
+def _buckets(ids: str) -> str:
+    return TOKENS + f""",
+placed AS (SELECT line_no, {ids} AS ids, CAST(len({ids}) AS BIGINT) AS size, greatest(CAST(n_tokens AS INTEGER) - {MAX_LEN}, 0) AS tokens_cut,
+  CAST({_h32('CAST(line_no AS VARCHAR)')} % {NUM_BUCKETS} AS BIGINT) AS bucket, {_order('line_no')} AS h FROM toks),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY h, line_no) AS rn,
   CAST(coalesce(sum(size) OVER (PARTITION BY bucket ORDER BY h, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM placed)
 """
 
 
+CUT, UNCUT = _buckets("ids"), _buckets("all_ids")
+
+
 def _joined(col):
     return F.array_join(F.col(col).cast("array<string>"), " ").alias(col)
 
@@ -48,9 +51,10 @@ def tokenized(spark, sf_dir):
 
 
 def stored_tokens(spark, sf_dir):
-    """Token rows written once, as batching and packing read a prepared table."""
+    """Uncut token rows written once, as batching and packing read a prepared table."""
     shared_dir(spark)
-    return tokenized(spark, sf_dir).select("line_no", "input_ids").checkpoint()
+    whole = tokens.tokenize(chat.render_with(messages(spark, sf_dir)), None)
+    return whole.select("line_no", "input_ids").checkpoint()
 
 
 @register("tok_truncate", TOKENS + """
@@ -77,47 +81,47 @@ def prj_drop_aux(spark, sf_dir):
     ).withColumns({c: _joined(c) for c in ("input_ids", "attention_mask")})
 
 
-@register("tok_collate", BUCKETS + """,
+@register("tok_collate", CUT + """,
 batched AS (SELECT *, CAST(floor((rn - 1) / 8.0) AS BIGINT) AS batch, CAST((rn - 1) % 8 AS INTEGER) AS row_in_batch FROM ranked),
 widths AS (SELECT bucket, batch, max(size) AS width FROM batched GROUP BY bucket, batch),
 wide AS (SELECT b.*, w.width, w.width - b.size AS gap FROM batched b JOIN widths w USING (bucket, batch))
-SELECT line_no, bucket, batch, row_in_batch, CAST(width AS INTEGER) AS width,
+SELECT line_no, bucket, batch, row_in_batch, tokens_cut, CAST(width AS INTEGER) AS width,
   array_to_string(ids || list_transform(range(gap), lambda g: 0), ' ') AS input_ids,
   array_to_string(ids || list_transform(range(gap), lambda g: -100), ' ') AS labels,
   trim(concat(repeat('1 ', size), repeat('0 ', gap))) AS attention_mask,
   trim(repeat('0 ', width)) AS token_type_ids FROM wide""", FX)
 def tok_collate(spark, sf_dir):
     ready = tokens.add_aux(stored_tokens(spark, sf_dir))
-    return tokens.collate(ready, "line_no", 8, bucket_rows=BUCKET_ROWS).select(
-        "line_no", "bucket", "batch", "row_in_batch", "width", _joined("input_ids"),
+    return tokens.collate(ready, "line_no", 8, num_buckets=NUM_BUCKETS, max_len=MAX_LEN).select(
+        "line_no", "bucket", "batch", "row_in_batch", "tokens_cut", "width", _joined("input_ids"),
         _joined("labels"), _joined("attention_mask"), _joined("token_type_ids"))
 
 
-@register("tok_pack_wrapped", BUCKETS + f""",
+@register("tok_pack_wrapped", UNCUT + f""",
 stream AS (SELECT bucket, start + k AS place, ids[k + 1] AS tok FROM (SELECT *, unnest(range(size)) AS k FROM ranked))
 SELECT bucket, CAST(floor(place / {MAX_LEN}.0) AS BIGINT) AS block, array_to_string(list(tok ORDER BY place), ' ') AS input_ids
 FROM stream GROUP BY ALL""", FX)
 def tok_pack_wrapped(spark, sf_dir):
     return tokens.pack_wrapped(
-        stored_tokens(spark, sf_dir), "line_no", MAX_LEN, bucket_rows=BUCKET_ROWS
+        stored_tokens(spark, sf_dir), "line_no", MAX_LEN, num_buckets=NUM_BUCKETS
     ).select("bucket", "block", _joined("input_ids"))
 
 
-@register("tok_pack_examples", BUCKETS.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
-filled(bucket, rn, line_no, size, ids, pack, pos) AS (
-  SELECT bucket, rn, line_no, size, ids, CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM ranked WHERE rn = 1
+@register("tok_pack_examples", CUT.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+filled(bucket, rn, line_no, size, ids, tokens_cut, pack, pos) AS (
+  SELECT bucket, rn, line_no, size, ids, tokens_cut, CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM ranked WHERE rn = 1
   UNION ALL
-  SELECT r.bucket, r.rn, r.line_no, r.size, r.ids,
+  SELECT r.bucket, r.rn, r.line_no, r.size, r.ids, r.tokens_cut,
     CASE WHEN f.pos + f.size + r.size > {MAX_LEN} THEN f.pack + 1 ELSE f.pack END,
     CASE WHEN f.pos + f.size + r.size > {MAX_LEN} THEN 0 ELSE f.pos + f.size END
   FROM filled f JOIN ranked r ON r.bucket = f.bucket AND r.rn = f.rn + 1)
-SELECT bucket, pack, array_to_string(list(line_no ORDER BY rn), ' ') AS example_ids,
+SELECT bucket, pack, CAST(sum(tokens_cut) AS INTEGER) AS tokens_cut, array_to_string(list(line_no ORDER BY rn), ' ') AS example_ids,
   array_to_string(list(pos ORDER BY rn), ' ') AS starts,
   array_to_string(flatten(list(ids ORDER BY rn)), ' ') AS input_ids FROM filled GROUP BY bucket, pack""", FX)
 def tok_pack_examples(spark, sf_dir):
     return tokens.pack_examples(
-        stored_tokens(spark, sf_dir), "line_no", MAX_LEN, bucket_rows=BUCKET_ROWS
-    ).select("bucket", "pack", _joined("example_ids"), _joined("starts"), _joined("input_ids"))
+        stored_tokens(spark, sf_dir), "line_no", MAX_LEN, num_buckets=NUM_BUCKETS, cut_long=True
+    ).select("bucket", "pack", "tokens_cut", _joined("example_ids"), _joined("starts"), _joined("input_ids"))
 
 
 @register("tok_profile", TOKENS + f""",

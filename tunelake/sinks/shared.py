@@ -2,32 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which every executor can reach.
 
-    Where it is unset, a checkpoint folder set on the context is used. Failing
-    that, a local session gets a temporary folder; a cluster session is refused,
-    since its executors share no local folder.
+    Where it is unset, a checkpoint folder set on the context is used; without
+    either the job is refused, since no other folder is known to be shared.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tunelake-"))
-        path = sc.getCheckpointDir()
-    elif sc.getCheckpointDir() is None:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path.rstrip("/")
-
-
-def size_of(spark: SparkSession, path: str) -> int:
-    """Bytes under a path, asked of the path's own file system."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.getContentSummary(hadoop_path).getLength()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from tunelake.sinks.shared import shared_dir
 
 
-def run_to_table(stream: DataFrame, name: str, *, timeout_s: int = 3600) -> DataFrame:
+def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     """Process all available input into a parquet table and read that back.
 
     Output and checkpoint lie in the shared folder, so a restarted query goes
@@ -23,8 +23,7 @@ def run_to_table(stream: DataFrame, name: str, *, timeout_s: int = 3600) -> Data
         .trigger(availableNow=True).start()
     )
     try:
-        if not query.awaitTermination(timeout_s):
-            raise TimeoutError(f"stream {name} did not finish in {timeout_s} s")
+        query.awaitTermination()
     finally:
         query.stop()
     return spark.read.schema(stream.schema).parquet(f"{base}/table")
