@@ -170,8 +170,9 @@ def test_response_fold(spark, block_rows):
     }
     rows = [(k, i, 1000 + i, line) for k, (lines, _) in cases.items() for i, line in enumerate(lines)]
     df = spark.createDataFrame(rows, "request_id long, seq long, recv_us long, line string").repartition(5)
+    starts = spark.createDataFrame([(k, 1000) for k in cases], "request_id long, start_us long")
     got = {r.request_id: (r.ttft_us, r.completion_tokens, r.total_us)
-           for r in perf.fold_responses(df, block_rows=block_rows).collect()}
+           for r in perf.fold_responses(df, starts, block_rows=block_rows).collect()}
     assert got == {k: w for k, (_, w) in cases.items()}
 
 

@@ -43,18 +43,27 @@ def rows(df, *columns):
 
 
 def test_response_stream_equals_batch(spark, sf_dir, tmp_path):
-    frames = derive(spark, sf_dir, "fx_frames").cache()
-    stream = responses.fold_response_stream(as_stream(spark, frames, "seq", str(tmp_path / "in")))
-    states = run(stream, str(tmp_path))
-    assert states.groupBy("request_id").count().agg(F.max("count")).first()[0] > 1
-    columns = ("request_id", "ttft_us", "completion_tokens", "total_us")
-    assert rows(responses.latest_folds(states), *columns) == rows(perf.fold_responses(frames), *columns)
+    """Five micro-batches; one request holds nine tenths of the frames."""
+    frames = derive(spark, sf_dir, "fx_frames").withColumn(
+        "request_id", F.when(F.col("seq") % 10 > 0, 1).otherwise(F.col("request_id"))).cache()
+    starts = frames.groupBy("request_id").agg((F.min("recv_us") - 7).alias("start_us")).filter("request_id % 3 <> 2")
+    stream = as_stream(spark, frames, "seq", str(tmp_path / "in"), 5)
+    got = responses.fold_response_stream(stream, starts, str(tmp_path / "run"))
+    assert len(os.listdir(tmp_path / "run" / "table")) >= 5
+    assert rows(got, *got.columns) == rows(perf.fold_responses(frames, starts, block_rows=50), *got.columns)
+
+
+def test_time_to_first_token_counts_from_the_start(spark):
+    frames = spark.createDataFrame([(1, 0, 5000, 'data: {"choices":[{"delta":{"content":"x"}}]}')], "request_id long, seq long, recv_us long, line string")
+    starts = spark.createDataFrame([(1, 1000)], "request_id long, start_us long")
+    assert perf.fold_responses(frames, starts).first()[:] == (1, 4000, 1, 4000)
 
 
 def test_log_stream_equals_batch(spark, sf_dir, tmp_path):
-    lines = derive(spark, sf_dir, "fx_log_lines").cache()
-    stream = as_stream(spark, lines, "line_no", str(tmp_path / "in"))
-    got = run(log_stream.follow_phases(stream), str(tmp_path / "phases"))
+    lines = derive(spark, sf_dir, "fx_log_lines").withColumn(
+        "file", F.when(F.col("line_no") % 10 > 0, "train.log").otherwise(F.col("file"))).cache()
+    stream = as_stream(spark, lines, "line_no", str(tmp_path / "in"), 5)
+    got = log_stream.follow_phases(stream, str(tmp_path / "phases"))
     want = trainlog.sessions(trainlog.phases(lines))
     columns = ("file", "line_no", "phase", "phase_start", "session")
     assert rows(got, *columns) == rows(want, *columns)

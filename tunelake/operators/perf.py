@@ -63,14 +63,12 @@ def sweep_summary(requests: DataFrame) -> DataFrame:
     return totals.join(quantiles, "concurrency", "left")
 
 
-def fold_responses(frames: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Per request: time to first content, tokens and total time.
+def fold_blocks(frames: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """One row per request and block of ``block_rows`` sequence numbers, all that a fold needs of it.
 
-    Tokens are the frames with content, replaced by a usage report when one
-    comes; content after the report adds to it. Nothing after the end mark
-    counts. Frames (request_id, seq, recv_us, line) are folded to one row per
-    block of ``block_rows`` sequence numbers first, so a request holding most
-    frames is spread over many tasks; the second step sees blocks only.
+    A request that holds most frames is so spread over many tasks. Works on any part
+    of the frames that holds a run of each request's sequence, so a stream may fold
+    each micro-batch by itself.
     """
     in_block = Window.partitionBy("request_id", "block")
     seq = F.col("seq")
@@ -78,13 +76,13 @@ def fold_responses(frames: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFr
     live = F.col("end_at").isNull() | (seq < F.col("end_at"))
     reported = F.when(live & F.col("usage_tokens").isNotNull(), seq)
     content = live & F.col("has_content")
-    blocks = (
+    return (
         parse_frames(frames)
         .withColumn("block", F.floor(seq / F.lit(block_rows)))
         .withColumn("end_at", end_at)
         .withColumn("usage_at", F.max(reported).over(in_block))
         .groupBy("request_id", "block").agg(
-            F.min("recv_us").alias("first_us"),
+            F.min("seq").alias("first_seq"),
             F.max(F.when(live | F.col("is_end") & (seq == F.col("end_at")), F.col("recv_us"))).alias("last_us"),
             F.min(F.when(content, F.col("recv_us"))).alias("content_us"),
             F.count_if(content).alias("contents"),
@@ -93,16 +91,21 @@ def fold_responses(frames: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFr
             F.max("is_end").alias("has_end"),
         )
     )
-    before = (
-        Window.partitionBy("request_id").orderBy("block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    counted = blocks.withColumns({
-        "ended": F.coalesce(F.max("has_end").over(before), F.lit(False)),
-    }).withColumn(
-        "usage_block", F.max(F.when(~F.col("ended") & F.col("usage").isNotNull(), F.col("block")))
+
+
+def join_blocks(blocks: DataFrame, starts: DataFrame) -> DataFrame:
+    """Fold a request's blocks, in order of their first frame, from its start on.
+
+    ``starts`` holds (request_id, start_us), when each request was sent. Without one
+    both times are null, as is the first where no frame has content.
+    """
+    along = Window.partitionBy("request_id").orderBy("first_seq")
+    counted = blocks.withColumn(
+        "ended", F.coalesce(F.max("has_end").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
+    ).withColumn(
+        "usage_block", F.max(F.when(~F.col("ended") & F.col("usage").isNotNull(), F.col("first_seq")))
         .over(Window.partitionBy("request_id")))
-    block, usage_block = F.col("block"), F.col("usage_block")
+    block, usage_block = F.col("first_seq"), F.col("usage_block")
     part = (
         F.when(F.col("ended"), 0)
         .when(usage_block.isNull() | (block > usage_block), F.col("contents"))
@@ -110,8 +113,21 @@ def fold_responses(frames: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFr
         .otherwise(0)
     )
     seen = ~F.col("ended")
-    return counted.groupBy("request_id").agg(
-        (F.min(F.when(seen, F.col("content_us"))) - F.min("first_us")).alias("ttft_us"),
+    folded = counted.groupBy("request_id").agg(
+        F.min(F.when(seen, F.col("content_us"))).alias("content_us"),
         F.sum(part).alias("completion_tokens"),
-        (F.max(F.when(seen, F.col("last_us"))) - F.min("first_us")).alias("total_us"),
+        F.max(F.when(seen, F.col("last_us"))).alias("last_us"),
     )
+    return folded.join(starts.select("request_id", "start_us"), "request_id", "left").select(
+        "request_id", (F.col("content_us") - F.col("start_us")).alias("ttft_us"), "completion_tokens",
+        (F.col("last_us") - F.col("start_us")).alias("total_us"))
+
+
+def fold_responses(frames: DataFrame, starts: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Per request: time from its start to the first content, tokens, and total time.
+
+    Tokens are the frames with content, replaced by a usage report when one
+    comes; content after the report adds to it. Nothing after the end mark
+    counts. Frames are (request_id, seq, recv_us, line).
+    """
+    return join_blocks(fold_blocks(frames, block_rows=block_rows), starts)

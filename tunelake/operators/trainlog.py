@@ -54,17 +54,20 @@ def phase_event(value: Column) -> Column:
     )
 
 
-def phases(lines: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def phases(lines: DataFrame, before: DataFrame | None = None, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add ``phase`` of each line and ``phase_start`` on the first marker of a cycle.
 
     Further markers inside a running cycle start nothing. The line with the eval
-    loss still belongs to its cycle.
+    loss still belongs to its cycle. ``before`` holds (file, event, sessions) of the
+    lines that went before these, as :func:`carried` gives them.
     """
     event = phase_event(F.col("value"))
     running = F.col("__before") == 1
+    known = last_before(lines, ["file"], "line_no", event, "__before", block_rows=block_rows)
+    if before is not None:
+        known = known.join(before.select("file", "event"), "file", "left").withColumn("__before", F.coalesce("__before", "event")).drop("event")
     return (
-        last_before(lines, ["file"], "line_no", event, "__before", block_rows=block_rows)
-        .withColumn("__before", F.coalesce("__before", F.lit(0)))
+        known.withColumn("__before", F.coalesce("__before", F.lit(0)))
         .withColumn("phase_start", F.coalesce((event == 1) & ~running, F.lit(False)))
         .withColumn("phase", F.when(
             F.col("phase_start") | (running & ~F.col("value").rlike(SESSION_LINE)), "eval"
@@ -73,7 +76,25 @@ def phases(lines: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
     )
 
 
-def sessions(lines: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def sessions(lines: DataFrame, before: DataFrame | None = None, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add ``session``: how many session headers the file has had by this line."""
     header = F.when(F.col("value").rlike(SESSION_LINE), 1).otherwise(0)
-    return running_sum(lines, ["file"], "line_no", header, "session", block_rows=block_rows)
+    out = running_sum(lines, ["file"], "line_no", header, "session", block_rows=block_rows)
+    if before is None:
+        return out
+    earlier = F.coalesce("sessions", F.lit(0))
+    return out.join(before.select("file", "sessions"), "file", "left").withColumn("session", F.col("session") + earlier).drop("sessions")
+
+
+def carried(lines: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """(file, event, sessions) after these lines: the last phase event and the headers so far."""
+    event = phase_event(F.col("value"))
+    now = lines.groupBy("file").agg(
+        F.max_by(event, F.when(event.isNotNull(), F.col("line_no"))).alias("event"),
+        F.count_if(F.col("value").rlike(SESSION_LINE)).alias("sessions"))
+    if before is None:
+        return now
+    old = before.select("file", F.col("event").alias("__event"), F.col("sessions").alias("__sessions"))
+    return now.join(old, "file", "full").select(
+        "file", F.coalesce("event", "__event").alias("event"),
+        (F.coalesce("sessions", F.lit(0)) + F.coalesce("__sessions", F.lit(0))).alias("sessions"))

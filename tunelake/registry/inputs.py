@@ -167,6 +167,12 @@ SELECT user_id AS request_id, event_id AS seq, event_id AS recv_us,
 FROM events
 """
 
+INPUTS["fx_request_starts"] = """
+SELECT user_id AS request_id, min(event_id) - 5000 - user_id % 1000 AS start_us
+FROM events
+GROUP BY user_id
+"""
+
 INPUTS["fx_log_lines"] = """
 SELECT CASE WHEN user_id % 4 = 0 THEN 'train.log' ELSE concat('train-rank', cast(user_id % 4 AS string), '.log') END AS file,
   event_id AS line_no,

@@ -15,10 +15,12 @@ from tunelake.sources.frames import frames_before_end, parse_frames
 from tunelake.sources.logs import rank_of
 from tunelake.streaming import logs as log_stream
 from tunelake.streaming import responses
-from tunelake.streaming.run import run_to_table
+from tunelake.streaming.run import new_path, run_to_table
 
 # Small blocks, so that the checks cross many block borders.
 BLOCK = 1_000
+# Micro-batches of the streams.
+PARTS = 5
 
 
 def _pick(value: str, group: str, probs: dict[str, float], source: str) -> str:
@@ -77,10 +79,11 @@ f AS (SELECT request_id, seq, recv_us, is_data, is_end,
 FOLD = FRAMES + """,
 u AS (SELECT *, max(CASE WHEN usage_tokens IS NOT NULL AND seq < coalesce(end_at, 9e18) THEN seq END) OVER (PARTITION BY request_id) AS usage_at FROM f),
 fold AS (SELECT request_id,
-  min(CASE WHEN has_content AND seq < coalesce(end_at, 9e18) THEN recv_us END) - min(recv_us) AS ttft_us,
+  min(CASE WHEN has_content AND seq < coalesce(end_at, 9e18) THEN recv_us END) - min(start_us) AS ttft_us,
   CAST(coalesce(max(CASE WHEN seq = usage_at THEN usage_tokens END), 0)
     + sum((has_content AND seq < coalesce(end_at, 9e18) AND seq > coalesce(usage_at, -1))::int) AS BIGINT) AS completion_tokens,
-  max(CASE WHEN seq <= coalesce(end_at, 9e18) THEN recv_us END) - min(recv_us) AS total_us FROM u GROUP BY request_id)
+  max(CASE WHEN seq <= coalesce(end_at, 9e18) THEN recv_us END) - min(start_us) AS total_us
+  FROM u LEFT JOIN fx_request_starts USING (request_id) GROUP BY request_id)
 """
 
 
@@ -92,23 +95,30 @@ def sse_frames(spark, sf_dir):
         "request_id", "seq", "has_content", "usage_tokens")
 
 
-@register("sse_request_fold", FOLD + "SELECT * FROM fold", ("fx_frames",))
+FOLDS = ("fx_frames", "fx_request_starts")
+
+
+@register("sse_request_fold", FOLD + "SELECT * FROM fold", FOLDS)
 def sse_request_fold(spark, sf_dir):
-    return perf.fold_responses(derive(spark, sf_dir, "fx_frames"), block_rows=BLOCK)
+    return perf.fold_responses(*(derive(spark, sf_dir, name) for name in FOLDS), block_rows=BLOCK)
 
 
-def _streamed(spark, df, name):
-    """A table written to the shared folder and opened as a stream."""
+def _streamed(spark, df, name, order):
+    """A table written to the shared folder, part by part along ``order``, and opened as a stream of them."""
     path = f"{shared_dir(spark)}/{name}-in-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.readStream.schema(df.schema).parquet(path)
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    step = ((high or 0) - (low or 0)) // PARTS + 1
+    for i in range(PARTS):  # a stream takes files by the time they were written
+        start = (low or 0) + i * step
+        df.filter((F.col(order) >= start) & (F.col(order) < start + step)).coalesce(1).write.parquet(f"{path}/{i}")
+    return (
+        spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path))
 
 
-@register("sse_request_fold_stream", FOLD + "SELECT * FROM fold", ("fx_frames",))
+@register("sse_request_fold_stream", FOLD + "SELECT * FROM fold", FOLDS)
 def sse_request_fold_stream(spark, sf_dir):
-    frames = _streamed(spark, derive(spark, sf_dir, "fx_frames"), "frames")
-    states = run_to_table(responses.fold_response_stream(frames), "folds")
-    return responses.latest_folds(states).drop("ended")
+    frames = _streamed(spark, derive(spark, sf_dir, "fx_frames"), "frames", "seq")
+    return responses.fold_response_stream(frames, derive(spark, sf_dir, "fx_request_starts"), new_path(frames, "folds"))
 
 
 LOGS = ("fx_log_lines",)
@@ -163,18 +173,18 @@ def log_sessions(spark, sf_dir):
 
 @register("log_metrics_stream", METRICS, LOGS)
 def log_metrics_stream(spark, sf_dir):
-    lines = _streamed(spark, log_lines(spark, sf_dir), "logs")
-    return run_to_table(trainlog.metrics(lines), "metrics")
+    lines = _streamed(spark, log_lines(spark, sf_dir), "logs", "line_no")
+    return run_to_table(trainlog.metrics(lines), new_path(lines, "metrics"))
 
 
 @register("log_phases_stream", PHASES, LOGS)
 def log_phases_stream(spark, sf_dir):
-    lines = _streamed(spark, log_lines(spark, sf_dir), "logs")
-    return run_to_table(log_stream.follow_phases(lines), "phases").drop("value", "session")
+    lines = _streamed(spark, log_lines(spark, sf_dir), "logs", "line_no")
+    return log_stream.follow_phases(lines, new_path(lines, "phases")).drop("value", "session")
 
 
 @register("log_sessions_stream", SESSIONS, LOGS)
 def log_sessions_stream(spark, sf_dir):
-    lines = _streamed(spark, log_lines(spark, sf_dir), "logs")
-    return run_to_table(log_stream.follow_phases(lines), "sessions").select(
+    lines = _streamed(spark, log_lines(spark, sf_dir), "logs", "line_no")
+    return log_stream.follow_phases(lines, new_path(lines, "sessions")).select(
         "file", "line_no", "session")

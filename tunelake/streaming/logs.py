@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tunelake.functions.rows import select_where
-from tunelake.operators.trainlog import SESSION_LINE, metric_columns, phase_event
+from tunelake.operators.trainlog import carried, metric_columns, phases, sessions
 from tunelake.sources.logs import rank_of
-
-OUTPUT = (
-    "file string, line_no bigint, value string, phase string, phase_start boolean, session bigint")
-STATE = "running boolean, session bigint"
+from tunelake.streaming.run import run_batches
 
 
 def stream_log_files(spark: SparkSession, path: str) -> DataFrame:
@@ -34,35 +27,14 @@ def stream_metrics(lines: DataFrame) -> DataFrame:
         *[c.alias(n) for n, c in columns.items()])
 
 
-def _follow(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    running, session = state.get if state.exists else (False, 0)
-    lines = pd.concat(list(batches)).sort_values("line_no")
-    phase, starts, in_session = [], [], []
-    for event, header in zip(lines["event"], lines["is_header"]):
-        start = event == 1 and not running
-        phase.append("eval" if start or (running and not header) else "train")
-        starts.append(start)
-        session += bool(header)
-        in_session.append(session)
-        if not pd.isna(event):
-            running = event == 1
-    state.update((bool(running), int(session)))
-    yield pd.DataFrame({
-        "file": key[0], "line_no": lines["line_no"], "value": lines["value"],
-        "phase": phase, "phase_start": starts, "session": in_session})
-
+def follow_phases(lines: DataFrame, path: str) -> DataFrame:
+    """Phase and session of each line of a stream of (file, line_no, value), with all it holds now.
 
-def follow_phases(lines: DataFrame) -> DataFrame:
-    """Phase and session of each line of a stream of (file, line_no, value).
-
-    A file's lines must arrive in order across micro-batches; the source's rate
-    limits bound what one micro-batch holds of a file.
+    A micro-batch is worked on block by block, as in one table, so a file may hold
+    most lines; one row per file is carried to the next micro-batch. A file's lines
+    must arrive in order across micro-batches; the source's rate limit bounds one.
     """
-    return (
-        lines.withColumn("event", phase_event(F.col("value")))
-        .withColumn("is_header", F.col("value").rlike(SESSION_LINE))
-        .groupBy("file")
-        .applyInPandasWithState(_follow, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
-    )
+    def step(batch: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        return sessions(phases(batch, before), before), carried(batch, before)
+
+    return run_batches(lines, path, step, carries=True)

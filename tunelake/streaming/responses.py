@@ -2,75 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from tunelake.sources.frames import parse_frames
-
-OUTPUT = (
-    "request_id bigint, ttft_us bigint, completion_tokens bigint, total_us bigint, "
-    "ended boolean, frames bigint"
-)
-STATE = (
-    "first_us bigint, last_us bigint, content_us bigint, tokens bigint, ended boolean, "
-    "frames bigint"
-)
-
 
-def _fold(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    first, last, content, tokens, ended, frames = (
-        state.get if state.exists else (None, None, None, 0, False, 0))
-    for row in pd.concat(list(batches)).sort_values("seq").itertuples(index=False):
-        frames += 1
-        first = row.recv_us if first is None else min(first, row.recv_us)
-        if ended:
-            continue
-        last = row.recv_us if last is None else max(last, row.recv_us)
-        ended = bool(row.is_end)
-        if row.has_content:
-            content = row.recv_us if content is None else content
-            tokens += 1
-        if not pd.isna(row.usage_tokens):
-            tokens = int(row.usage_tokens)
-    state.update((first, last, content, tokens, ended, frames))
-    yield pd.DataFrame({
-        "request_id": [key[0]],
-        "ttft_us": pd.array([None if content is None else content - first], dtype="Int64"),
-        "completion_tokens": [tokens], "total_us": [last - first], "ended": [ended],
-        "frames": [frames],
-    })
+from tunelake.operators.perf import fold_blocks, join_blocks
+from tunelake.streaming.run import run_batches
 
 
-def fold_response_stream(frames: DataFrame, *, idle_ms: int | None = None) -> DataFrame:
-    """The fold of every request touched by a micro-batch, as a log of states.
+def fold_response_stream(frames: DataFrame, starts: DataFrame, path: str) -> DataFrame:
+    """``fold_responses`` over a stream of frames, with all it holds now.
 
-    A request's frames must arrive in order of ``seq`` across micro-batches; the
-    source's rate limits bound what one micro-batch holds of it. State is six
-    values per request, dropped ``idle_ms`` after its last frame if given; a
-    frame later than that starts a new fold. :func:`latest_folds` takes each
-    request's last row.
+    Each micro-batch is folded to one row per request and block, and only these rows
+    are kept, so no state grows in memory and a request may hold most frames. A
+    request's frames must arrive in order of ``seq``; the source's rate limit bounds
+    a micro-batch. Starts may come later than frames.
     """
-    def fold(key, batches, state):
-        yield from _fold(key, batches, state)
-        if idle_ms is not None and state.exists:
-            state.setTimeoutDuration(idle_ms)
-
-    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    return parse_frames(frames).groupBy("request_id").applyInPandasWithState(
-        fold, OUTPUT, STATE, "append", timeout)
-
-
-def latest_folds(states: DataFrame) -> DataFrame:
-    """The newest state of each request, from the log the stream writes."""
-    fields = [c for c in states.columns if c not in ("request_id", "frames")]
-    return states.groupBy("request_id").agg(
-        F.max_by(F.struct(*fields), "frames").alias("s")).select("request_id", "s.*")
+    blocks = run_batches(frames, path, lambda batch, _: (fold_blocks(batch), None))
+    return join_blocks(blocks, starts)

@@ -3,27 +3,55 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
 from tunelake.sinks.shared import shared_dir
 
+Step = Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame | None]]
 
-def run_to_table(stream: DataFrame, name: str) -> DataFrame:
+
+def new_path(stream: DataFrame, name: str) -> str:
+    return f"{shared_dir(stream.sparkSession)}/{name}-{uuid.uuid4().hex}"
+
+
+def run_to_table(stream: DataFrame, path: str) -> DataFrame:
     """Process all available input into a parquet table and read that back.
 
-    Output and checkpoint lie in the shared folder, so a restarted query goes
-    on where it stopped.
+    Output and checkpoint lie under ``path``, so a restarted query goes on where it
+    stopped; the folder is the caller's to remove.
     """
-    spark = stream.sparkSession
-    base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     query = (
         stream.writeStream.format("parquet").outputMode("append")
-        .option("path", f"{base}/table").option("checkpointLocation", f"{base}/state")
+        .option("path", f"{path}/table").option("checkpointLocation", f"{path}/state")
         .trigger(availableNow=True).start()
     )
     try:
         query.awaitTermination()
     finally:
         query.stop()
-    return spark.read.schema(stream.schema).parquet(f"{base}/table")
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/table")
+
+
+def run_batches(stream: DataFrame, path: str, step: Step, *, carries: bool = False) -> DataFrame:
+    """Process all available input by ``step``, one micro-batch at a time, and read the results.
+
+    ``step`` gets a micro-batch and, where it ``carries``, the carry of the one before,
+    and returns its rows and its own carry or None. A micro-batch writes folders of its
+    own, so one that is run again replaces what it had written.
+    """
+    def each(batch: DataFrame, number: int) -> None:
+        carried = carries and number > 0
+        before = batch.sparkSession.read.parquet(f"{path}/carry/{number - 1}") if carried else None
+        rows, carry = step(batch, before)
+        rows.write.mode("overwrite").parquet(f"{path}/table/batch={number}")
+        if carry is not None:
+            carry.coalesce(1).write.mode("overwrite").parquet(f"{path}/carry/{number}")
+
+    query = stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+    return stream.sparkSession.read.parquet(f"{path}/table").drop("batch")
