@@ -189,30 +189,47 @@ SHAPES = [
     ("q", None, (2, 6), (5, 2), "merged"), ("wide", None, (2, 7), (5, 2), "shape_mismatch"),
     ("rank", None, (2, 6), (5, 3), "shape_mismatch"), ("e", 4, (8, 6), (5, 8), "merged"),
     ("odd", 4, (7, 6), (5, 7), "shape_mismatch"), ("count", 3, (6, 6), (5, 6), "shape_mismatch"),
-    ("half", None, (2, 6), None, "incomplete"), ("gone", "absent", (2, 6), (5, 2), "target_missing"),
+    ("half", None, (2, 6), None, "incomplete"), ("hole", None, (2, 6), (5, 2), "rows_missing"), ("gone", "absent", (2, 6), (5, 2), "target_missing"),
 ]
 
 
 def test_merge_plan(spark, tmp_path):
     keys = [(f"base_model.model.{n}.lora_{f}.weight", *s) for n, _, a, b, _ in SHAPES for f, s in (("A", a), ("B", b)) if s]
+    keys += [(f"base_model.model.q.base_layer.lora_{f}.weight", *s) for f, s in (("A", (1, 6)), ("B", (5, 1)))]
     keys = spark.createDataFrame(keys, "key string, dim0 int, dim1 int")
     base = spark.createDataFrame(
         [(f"{n}.weight", f"s{i % 2}", e, 5, 6) for i, (n, e, *_) in enumerate(SHAPES) if e != "absent"],
         "name string, shard string, experts int, out_dim int, in_dim int")
     base_rows = base.select(
-        "name", F.lit(0).alias("expert"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("row"),
-        F.array_repeat(F.lit(1.0), 6).alias("values"))
-    a_rows = spark.createDataFrame([("q.weight", 0, k, [1.0] * 6) for k in range(2)], "name string, expert int, k int, values array<double>")
-    b_rows = spark.createDataFrame([("q.weight", 0, i, [1.0, float(i)]) for i in range(5)], "name string, expert int, row long, coeffs array<double>")
+        "name", F.explode(F.sequence(F.lit(0), F.when(F.col("name") == "e.weight", 3).otherwise(0))).alias("expert"),
+        F.array_repeat(F.lit(1.0), 6).alias("values")).withColumn(
+        "row", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))))
+    a_rows = [("q", "bare", k, [1.0] * 6) for k in range(2)] + [("e", "bare", k, [float(k)] * 6) for k in range(8)]
+    b_rows = [("q", "bare", i, [1.0, float(i)]) for i in range(5)] + [("e", "bare", i, [1.0] * 8) for i in range(5)]
+    # A second pair for one tensor, and a pair that lacks a row of A.
+    a_rows += [("q", "base_layer", 0, [10.0] * 6), ("hole", "bare", 0, [1.0] * 6)]
+    b_rows += [("q", "base_layer", i, [1.0]) for i in range(5)] + [("hole", "bare", i, [1.0, 1.0]) for i in range(5)]
+    a_rows = spark.createDataFrame(a_rows, "root string, slot string, k int, values array<double>")
+    b_rows = spark.createDataFrame(b_rows, "root string, slot string, row long, coeffs array<double>")
     rep = merge_adapter(base, base_rows, keys, a_rows, b_rows, 2.0, str(tmp_path / "out"), num_experts=4)
     status = {r.target: r.status for r in rep.matched.collect()}
     assert status == {f"{n}.weight": s for n, *_, s in SHAPES}
-    assert {r.target: r.block_rank for r in rep.matched.filter("status = 'merged'").collect()} == {"q.weight": 2, "e.weight": 2}
+    assert {(r.target, r.slot): r.block_rank for r in rep.matched.filter("status = 'merged'").collect()} == {
+        ("q.weight", "bare"): 2, ("q.weight", "base_layer"): 1, ("e.weight", "bare"): 2}
     assert [(r.target, r.total) for r in rep.unapplied.collect()] == [("gone.weight", 1)]
     written = spark.read.parquet(str(tmp_path / "out"))
-    assert written.count() == 7 * 5 and dict(written.dtypes)["values"] == "array<float>"
-    values = {(r.name, r.row): r["values"][0] for r in written.collect()}
-    assert all(values["q.weight", i] == 1 + 2 * (1 + i) for i in range(5)) and values["wide.weight", 3] == 1
+    assert written.count() == 7 * 5 + 4 * 5 and dict(written.dtypes)["values"] == "array<float>"
+    values = {(r.name, r.expert, r.row): r["values"][0] for r in written.collect()}
+    assert all(values["q.weight", 0, i] == 1 + 2 * (1 + i) + 20 for i in range(5))
+    assert values["wide.weight", 0, 3] == values["hole.weight", 0, 3] == 1
+    assert all(values["e.weight", e, i] == 1 + 2 * (4 * e + 1) for e in range(4) for i in range(5))
+
+
+def test_unequal_ranks_fail_loudly(spark):
+    a = spark.createDataFrame([("t", 0, 0, [1.0])], "name string, expert int, k int, values array<double>")
+    b = spark.createDataFrame([("t", 0, 0, [1.0, 2.0])], "name string, expert int, row long, coeffs array<double>")
+    with pytest.raises(Exception, match="unequal rank"):
+        weights.lora_delta(a, b, spark.createDataFrame([("t", 1)], "name string, out_dim long"), 1.0).collect()
 
 
 def test_reconciled_names_cover_the_base(spark):

@@ -7,6 +7,10 @@ bounded number of columns, so one large tensor is spread over many tasks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,23 +142,46 @@ def reconcile_counts(reconciled: DataFrame) -> DataFrame:
     return reconciled.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
 
 
-def split_expert_factors(
-    a_rows: DataFrame, b_rows: DataFrame, num_experts: int
-) -> tuple[DataFrame, DataFrame]:
+def sound_pairs(a_rows: DataFrame, b_rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(root, slot) of the pairs whose factor rows are all there, once each and of the stated sizes.
+
+    ``pairs`` holds the shapes a_rows, a_cols, b_rows and b_cols as :func:`lora_pairs` gives them.
+    """
+    def rows_of(rows: DataFrame, index: str, values: str, f: str) -> DataFrame:
+        return rows.groupBy("root", "slot").agg(
+            F.count(index).alias(f"{f}_n"), F.count_distinct(index).alias(f"{f}_distinct"), F.min(index).alias(f"{f}_low"),
+            F.max(index).alias(f"{f}_high"), F.min(F.size(values)).alias(f"{f}_least"), F.max(F.size(values)).alias(f"{f}_most"))
+
+    def whole(f: str) -> Column:
+        n, size = F.col(f"{f}_rows"), F.col(f"{f}_cols")
+        return (
+            (F.col(f"{f}_n") == n) & (F.col(f"{f}_distinct") == n) & (F.col(f"{f}_low") == 0) & (F.col(f"{f}_high") == n - 1)
+            & (F.col(f"{f}_least") == size) & (F.col(f"{f}_most") == size))
+
+    keys = ["root", "slot"]
+    return (
+        pairs.join(rows_of(a_rows, "k", "values", "a"), keys).join(rows_of(b_rows, "row", "coeffs", "b"), keys)
+        .filter(whole("a") & whole("b")).select(*keys))
+
+
+def split_expert_factors(a_rows: DataFrame, b_rows: DataFrame, num_experts: int | Column) -> tuple[DataFrame, DataFrame]:
     """Cut concatenated expert factors into one pair per expert.
 
-    The rank of a block is the number of coefficients of a B row over the number
-    of experts; A row k belongs to expert ``k div rank``.
+    ``num_experts`` may be a column of both. The rank of a block is the number of
+    coefficients of a B row over the number of experts, and a column ``rank`` of A's
+    rows; without that it is looked up from B. A row k belongs to expert ``k div rank``.
     """
-    rank = (F.size("coeffs") / F.lit(num_experts)).cast("int")
+    experts = num_experts if isinstance(num_experts, Column) else F.lit(num_experts)
+    rank = (F.size("coeffs") / experts).cast("int")
     expert = F.col("expert")
     b = b_rows.drop("expert").withColumn(
-        "expert", F.explode(F.sequence(F.lit(0), F.lit(num_experts - 1)))
+        "expert", F.explode(F.sequence(F.lit(0), experts - 1))
     ).withColumn("coeffs", F.slice("coeffs", expert * rank + 1, rank))
-    ranks = b_rows.groupBy("name").agg(F.max(rank).alias("__r"))
-    a = a_rows.drop("expert").join(ranks, "name").select(
-        "name", F.floor(F.col("k") / F.col("__r")).cast("int").alias("expert"),
-        (F.col("k") % F.col("__r")).alias("k"), "values")
+    if "rank" not in a_rows.columns:
+        ranks = b_rows.groupBy("name").agg(F.max(rank).alias("rank"))
+        a_rows = a_rows.join(ranks, "name")
+    a = a_rows.withColumn("expert", F.floor(F.col("k") / F.col("rank")).cast("int")).withColumn(
+        "k", F.col("k") % F.col("rank")).drop("rank")
     return a, b
 
 
@@ -169,6 +196,16 @@ def column_tiles(rows: DataFrame, col_block: int = COL_BLOCK) -> DataFrame:
         "values", F.slice("values", F.col("col_block") * col_block + 1, F.lit(col_block)))
 
 
+def _product(scaling: float) -> Callable[[Column, Column], Column]:
+    @F.pandas_udf("array<array<double>>")
+    def product(coeffs: pd.Series, tile: pd.Series) -> pd.Series:
+        return pd.Series([
+            list(np.array(b.tolist(), float) @ np.array(t.tolist(), float) * scaling)
+            for b, t in zip(coeffs, tile, strict=True)])
+
+    return product
+
+
 def lora_delta(
     a_rows: DataFrame, b_rows: DataFrame, shapes: DataFrame, scaling: float,
     *, col_block: int = COL_BLOCK,
@@ -176,31 +213,39 @@ def lora_delta(
     """``B @ A * scaling`` in tiles (name, expert, row, col_block, values).
 
     ``a_rows``: (name, expert, k, values), ``b_rows``: (name, expert, row,
-    coeffs), ``shapes``: (name, out_dim) with out_dim above every row number.
+    coeffs), ``shapes``: (name, out_dim) with out_dim above every row number. Both
+    may have a column ``pair``: pairs of one tensor are laid side by side, which
+    adds their products. Rows of A that B does not count on fail the job.
+
     A's column tile, rank by at most ``col_block`` values, is sent once to each
     block of rows, about rank/1024 of the output's size. All rows of a block
-    meet it there; nothing is summed across rows, so nothing is shuffled after.
+    meet it there as one matrix; nothing is summed across rows, so nothing is
+    shuffled after.
     """
-    tile = F.array_sort(F.collect_list(F.struct("k", "values")))
+    if "pair" not in a_rows.columns:
+        a_rows, b_rows = a_rows.withColumn("pair", F.lit("")), b_rows.withColumn("pair", F.lit(""))
+    tile = F.array_sort(F.collect_list(F.struct("pair", "k", "values")))
     last_block = F.floor((F.col("out_dim") - 1) / F.lit(ROW_BLOCK))
     a_tiles = (
-        column_tiles(a_rows, col_block).groupBy("name", "expert", "col_block")
-        .agg(F.transform(tile, lambda s: s["values"]).alias("tile"))
-        .join(shapes.select("name", "out_dim"), "name")
+        column_tiles(a_rows, col_block).groupBy("name", "expert", "col_block").agg(tile.alias("t"))
+        .select("name", "expert", "col_block", F.transform("t", lambda s: s["values"]).alias("tile"),
+                F.transform("t", lambda s: s["pair"]).alias("tile_pairs"))
+        .join(shapes.select("name", "out_dim").distinct(), "name")
         .withColumn("row_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
         .drop("out_dim")
     )
-    terms = F.zip_with("coeffs", "tile", lambda c, v: F.struct(c.alias("c"), v.alias("v")))
-    zeros = F.transform(F.col("tile")[0], lambda _: F.lit(0.0))
-    product = F.aggregate(
-        terms, zeros,
-        lambda acc, t: F.zip_with(acc, t["v"], lambda s, v: s + t["c"] * v),
-        lambda acc: F.transform(acc, lambda s: s * F.lit(float(scaling))))
-    return (
-        b_rows.withColumn("row_block", _row_block())
-        .join(a_tiles, ["name", "expert", "row_block"])
-        .select("name", "expert", "row", "col_block", product.alias("values"))
-    )
+    beside = F.array_sort(F.collect_list(F.struct("pair", "coeffs")))
+    b_tiles = (
+        b_rows.groupBy("name", "expert", "row").agg(beside.alias("p"))
+        .select("name", "expert", "row", _row_block().alias("row_block"), F.flatten(F.transform("p", lambda s: s["coeffs"])).alias("coeffs"),
+                F.flatten(F.transform("p", lambda s: F.array_repeat(s["pair"], F.size(s["coeffs"])))).alias("pairs"))
+        .groupBy("name", "expert", "row_block", "pairs").agg(F.collect_list("row").alias("rows"), F.collect_list("coeffs").alias("coeffs")))
+    checked = F.when(F.col("pairs") == F.col("tile_pairs"), F.col("tile")).otherwise(
+        F.raise_error(F.concat(F.lit("factors of unequal rank for "), F.col("name"))).cast("array<array<double>>"))
+    blocks = b_tiles.join(a_tiles, ["name", "expert", "row_block"]).select(
+        "name", "expert", "col_block", "rows", _product(float(scaling))("coeffs", checked).alias("v"))
+    return blocks.select("name", "expert", "col_block", F.inline(F.arrays_zip(F.col("rows").alias("row"), F.col("v").alias("values")))).select(
+        "name", "expert", "row", "col_block", "values")
 
 
 def apply_delta(
