@@ -75,9 +75,10 @@ def test_line_numbers_across_splits(spark, tmp_path):
 def test_strict_load_fails_on_a_bad_line(spark, tmp_path):
     write_jsonl(tmp_path / "x.jsonl", ['{"question": "q", "answer": "a"}', "", "{oops"])
     path = str(tmp_path / "x.jsonl")
-    assert jsonl.load_training_table(spark, path).count() == 1
+    loaded = jsonl.load_training_table(spark, path)
+    assert loaded.accepted.count() == 1 and [r.reason for r in loaded.rejected.collect()] == ["bad_json"]
     with pytest.raises(PySparkException, match="line refused: bad_json"):
-        jsonl.load_training_table(spark, path, strict=True).collect()
+        jsonl.load_training_table(spark, path, strict=True).accepted.collect()
 
 
 @pytest.mark.parametrize("block_rows", [3, 1000])
@@ -159,9 +160,19 @@ def test_render_takes_a_template(spark):
 def test_prepared_table(spark, tmp_path):
     docs = [json.dumps({"question": f"q {i}", "answer": "a b c"}) for i in range(200)] + ["", "{oops"]
     lines = spark.createDataFrame(list(enumerate(docs)), "line_no long, value string")
-    table = prepare_training_table(lines, "line_no", 8)
+    table = prepare_training_table(lines, "line_no", 8).table
     rows = table.collect()
     assert len(rows) == 200 and sum(r.split == "eval" for r in rows) == 20
     assert all(len(r.input_ids) == 8 == len(r.token_type_ids) and r.n_tokens > 8 for r in rows)
     write_training_table(table, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).groupBy("split").count().count() == 2
+
+
+def test_every_line_is_accounted_for(spark):
+    docs = ['{"question": "q", "answer": "a"}', "", "{oops", "[1]", '{"x": 1}', '{"system": "x", "messages": null}', '{"messages": "abc"}',
+            '{"conversations": ["hello"]}', '{"messages": ["hi"]}', '{"conversations": [{"from": "human", "value": "v"}]}']
+    lines = spark.createDataFrame(list(enumerate(docs)), "line_no long, value string")
+    made = prepare_training_table(lines, "line_no", 8)
+    assert sorted(r.line_no for r in made.table.collect()) == [0, 9]
+    assert {r.line_no: r.reason for r in made.rejected.collect()} == {
+        2: "bad_json", 3: "not_object", 4: "unrecognized", 5: "unknown_format", 6: "unknown_format", 7: "bad_turn", 8: "bad_turn"}

@@ -123,6 +123,16 @@ def messages_from_variants(messages: Column) -> Column:
     return F.transform(messages, one)
 
 
+def reject_reason() -> Column:
+    """Why accepted fields make no example: unknown_format, bad_turn for a turn that is
+    no object, or null. Reads the fields as they were before :func:`to_messages`."""
+    bad_turn = (
+        F.when(F.col("messages").isNotNull(), F.exists("messages", lambda m: ~F.schema_of_variant(m).startswith("OBJECT")))
+        .when(F.col("conversations").isNotNull(), F.exists("conversations", lambda t: t.isNull() | (
+            t["from"].isNull() & t["role"].isNull() & t["value"].isNull() & t["content"].isNull()))))
+    return F.when(detect_format() == "unknown", "unknown_format").when(bad_turn, "bad_turn")
+
+
 def to_messages(examples: DataFrame) -> DataFrame:
     """Add ``format`` and replace ``messages`` by the uniform list.
 

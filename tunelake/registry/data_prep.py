@@ -101,9 +101,9 @@ def src_dispatch(spark, sf_dir):
     view = f"labels_{uuid.uuid4().hex}"
     table(spark, sf_dir, "labels").createOrReplaceTempView(view)
     count = F.count(F.lit(1)).alias("n")
-    lines = chat.to_messages(jsonl.load_training_table(spark, path)).groupBy("format").agg(count)
-    files = jsonl.load_training_table(spark, f"{sf_dir}/documents.parquet")
-    named = jsonl.load_training_table(spark, view)
+    lines = chat.to_messages(jsonl.load_training_table(spark, path).accepted).groupBy("format").agg(count)
+    files = jsonl.load_training_table(spark, f"{sf_dir}/documents.parquet").accepted
+    named = jsonl.load_training_table(spark, view).accepted
     return (
         lines.unionByName(files.agg(count).select(F.lit("parquet").alias("format"), "n"))
         .unionByName(named.agg(count).select(F.lit("table").alias("format"), "n"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tunelake.functions.pytext import is_blank
 from tunelake.operators import chat, splits, tokens
 from tunelake.plans.prepare import prepare_training_table
 from tunelake.registry.core import register
-from tunelake.registry.data_prep import FX, RENDERED, messages
+from tunelake.registry.data_prep import FX, PARSED, RENDERED, messages
 from tunelake.registry.inputs import derive, table
 from tunelake.registry.sql_text import WS
 from tunelake.sinks.shared import shared_dir
@@ -134,7 +135,24 @@ FROM split GROUP BY format, split""", FX)
 def tok_profile(spark, sf_dir):
     lines = derive(spark, sf_dir, "fx_jsonl_lines")
     return tokens.profile(
-        prepare_training_table(lines, "line_no", MAX_LEN, aux=False), "format", "split")
+        prepare_training_table(lines, "line_no", MAX_LEN, aux=False).table, "format", "split")
+
+
+@register("prepare_accounting", PARSED + """,
+outcomes AS (
+  SELECT CASE WHEN status <> 'ok' THEN status WHEN format = 'unknown' THEN 'unknown_format'
+    WHEN format = 'messages' AND len(list_filter(json_extract(c.j, '$.messages[*]'), lambda x: json_type(x) <> 'OBJECT')) > 0
+      OR format = 'conversations' AND len(list_filter(json_extract(c.j, '$.conversations[*]'), lambda x: json_type(x) <> 'OBJECT')) > 0
+    THEN 'bad_turn' ELSE 'accepted' END AS outcome FROM classed c LEFT JOIN formats USING (line_no))
+SELECT outcome, count(*) AS lines FROM outcomes GROUP BY outcome""", FX)
+def prepare_accounting(spark, sf_dir):
+    """Where every line goes: accepted, rejected by reason, or blank."""
+    lines = derive(spark, sf_dir, "fx_jsonl_lines")
+    made = prepare_training_table(lines, "line_no", MAX_LEN, aux=False)
+    blank = lines.filter(is_blank(F.col("value"))).select(F.lit("blank").alias("outcome"))
+    outcomes = made.table.select(F.lit("accepted").alias("outcome")).unionAll(
+        made.rejected.select("reason")).unionAll(blank)
+    return outcomes.groupBy("outcome").agg(F.count("*").alias("lines"))
 
 
 @register("split_train_eval", f"""

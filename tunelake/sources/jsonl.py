@@ -7,6 +7,8 @@ fields that training uses are taken out.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -80,18 +82,32 @@ def classify_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def training_fields(classified: DataFrame, *carry: str) -> DataFrame:
-    """Accepted lines with the whitelisted fields only; JSON null becomes null."""
-    v = F.col("v")
+def _fields(v: Column) -> list[Column]:
+    """The whitelisted fields of a parsed line; JSON null becomes null."""
     tools = F.try_variant_get(v, "$.tools", "variant")
-    return select_where(
-        classified, F.col("status") == "ok",
-        *carry,
+    return [
         F.try_variant_get(v, "$.conversations", CONVERSATIONS).alias("conversations"),
         F.try_variant_get(v, "$.messages", "array<variant>").alias("messages"),
         F.when(~F.is_variant_null(tools), tools).alias("tools"),
         *[F.try_variant_get(v, f"$.{k}", "string").alias(k) for k in TEXT_FIELDS],
-    )
+    ]
+
+
+def training_fields(classified: DataFrame, *carry: str) -> DataFrame:
+    """Accepted lines with the whitelisted fields only; JSON null becomes null."""
+    return select_where(classified, F.col("status") == "ok", *carry, *_fields(F.col("v")))
+
+
+def _unknown_keys() -> Column:
+    return F.when(F.col("status") == "unrecognized", F.array_sort(F.json_object_keys(strip(F.col("value")))))
+
+
+def written_lines(classified: DataFrame, *carry: str) -> DataFrame:
+    """Every line that is not blank, with its fields, ``status`` and ``keys``, so that
+    what is refused stays in sight; a refused line's fields are null."""
+    return select_where(
+        classified, F.col("status") != "blank", *carry, "status", _unknown_keys().alias("keys"),
+        *_fields(F.when(F.col("status") == "ok", F.col("v"))))
 
 
 def rejected_lines(classified: DataFrame, *carry: str) -> DataFrame:
@@ -101,20 +117,22 @@ def rejected_lines(classified: DataFrame, *carry: str) -> DataFrame:
         classified, ~F.col("status").isin("ok", "blank"),
         *carry,
         F.col("status").alias("reason"),
-        F.when(
-            F.col("status") == "unrecognized",
-            F.array_sort(F.json_object_keys(strip(F.col("value")))),
-        ).alias("keys"),
+        _unknown_keys().alias("keys"),
     )
 
 
-def load_training_table(
-    spark: SparkSession, path_or_name: str, *, strict: bool = False
-) -> DataFrame:
+class Loaded(NamedTuple):
+    """What a source holds: accepted rows, and the refused with their reasons, none where a table is read."""
+
+    accepted: DataFrame
+    rejected: DataFrame | None
+
+
+def load_training_table(spark: SparkSession, path_or_name: str, *, strict: bool = False) -> Loaded:
     """Training fields of a JSON-lines path, a parquet path or a named table.
 
-    ``strict`` fails the job at the first refused line instead of leaving the
-    refused lines to :func:`rejected_lines`.
+    Refused lines come with their file and place. ``strict`` fails the job at the
+    first of them instead.
     """
     if path_or_name.endswith((".jsonl", ".json")):
         classified = classify_lines(read_lines(spark, path_or_name))
@@ -125,10 +143,10 @@ def load_training_table(
                 "status",
                 F.when(F.col("status").isin("ok", "blank"), F.col("status"))
                 .otherwise(refuse.cast("string")))
-        return training_fields(classified)
+        return Loaded(training_fields(classified), rejected_lines(classified, "file", "block", "pos", "value"))
     if path_or_name.endswith(".parquet"):
-        return spark.read.parquet(path_or_name)
-    return spark.table(path_or_name)
+        return Loaded(spark.read.parquet(path_or_name), None)
+    return Loaded(spark.table(path_or_name), None)
 
 
 def eval_window(
