@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.llm import decontaminate, line_dedup, ngram_join, packing, toxicity
-from tunelake.llm.rows import work_dir
+from tunelake.sinks.shared import shared_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = f"{work_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+        path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -9,33 +9,24 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 2 << 20  # text handled at once inside a task
-
+from tunelake.sinks.shared import shared_dir
 
-def work_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, also set on the context."""
-    sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not path:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
-    return path.rstrip("/")
+SLICE_BYTES = 2 << 20  # text handled at once inside a task
 
 
 def cut(df: DataFrame) -> DataFrame:
     """The same rows read from a reliable checkpoint, for tables read more than once."""
-    work_dir(df.sparkSession)
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
 def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """The same rows written to and read from a Parquet table in the shared folder."""
-    path = f"{work_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
