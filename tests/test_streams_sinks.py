@@ -121,6 +121,9 @@ def test_resumed_evaluation_equals_one_run(spark, sf_dir, tmp_path):
     doc = json.loads(spark.read.text(str(tmp_path / "doc")).first()[0])
     assert doc["n_total"] == runs.select("idx").distinct().count()
     assert doc["sides"]["base"]["L1"] == counts["base"].L1
+    assert doc["config"] == {"tol": 0.1} and doc["wall_seconds"] > 0
+    again = execeval.score_invariants(resumed.records.drop("L5", "L5_reason", "L5_invariants_ok"))
+    assert rows(again, "idx", "side", "L5_invariants_ok") == rows(resumed.records, "idx", "side", "L5_invariants_ok")
     pct = {r.metric: r for r in whole.summary.collect()}
     assert pct["L1"].total == max(c.queried for c in counts.values())
 
@@ -167,6 +170,7 @@ def test_static_plan(spark, sf_dir):
     ev = evaluate_static(examples, predictions, num_examples=12)
     assert {r.side: r.num for r in ev.aggregate.collect()} == {"base": 12, "tuned": 12}
     assert ev.delta.count() == 8 and ev.latency.count() == 2
+    assert ev.detail.count() == 24 and {"prediction", "reference_code", "latency_ms", "composite"} <= set(ev.detail.columns)
     assert ev.scored.filter((F.col("api_coverage") < 0) | (F.col("api_coverage") > 1)).count() == 0
 
 

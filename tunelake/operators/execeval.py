@@ -123,12 +123,17 @@ def summary_table(counts: DataFrame, base: str = "base", tuned: str = "tuned") -
     )
 
 
-def summary_document(counts: DataFrame, n_total: Column) -> DataFrame:
-    """One JSON document: rows in total and each side's counts."""
+def summary_document(
+    counts: DataFrame, n_total: Column, config: dict[str, str | int | float] | None = None, wall_seconds: float | None = None,
+) -> DataFrame:
+    """One JSON document: rows in total, each side's counts, and the run's settings and seconds if given."""
     fields = F.struct(*[c for c in counts.columns if c != "side"])
     sides = F.map_from_entries(F.array_sort(F.collect_list(F.struct("side", fields.alias("v")))))
+    more = [F.lit(wall_seconds).alias("wall_seconds")] if wall_seconds is not None else []
+    if config:
+        more.append(F.struct(*[F.lit(v).alias(k) for k, v in config.items()]).alias("config"))
     return counts.agg(sides.alias("sides")).select(
-        F.to_json(F.struct(n_total.alias("n_total"), "sides")).alias("document"))
+        F.to_json(F.struct(n_total.alias("n_total"), "sides", *more)).alias("document"))
 
 
 def signature() -> Column:

@@ -35,6 +35,11 @@ def flips(
     return lifted if k is None else lifted.orderBy(key).limit(k)
 
 
+def detail(attached: DataFrame, scored: DataFrame, *, keys: Sequence[str] = ("example_id", "side")) -> DataFrame:
+    """Each test example with its reference, prediction, error and latency beside its scores."""
+    return attached.join(scored, list(keys))
+
+
 def run_report(aggregate: DataFrame, config: dict[str, str | int]) -> DataFrame:
     """One row: the run's settings and each side's aggregate, as one document.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -52,6 +53,7 @@ class StaticEvaluation:
     delta: DataFrame
     latency: DataFrame
     flips: DataFrame
+    detail: DataFrame
 
 
 def evaluate_static(
@@ -74,7 +76,15 @@ def evaluate_static(
     metrics = [*codeeval.FLAGS, "api_coverage_mean", "composite_mean"]
     return StaticEvaluation(
         scored, aggregate, report.metric_delta(aggregate, metrics),
-        perf.latency_summary(attached), report.flips(scored))
+        perf.latency_summary(attached), report.flips(scored), report.detail(attached, scored))
+
+
+# What a record keeps of its run, where the run has it.
+RECORD_FIELDS = (
+    "orig_index", "category", "user_msg_preview", "system_msg_preview", "completion", "query_seconds", "syntax_error",
+    "returncode", "timed_out",
+)
+STDERR_TAIL = 3_000
 
 
 @dataclass(frozen=True)
@@ -87,13 +97,18 @@ class ExecutionEvaluation:
 
 def evaluate_executions(
     runs: DataFrame, references: DataFrame, path: str, run_id: str, *, tol: float = 0.1,
-    limit: int = 0, start_from: int = 0,
+    limit: int = 0, start_from: int = 0, config: dict[str, str | int | float] | None = None,
 ) -> ExecutionEvaluation:
     """Score the runs not yet recorded under ``path``, then sum up all records.
 
+    A record holds the run's own fields, the tail of its error output, the measured
+    and the reference invariants, and all layers, so every score can be worked out
+    again from it. The document holds ``config`` and the seconds spent.
+
     Only runs from ``start_from`` on are scored; the summary covers every stored
     record below ``limit``, also earlier ones, whichever run wrote them.
     """
+    began = time.monotonic()
     runs = runs.filter(F.col("idx") >= start_from)
     if limit > 0:
         runs = runs.filter(F.col("idx") < limit)
@@ -105,14 +120,16 @@ def evaluate_executions(
         todo = runs.join(done.select(*keys), keys, "left_anti")
     scored = execeval.score_invariants(
         execeval.attach_references(execeval.score_layers(todo), references, keys), tol)
+    kept = [c for c in RECORD_FIELDS if c in todo.columns]
     write_records(scored.select(
-        *keys, "example_id", "skipped", "query_error", "has_code_block", *execeval.LAYERS,
-        "exec_category", "exec_error", "L5_reason"), path, run_id)
+        *keys, "example_id", *kept, "skipped", "query_error", "has_code_block", *execeval.LAYERS,
+        "exec_category", "exec_error", F.right("stderr", F.lit(STDERR_TAIL)).alias("stderr_tail"), "result", "reference", "L5", "L5_reason"), path, run_id)
     records = read_records(spark, path)
     if limit > 0:
         records = records.filter(F.col("idx") < limit)
     counts = execeval.layer_counts(records)
     total = records.agg(F.count_distinct("idx")).scalar()
     return ExecutionEvaluation(
-        records, counts, execeval.summary_table(counts), execeval.summary_document(counts, total))
+        records, counts, execeval.summary_table(counts), execeval.summary_document(
+            counts, total, {"tol": tol, **(config or {})}, round(time.monotonic() - began, 1)))
 

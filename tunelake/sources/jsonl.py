@@ -155,8 +155,8 @@ def eval_window(
 ) -> DataFrame:
     """Number the non-blank lines from 0 and keep ``start_from <= idx < limit``.
 
-    ``limit`` of 0 means no limit. Lines are counted per block of line numbers;
-    only blocks that reach into the window are sorted.
+    ``limit`` of 0 means no limit. Lines are counted per block of line numbers; only
+    blocks that reach into the window leave the scan, which their first and last bound.
     """
     block, before = "__block", "__before"
     filled = lines.filter(~is_blank(F.col("value"))).withColumn(
@@ -172,8 +172,10 @@ def eval_window(
         reached = reached & (F.col(before) < limit)
         inside = inside & (F.col("idx") < limit)
     in_block = F.row_number().over(Window.partitionBy(block).orderBy(order))
+    within = blocks.filter(reached).drop("__n")
+    first, last = within.agg(F.min(block)).scalar(), within.agg(F.max(block)).scalar()
     return (
-        filled.join(blocks.filter(reached).drop("__n"), block)
+        filled.filter(F.col(block).between(first, last)).join(within, block)
         .withColumn("idx", F.col(before) + in_block - 1)
         .filter(inside).drop(block, before)
     )
