@@ -155,7 +155,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     return OrdinalModel(w["key"].to_numpy().astype(np.int64).view(np.uint64), w["value"].to_numpy(), thresholds)
 
 
-def score_toxicity(docs: DataFrame, model: OrdinalModel, text_col: str = "text", reject_at: float = 0.5) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: OrdinalModel, text_col: str = "text", reject_at: float = 1.0) -> DataFrame:
     """Add expected_severity (0 to the highest grade) and toxic (whether that is at least ``reject_at``).
 
     Null, empty and unknown texts get the score 0, hence the grades' base rates.
@@ -181,6 +181,6 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, text_col: str = "text",
     return replace_columns(out, {"toxic": F.col("expected_severity") >= reject_at})
 
 
-def grade_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", reject_at: float = 0.5, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
+def grade_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", reject_at: float = 1.0, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
     """Fit on the labelled documents and score all documents."""
     return score_toxicity(docs, fit_toxicity(docs, labels, id_col, text_col, label_col, per_label), text_col, reject_at)
