@@ -7,9 +7,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tunelake.functions.ordered import last_before, row_index, running_sum
+from tunelake.functions.ordered import last_before, running_sum
 from tunelake.functions.quantiles import index_quantiles
-from tunelake.functions.salted import salted_join
 from tunelake.operators import perf, splits, tokens, trainlog
 from tunelake.operators.codeeval import api_whitelist, score_static
 
@@ -36,12 +35,6 @@ def test_running_sum_and_last(events, block_rows):
     assert {r.at: (r.upto, r.prev) for r in df.collect()} == want
 
 
-def test_row_index(events):
-    got = row_index(events.filter("v = 1"), "at", "idx", block_rows=100).collect()
-    want = {at: i for i, (_, at, _) in enumerate(e for e in EVENTS if e[2] == 1)}
-    assert {r.at: r.idx for r in got} == want
-
-
 @pytest.mark.parametrize("num_bins", [2, 16, 128])
 def test_index_quantiles(spark, num_bins):
     groups = {
@@ -61,14 +54,6 @@ def test_index_quantiles(spark, num_bins):
             assert got[k][name] == vs[min(len(vs) - 1, int(q * len(vs)))], (k, name)
 
 
-def test_salted_join_keeps_every_row(spark, events):
-    left = events.withColumn("key", F.when(F.col("key") != "k1", F.col("key")))
-    right = spark.createDataFrame([("hot", 1), ("k0", 2), ("zz", 3)], "key string, w int")
-    got = salted_join(left, right, ["key"], ["at"]).groupBy("w").count().collect()
-    n = {k: sum(e[0] == k for e in EVENTS) for k in ("hot", "k0")}
-    assert {r.w: r["count"] for r in got} == {1: n["hot"], 2: n["k0"], None: len(EVENTS) - n["hot"] - n["k0"]}
-
-
 @pytest.mark.parametrize("n", [1, 7, 1000])
 def test_split_is_exact_nested_and_stable(spark, n):
     ids = spark.range(n)

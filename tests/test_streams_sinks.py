@@ -11,6 +11,7 @@ from tunelake.plans.evaluate import evaluate_executions, evaluate_sql, evaluate_
 from tunelake.plans.merge import merge_adapter
 from tunelake.registry.inputs import derive
 from tunelake.sinks.records import append_new, read_records, write_document, write_records
+from tunelake.sources import tensors
 from tunelake.sources.logs import read_logs
 from tunelake.streaming import logs as log_stream
 from tunelake.streaming import responses
@@ -82,6 +83,15 @@ def test_log_files(spark, tmp_path):
     assert rows(got, "kind", "eval_loss") == [("eval", 0.5), ("eval", 0.7), ("train", None)]
 
 
+def test_index_and_snapshot_files(spark, tmp_path):
+    (tmp_path / "index.json").write_text('{"weight_map":\n {"a": "s1", "b": "s2"}}')
+    docs = tensors.read_documents(spark, str(tmp_path / "index.json"))
+    assert rows(tensors.tensor_index(docs), "name", "shard") == [("a", "s1"), ("b", "s2")]
+    files = tensors.list_files(spark, str(tmp_path)).withColumns({"model": F.lit("m"), "snapshot": F.lit("x")})
+    assert tensors.latest_valid_snapshot(files, ".json").first().snapshot == "x"
+    assert tensors.latest_valid_snapshot(files).count() == 0
+
+
 def test_records_survive_reruns(spark, tmp_path):
     path = str(tmp_path / "records")
     first = spark.createDataFrame([(1, "a"), (2, "b")], "idx long, v string")

@@ -88,12 +88,3 @@ def last_before(
         )
         .drop(_BLK, _TOTAL, _CARRY)
     )
-
-
-def row_index(
-    df: DataFrame, order: str, out: str, *, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """Zero-based position of every row along a global integer order."""
-    return running_sum(
-        df, [], order, F.lit(1), out, inclusive=False, block_rows=block_rows
-    )

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tunelake.functions.codetext import has_code
 from tunelake.functions.exectext import categorize, error_line, parse_result
 from tunelake.functions.pytext import truthy
-from tunelake.functions.salted import salted_join
 
 LAYERS = ("L1_syntax_ok", "L2_api_ok", "L3_exec_ok", "L4_step_ok", "L5_invariants_ok")
 
@@ -64,15 +63,16 @@ def compare_invariants(got: Column, want: Column, tol: float = 0.1) -> Column:
         (volume & faces & bbox).alias("ok"))
 
 
-def attach_references(scored: DataFrame, references: DataFrame, keys: list[str]) -> DataFrame:
+def attach_references(scored: DataFrame, references: DataFrame) -> DataFrame:
     """Add ``reference``, the invariants of the row's example, null when unknown.
 
-    ``references`` has one row per ``example_id``. Many runs may share one
-    example or have none, so the join is salted.
+    ``references`` has one row per ``example_id``. Many runs may share one example or
+    have none; adaptive execution sends a small lookup to all tasks and splits such a
+    key otherwise.
     """
     lookup = references.select(
         "example_id", F.struct("volume", "face_count", "bbox").alias("reference"))
-    return salted_join(scored, lookup, ["example_id"], keys)
+    return scored.join(lookup, "example_id", "left")
 
 
 def score_invariants(with_reference: DataFrame, tol: float = 0.1) -> DataFrame:

@@ -119,7 +119,7 @@ def evaluate_executions(
         done = read_records(spark, path).filter(F.col("run_id") != run_id)
         todo = runs.join(done.select(*keys), keys, "left_anti")
     scored = execeval.score_invariants(
-        execeval.attach_references(execeval.score_layers(todo), references, keys), tol)
+        execeval.attach_references(execeval.score_layers(todo), references), tol)
     kept = [c for c in RECORD_FIELDS if c in todo.columns]
     write_records(scored.select(
         *keys, "example_id", *kept, "skipped", "query_error", "has_code_block", *execeval.LAYERS,

@@ -82,7 +82,7 @@ def layered(spark, sf_dir):
 
 def referenced(spark, sf_dir):
     return execeval.attach_references(
-        layered(spark, sf_dir), references(spark, sf_dir), ["idx", "side"])
+        layered(spark, sf_dir), references(spark, sf_dir))
 
 
 def scored(spark, sf_dir):
