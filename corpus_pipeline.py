@@ -10,21 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.llm import decontaminate, line_dedup, ngram_join, packing, toxicity
+from tunelake.llm.rows import put_back, set_aside
 from tunelake.sinks.shared import shared_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose expected severity stays below the mark."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.grade_toxicity(docs, labels).filter(~F.col("toxic")).select(*docs.columns)
+    own = ("doc_id", "text")
+    return put_back(toxicity.grade_toxicity(set_aside(docs, *own), labels).filter(~F.col("toxic")), docs.columns, *own)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines seen before; a document goes if no line of it is left."""
-    out = line_dedup.remove_repeated_lines(docs)
+    own = ("doc_id", "text", "n_chars")
+    out = line_dedup.remove_repeated_lines(set_aside(docs, *own))
     emptied = (F.col("n_removed") > 0) & (F.btrim("text", F.lit(line_dedup.BLANKS)) == "")
     kept = out.filter(~emptied).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")))
-    return kept.select(*docs.columns)
+    return put_back(kept, docs.columns, *own)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +37,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage of ten words."""
-    out = decontaminate.mark_contained(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return out.filter(F.size("hit_words") == 0).select(*docs.columns)
+    own = ("doc_id", "text")
+    out = decontaminate.mark_contained(set_aside(docs, *own), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return put_back(out.filter(F.size("hit_words") == 0), docs.columns, *own)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

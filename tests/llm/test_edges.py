@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
+import corpus_pipeline
 from tunelake.llm import decontaminate, katz, language, line_dedup, ngram_join, packing, site_quality, token_counts, toxicity, weak_rules
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -39,6 +40,17 @@ def by_row(df, *columns):
     return sorted(((r.doc_id, *(r[c] for c in columns)) for r in df.collect()), key=str)
 
 
+def test_stages(spark, sf_dir, docs):
+    """All but the last stage give back every column, those with an operator's names too."""
+    rows = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, rows, sf_dir)
+        assert rows.columns == docs.columns and rows.filter("n_removed <> 'other' or toxic <> 'other' or _k1 <> 'other'").count() == 0
+    if docs.count():
+        assert {r.doc_id for r in rows.collect()} == {1, None, 2, 3, 4, 5, 7, 8}
+    assert corpus_pipeline.STAGES[-1][1](spark, rows, sf_dir).select("doc_id").distinct().count() == (8 if docs.count() else 0)
+
+
 def test_line_dedup(docs):
     out = line_dedup.remove_repeated_lines(docs)
     assert out.count() == docs.count() and set(out.columns) == {*docs.columns}

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunelake.llm.rows import hash128, replace_columns, row_key, text_of
+from tunelake.llm.rows import hash128, put_back, row_key, set_aside, text_of
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -64,14 +64,13 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     n_removed are replaced.
     """
     covered = covered_lines(docs, id_col, text_col)
-    keyed = replace_columns(docs, dict(zip(("_k1", "_k2"), row_key(id_col, text_col), strict=True)))
+    keyed = set_aside(docs, id_col, text_col).select("*", *row_key(id_col, text_col))
     joined = keyed.join(covered, ["_k1", "_k2"], "left").withColumn("_split", F.split(F.col(text_col), "\n"))
     kept = F.array_join(F.filter("_split", lambda _, i: ~F.array_contains("_covered", i)), "\n")
-    n_removed = F.coalesce(F.size("_covered"), F.lit(0)).cast("long")
-    new = {
-        text_col: F.when(F.col("_covered").isNull(), F.col(text_col)).otherwise(kept),
-        "n_lines": F.coalesce(F.size("_split"), F.lit(0)).cast("long"),
-        "n_removed": F.when(F.col("_covered").isNull(), F.lit(0).cast("long")).otherwise(n_removed),
-    }
-    order = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
-    return replace_columns(joined, new).select(*order, "n_lines", "n_removed")
+    gone = F.col("_covered").isNotNull()
+    out = joined.select(
+        id_col, F.when(gone, kept).otherwise(F.col(text_col)).alias(text_col), "_row",
+        F.coalesce(F.size("_split"), F.lit(0)).cast("long").alias("n_lines"),
+        F.when(gone, F.size("_covered")).otherwise(0).cast("long").alias("n_removed"))
+    counts = ("n_lines", "n_removed")
+    return put_back(out, [*(c for c in docs.columns if c.lower() not in counts), *counts], id_col, text_col, *counts)

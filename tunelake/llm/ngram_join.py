@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tunelake.llm.bytewords import BASE, SPACE, mix, rolling, words
 from tunelake.llm.components import components
-from tunelake.llm.rows import cut, field_type, replace_columns, row_key, slices, text_of
+from tunelake.llm.rows import cut, field_type, put_back, row_key, set_aside, slices, text_of
 
 MAX_HASHES = 192
 BLOCK_GRAMS = 1 << 20  # n-grams in one block of a family
@@ -264,6 +264,6 @@ def one_of_each_class(
     place = F.struct(F.col("_id").isNull().alias("no_id"), F.col("_id").alias("id"), F.col("_k1").alias("k1"), F.col("_k2").alias("k2"))
     grouped = found.filter("_root is not null").groupBy("_root").agg(F.min(place).alias("p")).select("p.k1", "p.k2")
     stay = grouped.unionByName(found.filter("_root is null").select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2")))
-    keyed = replace_columns(docs, dict(zip(("_k1", "_k2"), row_key(id_col, text_col), strict=True)))
+    keyed = set_aside(docs, id_col, text_col).select("*", *row_key(id_col, text_col))
     kept = keyed.join(stay.distinct().toDF("_k1", "_k2"), ["_k1", "_k2"], "left_semi")
-    return kept.dropDuplicates(["_k1", "_k2"]).select(*docs.columns)
+    return put_back(kept.dropDuplicates(["_k1", "_k2"]), docs.columns, id_col, text_col)

@@ -53,6 +53,17 @@ def replace_columns(docs: DataFrame, new: dict[str, Column]) -> DataFrame:
     return docs.select(*[docs[c] for c in docs.columns if c.lower() not in taken], *[v.alias(k) for k, v in new.items()])
 
 
+def set_aside(docs: DataFrame, *own: str) -> DataFrame:
+    """Only the columns ``own``, and all others inside one struct, where their names meet no other."""
+    others = [docs[c] for c in docs.columns if c not in own]
+    return docs.select(*own, F.struct(*(others or [F.lit(0).alias("none")])).alias("_row"))
+
+
+def put_back(df: DataFrame, columns: list[str], *own: str) -> DataFrame:
+    """The columns of a table that :func:`set_aside` took apart, in their order."""
+    return df.select(*[F.col(c) if c in own else F.col("_row").getField(c).alias(c) for c in columns])
+
+
 def field_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
