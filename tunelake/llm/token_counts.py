@@ -32,7 +32,7 @@ PAIR_MEMORY = 2_000_000  # remembered token pairs of a worker, dropped together
 WORD_MEMORY = 400_000  # remembered words of a worker, likewise
 SLOT_BITS = 22
 SLOT_SHIFT = np.uint64(64 - SLOT_BITS)
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def byte_symbols() -> list[str]:
