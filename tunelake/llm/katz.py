@@ -1,6 +1,6 @@
 """A Katz backoff language model over all documents, and their scores under it.
 
-Words are counted exactly, all of them. The ``vocabulary`` most frequent ones get
+Words are counted exactly, all of them. At most ``vocabulary`` most frequent ones get
 ids; other words share one, told apart below it by their own counts. Bigrams are
 counted over ids. Counts up to ``GT_MAX`` are discounted by Good and Turing's
 formula, bigrams seen once are left to the backoff, and each context's backoff
@@ -24,18 +24,18 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tunelake.llm.bytewords import SPACE, words
 from tunelake.llm.rows import row_key, slices, stored, text_of
 
 VOCABULARY = 1 << 18  # words with an id of their own
-HOT_BIGRAMS = 1 << 19  # most frequent bigrams, known to every task
+HOT_BIGRAMS = 1 << 18  # most frequent bigrams, known to every task
 GT_MAX = 5
 KEY_BITS = np.int64(20)
-PART_TOKENS = 12_000_000  # training tokens behind one part of the tables
-SLICE_BYTES = 4 << 20
+PART_TOKENS = 6_000_000  # training tokens behind one part of the tables
+SLICE_BYTES = 2 << 20
 MERGED = 1 << 20  # distinct keys a task gathers before it sends them on
 END = np.uint64(0x5EED0E4D0F7E87)
 
@@ -109,6 +109,28 @@ def discounts(counts_of_counts: dict[int, int]) -> list[float]:
     return out
 
 
+def columns_of(df: DataFrame, *names: str) -> list[np.ndarray]:
+    """Columns of a table of bounded size, sent to the driver as Arrow and not as rows."""
+    table = df.select(*names).toArrow()
+    return [table.column(n).to_numpy() for n in names]
+
+
+def most_frequent(table: DataFrame, limit: int) -> DataFrame:
+    """Rows with the highest ``n``, at most ``limit``: all above a mark, so that no ties are cut.
+
+    The mark comes from a histogram over 64 steps to each doubling of n, a few thousand rows at most.
+    """
+    step = F.floor(F.log2("n") * 64)
+    bins = table.groupBy(step.alias("step")).agg(F.count("*").alias("m")).orderBy(F.desc("step")).collect()
+    taken, mark = 0, None
+    for b in bins:
+        taken += b["m"]
+        if taken > limit:
+            break
+        mark = b["step"]
+    return table.filter(step >= mark) if mark is not None else table.limit(0)
+
+
 def counts_of_counts(table: DataFrame) -> dict[int, int]:
     small = table.filter(F.col("n") <= GT_MAX + 1).groupBy("n").agg(F.count("*").alias("m")).collect()
     return {r["n"]: r["m"] for r in small}
@@ -123,44 +145,47 @@ def train_katz(docs: DataFrame, text_col: str = "text", vocabulary: int = VOCABU
     sums = word_table.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_tokens, n_words = sums["n"] or 0, sums["v"]
     d1 = discounts(counts_of_counts(word_table))
-    top = word_table.orderBy(F.desc("n"), "word").limit(vocabulary).toPandas()
+    top, counts = columns_of(most_frequent(word_table, vocabulary), "word", "n")
+    by_count = np.lexsort((top, -counts))
+    top, counts = top[by_count], counts[by_count]
     size = len(top)
-    counts = top["n"].to_numpy(np.int64)
-    order = np.argsort(top["word"].to_numpy(np.int64).view(np.uint64))
-    hashes, ids = top["word"].to_numpy(np.int64).view(np.uint64)[order], np.arange(size)[order]
+    order = np.argsort(top.view(np.uint64))
+    hashes, ids = top.view(np.uint64)[order], np.arange(size)[order]
     p = np.where(counts <= GT_MAX, np.array(d1)[np.minimum(counts, GT_MAX)], 1.0) * counts / max(n_tokens, 1)
     rest = max(1 - p.sum(), 1 / (n_tokens + 1))
     p = np.append(p * ((1 - rest) / p.sum() if size else 1.0), rest)
     parts = max(1, -(-n_tokens // PART_TOKENS))
 
-    bigrams = counted(rows, lambda texts: id_keys(texts, hashes, ids), "key")
-    all_bigrams = stored(bigrams, "katz-bigrams")
-    d2 = discounts(counts_of_counts(all_bigrams))
+    once = Observation()
+    bigrams = counted(rows, lambda texts: id_keys(texts, hashes, ids), "key").observe(once, F.count_if(F.col("n") == 1).alias("n"))
+    kept = stored(bigrams.filter("n > 1"), "katz-bigrams")
+    d2 = discounts({1: once.get["n"], **counts_of_counts(kept)})
+    # Every word but the end is followed once; texts that end are texts that start.
+    end = word_table.filter(F.col("word") == int(END.view(np.int64))).first()
+    follows = np.concatenate([counts, [n_tokens - counts.sum(), end["n"] if end else 0]])
     spark = docs.sparkSession
-    by_id = spark.createDataFrame(pd.DataFrame({"w": np.arange(size + 1), "p": p}))  # bounded by the vocabulary
+    by_id = spark.createDataFrame(pa.table({"w": np.arange(size + 1), "p": p}))  # bounded by the vocabulary
     factor = F.element_at(F.array(*[F.lit(x) for x in [*d2[1:], 1.0]]), F.least("n", F.lit(GT_MAX + 1)).cast("int"))
-    split = all_bigrams.withColumn("h", F.shiftright("key", int(KEY_BITS))).withColumn("w", F.col("key").bitwiseAND((1 << int(KEY_BITS)) - 1))
-    seen = split.filter("n > 1").select("key", "n", "h", "w", (factor * F.col("n")).alias("mass"))
-    totals = split.groupBy("h").agg(F.sum("n").alias("total"))
+    split = kept.withColumn("h", F.shiftright("key", int(KEY_BITS))).withColumn("w", F.col("key").bitwiseAND((1 << int(KEY_BITS)) - 1))
+    seen = split.select("key", "n", "h", "w", (factor * F.col("n")).alias("mass"))
     kept_mass = seen.join(F.broadcast(by_id), "w").groupBy("h").agg(F.sum("mass").alias("mass"), F.sum("p").alias("lower"))
-    contexts = totals.join(kept_mass, "h").toPandas().sort_values("h")  # bounded by the vocabulary
-    total, mass = contexts["total"].to_numpy(float), contexts["mass"].to_numpy(float)
+    context, mass, lower = columns_of(kept_mass, "h", "mass", "lower")  # bounded by the vocabulary
+    total = follows[context].astype(float)
     # At least one part in total + 1 is left for what a context has not been seen with.
     scale = np.minimum(1.0, (total / (total + 1)) / np.maximum(mass / np.maximum(total, 1), 1e-300))
-    left, left_lower = 1 - scale * mass / np.maximum(total, 1), 1 - contexts["lower"].to_numpy(float)
+    left, left_lower = 1 - scale * mass / np.maximum(total, 1), 1 - lower
     bow = np.ones(size + 2)
-    bow[contexts["h"].to_numpy(np.int64)] = left / np.maximum(left_lower, 1e-12)
+    bow[context] = left / np.maximum(left_lower, 1e-12)
     log_bow, log_p = np.log10(bow), np.log10(p)
-    per_context = spark.createDataFrame(pd.DataFrame({
-        "h": contexts["h"].to_numpy(np.int64), "unit": scale / np.maximum(total, 1), "log_bow": log_bow[contexts["h"].to_numpy(np.int64)]}),
-        "h long, unit double, log_bow double")
+    per_context = spark.createDataFrame(pa.table({"h": context, "unit": scale / np.maximum(total, 1), "log_bow": log_bow[context]}))
     model = seen.join(F.broadcast(by_id), "w").join(F.broadcast(per_context), "h").withColumn("log_p", F.log10(F.col("mass") * F.col("unit")))
     part = F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int")
     bigram_table = stored(model.select(
         "key", "n", "log_p", (F.col("log_p") - F.col("log_bow") - F.log10("p")).alias("gain"), part.alias("part")).repartition(parts, "part"), "katz-model", "part")
-    hot = bigram_table.orderBy(F.desc("n"), "key").limit(hot_bigrams).select("key", "gain").toPandas().sort_values("key")
+    hot_keys, hot_gains = columns_of(most_frequent(bigram_table, hot_bigrams), "key", "gain")
+    by_key = np.argsort(hot_keys)
     return Katz(
-        hashes, ids, counts, log_p, log_bow, hot["key"].to_numpy(np.int64), hot["gain"].to_numpy(float), n_tokens, n_words,
+        hashes, ids, counts, log_p, log_bow, hot_keys[by_key], hot_gains[by_key], n_tokens, n_words,
         n_tokens - int(counts.sum()), n_words - size, parts, word_table, bigram_table)
 
 
@@ -217,7 +242,7 @@ def score_katz(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: s
                 per_token = m.log_p[ids] + m.log_bow[key >> KEY_BITS] + gain
                 total = lambda x: np.bincount(owner, weights=x, minlength=b - a)
                 sums = np.column_stack([np.diff(first), total(has_id), total(known_log[ids]), total(per_token)]).astype(float)
-                rows = [(-1 - (int(docs[0, 0]) & 0xFF), 0, docs.tobytes(), b"", b"", b"", sums.tobytes())]
+                rows = [(-1 - (int(docs[0, 0]) & 0xFFFF), 0, docs.tobytes(), b"", b"", b"", sums.tobytes())]
                 cold = np.flatnonzero(~hot)
                 rows += blocks_of(part_of(key[cold], n_parts), 2, key[cold], owner[cold], docs, n_parts)
                 lone = np.flatnonzero(~has_id)
@@ -234,7 +259,7 @@ def score_katz(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: s
         for kind, own in table.groupby("kind"):
             own = own.sort_values("key")
             by_kind[kind] = own["key"].to_numpy(np.int64), own["value"].to_numpy(float)
-        out = []
+        keys_of_docs, sums_of_docs = [np.zeros((0, 2), np.int64)], [np.zeros((0, 5))]
         for kind, d, k, sizes, owners, sums in zip(*(blocks[c] for c in ("kind", "docs", "keys", "sizes", "owners", "sums")), strict=True):
             docs = np.frombuffer(d, np.int64).reshape(-1, 2)
             if kind == 0:
@@ -253,12 +278,11 @@ def score_katz(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: s
                     part = np.column_stack([zero, zero, total(value > 0), total(np.log10(value + 1)), total(np.log10(value + 1) - rest_log)])
                 else:
                     part = np.column_stack([zero, zero, zero, zero, total(value)])
-            out.append(np.column_stack([docs.astype(object), part]))
-        names = [f.split()[0] for f in SUMS.split(", ")]
-        if not out:
-            return pd.DataFrame({n: [] for n in names})
-        return pd.DataFrame(np.concatenate(out), columns=names).groupby(["_k1", "_k2"], as_index=False).sum().astype(
-            {"_k1": "int64", "_k2": "int64", "rows": "int64", "n_tokens": "int64", "n_known": "int64", "base": float, "score": float})
+            keys_of_docs.append(docs)
+            sums_of_docs.append(part)
+        found, sums = np.concatenate(keys_of_docs), np.concatenate(sums_of_docs)
+        columns = {"_k1": found[:, 0], "_k2": found[:, 1], **{n: sums[:, i] for i, n in enumerate(("rows", "n_tokens", "n_known", "base", "score"))}}
+        return pd.DataFrame(columns).groupby(["_k1", "_k2"], as_index=False).sum().astype({"rows": "int64", "n_tokens": "int64", "n_known": "int64"})
 
     rows = text_of(docs, id_col, text_col).select("_id", "_text", *row_key("_id", "_text"))
     sent = rows.select("_k1", "_k2", "_text").mapInArrow(send, BLOCK)
