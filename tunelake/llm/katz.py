@@ -194,8 +194,9 @@ def id_keys(texts: pa.Array, hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return keys_of(ids_of(tokens, hashes, ids), first, len(hashes) + 1)
 
 
+PARTIAL = "slice long, docs binary, sums binary"
 SUMS = "_k1 long, _k2 long, rows long, n_tokens long, n_known long, base double, score double"
-BLOCK = "part int, kind int, docs binary, keys binary, sizes binary, owners binary, sums binary"
+BLOCK = "slice long, part int, kind int, docs binary, keys binary, sizes binary, owners binary, sums binary"
 
 
 def blocks_of(part: np.ndarray, kind: int, keys: np.ndarray, owner: np.ndarray, docs: np.ndarray, n_parts: int) -> Iterator[tuple]:
@@ -248,19 +249,20 @@ def score_katz(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: s
                 lone = np.flatnonzero(~has_id)
                 word = tokens[lone].view(np.int64)
                 rows += blocks_of(part_of(word, n_parts), 1, word, owner[lone], docs, n_parts)
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32()] * 2 + [pa.binary()] * 5, strict=True)]
+                columns = [pa.array([int(docs[0, 0])] * len(rows))]
+                columns += [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32()] * 2 + [pa.binary()] * 5, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in BLOCK.split(", ")])
 
     rest_log = np.log10(model.rest_tokens + model.rest_words + 1.0)
 
     def answer(blocks: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
-        """Sums per document of a part's blocks, from the part's table rows (kind, key, value)."""
+        """Each block's sums per document, still one row, from the part's table rows (kind, key, value)."""
         by_kind = {}
         for kind, own in table.groupby("kind"):
             own = own.sort_values("key")
             by_kind[kind] = own["key"].to_numpy(np.int64), own["value"].to_numpy(float)
-        keys_of_docs, sums_of_docs = [np.zeros((0, 2), np.int64)], [np.zeros((0, 5))]
-        for kind, d, k, sizes, owners, sums in zip(*(blocks[c] for c in ("kind", "docs", "keys", "sizes", "owners", "sums")), strict=True):
+        out = []
+        for own_slice, kind, d, k, sizes, owners, sums in zip(*(blocks[c] for c in ("slice", "kind", "docs", "keys", "sizes", "owners", "sums")), strict=True):
             docs = np.frombuffer(d, np.int64).reshape(-1, 2)
             if kind == 0:
                 part = np.column_stack([np.ones(len(docs)), np.frombuffer(sums, float).reshape(-1, 4)])
@@ -278,9 +280,13 @@ def score_katz(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: s
                     part = np.column_stack([zero, zero, total(value > 0), total(np.log10(value + 1)), total(np.log10(value + 1) - rest_log)])
                 else:
                     part = np.column_stack([zero, zero, zero, zero, total(value)])
-            keys_of_docs.append(docs)
-            sums_of_docs.append(part)
-        found, sums = np.concatenate(keys_of_docs), np.concatenate(sums_of_docs)
+            out.append((own_slice, d, np.ascontiguousarray(part, float).tobytes()))
+        return pd.DataFrame(out, columns=["slice", "docs", "sums"])
+
+    def total(blocks: pd.DataFrame) -> pd.DataFrame:
+        """Sums per document over the blocks of one slice of texts, no more of them than the slice has tokens."""
+        found = np.concatenate([np.frombuffer(d, np.int64).reshape(-1, 2) for d in blocks["docs"]])
+        sums = np.concatenate([np.frombuffer(x, float).reshape(-1, 5) for x in blocks["sums"]])
         columns = {"_k1": found[:, 0], "_k2": found[:, 1], **{n: sums[:, i] for i, n in enumerate(("rows", "n_tokens", "n_known", "base", "score"))}}
         return pd.DataFrame(columns).groupby(["_k1", "_k2"], as_index=False).sum().astype({"rows": "int64", "n_tokens": "int64", "n_known": "int64"})
 
@@ -289,7 +295,7 @@ def score_katz(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: s
     bigrams = model.bigram_table.select(F.lit(2).alias("kind"), "key", F.col("gain").alias("value"))
     singles = model.word_table.select(F.lit(1).alias("kind"), F.col("word").alias("key"), F.col("n").cast("double").alias("value"))
     table = bigrams.unionByName(singles).withColumn("part", part_column(F.col("key"), n_parts))
-    partial = sent.groupBy("part").cogroup(table.groupBy("part")).applyInPandas(answer, SUMS)
+    partial = sent.groupBy("part").cogroup(table.groupBy("part")).applyInPandas(answer, PARTIAL).groupBy("slice").applyInPandas(total, SUMS)
     sums = partial.groupBy("_k1", "_k2").agg(*[F.sum(c).alias(c) for c in ("rows", "n_tokens", "n_known", "base", "score")])
     found = rows.select("_id", "_k1", "_k2").join(sums, ["_k1", "_k2"])
     each = lambda c: F.col(c) / F.col("rows")
