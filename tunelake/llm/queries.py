@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import decontaminate, katz, language, line_dedup, ngram_join, packing, site_quality, token_counts, toxicity, weak_rules
+from tunelake.llm import backoff, decontaminate, katz, language, line_dedup, ngram_join, packing, site_quality, token_counts, toxicity, weak_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,8 +100,8 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = katz.train_katz(docs.filter(~katz.held_out("doc_id")))
-    return katz.score_katz(docs, model).withColumn("held_out", katz.held_out("doc_id")).withColumn(
+    model = backoff.train_backoff(docs.filter(~katz.held_out("doc_id")))
+    return backoff.score_backoff(docs, model).withColumn("held_out", katz.held_out("doc_id")).withColumn(
         "train_tokens", F.lit(model.train_tokens).cast("long"))
 
 
