@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tunelake.llm.katz import BLOCK, GT_MAX, MERGED, PARTIAL, SLICE_BYTES, SUMS, blocks_of, columns_of, discounts, most_frequent, part_column, part_of, tokens_of
 from tunelake.llm.rows import row_key, slices, stored, text_of
 
-ORDER = 2
+ORDER = 3
 HOT = 1 << 19  # most frequent n-grams, known to every task
 PART_TOKENS = 3_000_000  # training tokens behind one part of the joined values
 START = np.uint64(0x57A27B0F7E87D0C5)
