@@ -32,6 +32,7 @@ PREFIX_BYTES = 5
 MIN_DOCUMENTS = 4  # of the sample that must hold a feature
 MIN_ASSOCIATION = 15.0  # chi-square of a feature with the label, one degree of freedom
 SAMPLE_PER_LABEL = 4_000
+REJECT_AT = 0.3  # chance of any grade above 0; the README gives recall on held-out labels
 EDGES = np.zeros(256, bool)  # white space and marks of ASCII end a word here
 EDGES[:128] = True
 EDGES[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = False
@@ -155,8 +156,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     return OrdinalModel(w["key"].to_numpy().astype(np.int64).view(np.uint64), w["value"].to_numpy(), thresholds)
 
 
-def score_toxicity(docs: DataFrame, model: OrdinalModel, text_col: str = "text", reject_at: float = 1.0) -> DataFrame:
-    """Add expected_severity (0 to the highest grade) and toxic (whether that is at least ``reject_at``).
+def severity_at(model: OrdinalModel, chance: float) -> float:
+    """The expected severity of a text whose chance of a grade above 0 is ``chance``."""
+    score = model.thresholds[0] + np.log(chance / (1 - chance))
+    return float(sigmoid(score - model.thresholds).sum())
+
+
+def score_toxicity(docs: DataFrame, model: OrdinalModel, text_col: str = "text", reject_at: float = REJECT_AT) -> DataFrame:
+    """Add expected_severity (0 to the highest grade) and toxic (whether the chance of a grade above 0 is at least ``reject_at``).
+
+    Severity and that chance rise together with the score, so the mark for the
+    chance is applied as the severity that goes with it.
 
     Null, empty and unknown texts get the score 0, hence the grades' base rates.
     Rows are independent, so repeated rows score alike. Columns of the input that
@@ -178,9 +188,9 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, text_col: str = "text",
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
 
     out = replace_columns(docs, {"expected_severity": severity(F.col(text_col).cast("string"))})
-    return replace_columns(out, {"toxic": F.col("expected_severity") >= reject_at})
+    return replace_columns(out, {"toxic": F.col("expected_severity") >= F.lit(severity_at(model, reject_at))})
 
 
-def grade_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", reject_at: float = 1.0, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
+def grade_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", reject_at: float = REJECT_AT, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
     """Fit on the labelled documents and score all documents."""
     return score_toxicity(docs, fit_toxicity(docs, labels, id_col, text_col, label_col, per_label), text_col, reject_at)
