@@ -19,15 +19,13 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunelake.llm.bytewords import LOWER, buffers, mix
 from tunelake.llm.rows import cut, slices
-from tunelake.llm.sampling import labelled_sample
 
 BUCKETS = 1 << 15  # of letter triples
-MAX_LANGUAGES = 64  # the most frequent labels; also bounds the arrays of scores
 SAMPLE_PER_LANGUAGE = 2_000
 EFFECTIVE_TRIPLES = 60.0  # neighbouring triples repeat each other; a long text counts as so many
 PULL = 20.0  # observations that an upper level is worth
@@ -53,30 +51,44 @@ def triples(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return doc[inside], (mix(key[inside]) % np.uint64(BUCKETS)).astype(np.int64)
 
 
+def language_sample(docs: DataFrame, number: Column, per_language: int, n_languages: int, id_col: str, text_col: str) -> DataFrame:
+    """(_text, _label): of each label the first ``per_language`` documents in the order of a hash of the id.
+
+    A mark for the hash, with some slack, leaves few rows to rank, however frequent a label is.
+    """
+    own = docs.select(F.col(id_col).alias("_id"), number.alias("_label")).dropna().groupBy("_id").agg(F.max("_label").alias("_label"))
+    n = {r["_label"]: r["count"] for r in own.groupBy("_label").count().collect()}
+    enough = per_language + 6 * per_language**0.5 + 50
+    marks = F.array(*[F.lit(min(-(2.0**63) + 2.0**64 * enough / n.get(k, 1), 2.0**63)) for k in range(n_languages)])
+    few = own.withColumn("_hash", F.xxhash64("_id")).filter(F.col("_hash") <= F.get(marks, F.col("_label")))
+    rank = F.row_number().over(Window.partitionBy("_label").orderBy("_hash", "_id"))
+    chosen = few.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("_id", "_label")
+    # No more than per_language ids of each label, so every task can hold them.
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(chosen), "_id").select("_text", "_label")
+
+
 def fit_languages(docs: DataFrame, label_col: str, id_col: str, text_col: str, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
-    """Triple frequencies of at most ``per_language`` texts of each label, counted in one task."""
+    """Triple frequencies of at most ``per_language`` texts of every label, counted where the texts are."""
     labelled = docs.filter(F.col(label_col).isNotNull())
-    found = labelled.groupBy(F.col(label_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in found)
+    languages = sorted(r["lang"] for r in labelled.select(F.col(label_col).alias("lang")).distinct().collect())
     if not languages:
         return LanguageModel([], np.zeros((0, BUCKETS)))
     number = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col(label_col)).cast("int") - 1
-    names = docs.select(F.col(id_col), number.alias("_number")).filter("_number >= 0")
-    sample, _ = labelled_sample(docs, names, F.col("_number"), per_language, len(languages), id_col, text_col)
-
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros((len(languages), BUCKETS))
-        texts, label = pa.array(pdf["_text"], pa.large_string()), pdf["_label"].to_numpy()
-        for a, b in slices(texts):
-            doc, bucket = triples(texts[a:b])
-            np.add.at(total, (label[a:b][doc], bucket), 1)
-        return pd.DataFrame({"number": range(len(languages)), "counts": list(total)})
-
-    rows = sample.withColumn("_all", F.lit("all")).groupBy("_all").applyInPandas(count, "number int, counts array<double>").collect()
-    counts = np.zeros((len(languages), BUCKETS))
-    for r in rows:
-        counts[r.number] = r["counts"]
-    counts += 0.5
+    sample = language_sample(labelled, number, per_language, len(languages), id_col, text_col)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The triples of a slice of texts at a time."""
+        for batch in batches:
+            texts, label = batch.column(0), batch.column(1).to_numpy().astype(np.int64)
+            for a, b in slices(texts):
+                doc, bucket = triples(texts[a:b])
+                cell, n = np.unique(label[a:b][doc] * BUCKETS + bucket, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n.astype(np.int64))], ["cell", "n"])
+
+    cells = sample.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.full(len(languages) * BUCKETS, 0.5)
+    counts[cells.column("cell").to_numpy()] += cells.column("n").to_numpy()
+    counts = counts.reshape(len(languages), BUCKETS)
     return LanguageModel(languages, np.log(counts / counts.sum(axis=1, keepdims=True)))
 
 
