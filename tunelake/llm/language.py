@@ -125,8 +125,10 @@ def fused_languages(
 ) -> DataFrame:
     """Rows (id, language, probability), one per document.
 
-    sites  (id, host, suffix, declared), at most one row per id; a missing row and
-           each null part is no evidence
+    sites  (id, host, suffix, declared), one row per page of a document; each page
+           counts for its host, suffix and declaration, and a document takes the
+           mean of what its pages' hosts, suffixes and declarations say; a missing
+           row and each null part is no evidence
     model  a fitted one; without it, one is fitted on the labelled documents
 
     Null and empty texts are no evidence either: such a document gets what its site
@@ -140,8 +142,9 @@ def fused_languages(
         return rows.select(F.col("_id").alias(id_col), F.lit(None).cast("string").alias("language"), F.lit(None).cast("double").alias("probability"))
     where = sites.select(F.col(id_col).alias("_id"), *[F.col(c).cast("string").alias(f"_{c}") for c in ("host", "suffix", "declared")]).dropna(subset=["_id"])
     domain = F.regexp_extract("_host", r"([^.]+\.[^.]+\.[^.]+|[^.]+\.[^.]+)$", 1)
-    scored = rows.select("_id", text_scores(model, F.col("_text")).alias("_scores")).join(where, "_id", "left")
-    scored = cut(scored.withColumn("_own", softmax(F.col("_scores"))).withColumn("_domain", F.when(F.col("_host").isNotNull(), domain)))
+    scored = rows.select("_id", text_scores(model, F.col("_text")).alias("_scores"))
+    scored = cut(scored.withColumn("_own", softmax(F.col("_scores"))))
+    paged = cut(scored.select("_id", "_own").join(where.withColumn("_domain", F.when(F.col("_host").isNotNull(), domain)), "_id"))
     total = scored.agg(*sums_of("_own", n)).first()
     shares = np.array([x or 0.0 for x in total]) + 1.0
     shares = (shares / shares.sum()).tolist()
@@ -153,22 +156,25 @@ def fused_languages(
 
     def likelihood(column: str) -> DataFrame:
         """log P(value | language) for each value of a column."""
-        groups = scored.filter(F.col(column).isNotNull()).groupBy(column).agg(*sums_of("_own", n))
+        groups = paged.filter(F.col(column).isNotNull()).groupBy(column).agg(*sums_of("_own", n))
         sums = groups.agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(n)]).first()
         per = [float(x or 0.0) for x in sums]
         every = sum(per) or 1.0
         whole = sum((F.col(f"s{k}") for k in range(n)), F.lit(0.0)) / every
         return groups.select(column, F.array(*[F.log((F.col(f"s{k}") + PULL * whole) / (per[k] + PULL)) for k in range(n)]).alias(f"{column}_says"))
 
-    hosts = scored.filter("_host is not null").groupBy("_host", "_domain").agg(*sums_of("_own", n))
+    hosts = paged.filter("_host is not null").groupBy("_host", "_domain").agg(*sums_of("_own", n))
     domains = toward(hosts.groupBy("_domain").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(n)]), [F.lit(x) for x in shares], "_domain_shares")
     hosts = toward(hosts.join(domains, "_domain"), [F.col("_domain_shares")[k] for k in range(n)], "_host_shares")
     everywhere = F.array(*[F.lit(x) for x in shares])
     nothing = F.array(*[F.lit(0.0)] * n)
-    joined = (
-        scored.join(hosts.select("_host", "_host_shares"), "_host", "left")
-        .join(likelihood("_suffix"), "_suffix", "left").join(likelihood("_declared"), "_declared", "left"))
-    parts = [F.col("_scores"), F.coalesce("_suffix_says", nothing), F.coalesce("_declared_says", nothing), F.transform(F.coalesce("_host_shares", everywhere), lambda x: F.log(x))]
+    known = hosts.select("_host", F.transform("_host_shares", lambda x: F.log(x)).alias("_host_says"))
+    each_page = where.join(known, "_host", "left").join(likelihood("_suffix"), "_suffix", "left").join(likelihood("_declared"), "_declared", "left")
+    says = ("_host_says", "_suffix_says", "_declared_says")
+    mean = lambda c: F.array(*[F.avg(F.col(c)[k]) for k in range(n)])
+    pages = each_page.groupBy("_id").agg(*[F.when(F.count(c) > 0, mean(c)).alias(c) for c in says])
+    joined = scored.join(pages, "_id", "left")
+    parts = [F.col("_scores"), F.coalesce("_suffix_says", nothing), F.coalesce("_declared_says", nothing), F.coalesce("_host_says", F.transform(everywhere, lambda x: F.log(x)))]
     fused = joined.select("_id", F.array(*[sum((p[k] for p in parts), F.lit(0.0)) for k in range(n)]).alias("_fused"))
     final = fused.withColumn("_posterior", softmax(F.col("_fused"))).withColumn("_best", F.array_max("_posterior"))
     names = F.array(*[F.lit(x) for x in model.languages])

@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def page_sites(pages: DataFrame) -> DataFrame:
-    """Rows (doc_id, host, path, suffix, declared): where each document stands, from its first page.
+    """Rows (doc_id, host, path, suffix, declared): where each document stands, one row for each of its pages.
 
     The last number of a page's address is the document's id. The path is the first folder.
     """
@@ -22,11 +22,10 @@ def page_sites(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z]+://([^/:?#]+)", 1))
     none_if_empty = lambda c: F.when(c != "", c)
     found = pages.select(
-        "page_id", F.regexp_extract(place, r"/(\d+)(?:\.html?)?/?$", 1).try_cast("long").alias("doc_id"), none_if_empty(host).alias("host"),
+        F.regexp_extract(place, r"/(\d+)(?:\.html?)?/?$", 1).try_cast("long").alias("doc_id"), none_if_empty(host).alias("host"),
         F.regexp_extract(place, r"^/([^/]*)/", 1).alias("path"), none_if_empty(F.regexp_extract(host, r"\.([^.]+)$", 1)).alias("suffix"),
         none_if_empty(F.lower(F.regexp_extract("html", r"(?i)<html[^>]*\slang=[\"']?([a-z]+)", 1))).alias("declared"))
-    first = found.filter("doc_id is not null").groupBy("doc_id").agg(F.min_by(F.struct("host", "path", "suffix", "declared"), F.struct("page_id", "host")).alias("s"))
-    return first.select("doc_id", "s.*")
+    return found.filter("doc_id is not null")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,8 +99,10 @@ def judge_sites(
 ) -> DataFrame:
     """Rows (id, evidence, host_rate, path_rate, posterior, kept), one per document.
 
-    sites  (id, host, path), at most one row per id; documents without one, and
-           those whose host is null, are judged with the global rate
+    sites  (id, host, path), one row per page of a document; each page counts for
+           its host and path, and a document takes the mean log odds of its pages'
+           rates; documents without a page whose host is known are judged with the
+           global rate
 
     Null and empty texts are classified by their counts, which are zero. Repeated
     rows count each. Null ids have no site. Other columns are left out.
@@ -111,12 +113,11 @@ def judge_sites(
     for w, x in zip(model.weights, features(F.col("_stats")), strict=True):
         odds = odds + F.lit(w) * x
     where = sites.select(F.col(id_col).alias("_id"), F.col("host").cast("string").alias("_host"), F.col("path").cast("string").alias("_path")).dropna(subset=["_id"])
-    rows = cut(
-        scored.select("_id", odds.alias("_odds")).join(where, "_id", "left")
-        .select("_id", "_odds", (1 / (1 + F.exp(-F.col("_odds")))).alias("_chance"), "_host", F.coalesce("_path", F.lit("")).alias("_path")))
+    rows = cut(scored.select("_id", odds.alias("_odds")).withColumn("_chance", 1 / (1 + F.exp(-F.col("_odds")))))
+    pages = where.filter("_host is not null").withColumn("_path", F.coalesce("_path", F.lit("")))
     whole = rows.agg(F.avg("_chance")).first()[0]
     top = F.lit(float(np.clip(0.5 if whole is None else whole, 1e-6, 1 - 1e-6)))
-    paths = rows.filter("_host is not null").groupBy("_host", "_path").agg(F.count("*").alias("_n"), F.sum("_chance").alias("_s"))
+    paths = rows.join(pages, "_id").groupBy("_host", "_path").agg(F.count("*").alias("_n"), F.sum("_chance").alias("_s"))
     hosts = paths.groupBy("_host").agg(F.sum("_n").alias("_hn"), F.sum("_s").alias("_hs"))
     pull = strength(hosts, "_hn", "_hs", top)
     hosts = hosts.select("_host", ((F.col("_hs") + pull * top) / (F.col("_hn") + pull)).alias("host_rate"))
@@ -124,8 +125,10 @@ def judge_sites(
     path_pull = strength(rated, "_n", "_s", F.col("host_rate"))
     rated = rated.select("_host", "_path", "host_rate", ((F.col("_s") + path_pull * F.col("host_rate")) / (F.col("_n") + path_pull)).alias("path_rate"))
     base_odds = math.log(model.base / (1 - model.base))
-    out = rows.join(rated, ["_host", "_path"], "left").select(
+    bounded = lambda c: F.greatest(F.least(c, F.lit(1 - 1e-9)), F.lit(1e-9))
+    mean = lambda c: 1 / (1 + F.exp(-F.avg(logit(bounded(F.col(c))))))
+    own = pages.join(rated, ["_host", "_path"]).groupBy("_id").agg(mean("host_rate").alias("host_rate"), mean("path_rate").alias("path_rate"))
+    out = rows.join(own, "_id", "left").select(
         F.col("_id").alias(id_col), (F.col("_odds") - base_odds).alias("evidence"),
         F.coalesce("host_rate", top).alias("host_rate"), F.coalesce("path_rate", top).alias("path_rate"))
-    rate = F.greatest(F.least("path_rate", F.lit(1 - 1e-9)), F.lit(1e-9))
-    return out.withColumn("posterior", 1 / (1 + F.exp(-(F.col("evidence") + logit(rate))))).withColumn("kept", F.col("posterior") >= keep_at)
+    return out.withColumn("posterior", 1 / (1 + F.exp(-(F.col("evidence") + logit(bounded(F.col("path_rate"))))))).withColumn("kept", F.col("posterior") >= keep_at)
