@@ -23,7 +23,7 @@ def test_query_matches_sql(spark, sf_dir, name):
 def test_all_are_registered():
     names = contract.queries()
     assert {*queries.QUERIES, "pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
 
 
 def test_stages(spark, sf_dir):

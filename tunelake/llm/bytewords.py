@@ -1,11 +1,13 @@
 """Words of many texts at once, as NumPy arrays over their UTF-8 bytes.
 
 A word is a longest run of bytes outside a separator class. ``lower`` maps A-Z
-to a-z only. Words are told apart by a 64-bit polynomial hash of their bytes.
+to a-z only. Words have a 64-bit hash of their bytes, taken eight at a time; where
+a result must be exact, ``distinct_spans`` and ``same_spans`` compare the bytes too.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
@@ -31,12 +33,11 @@ class Words(NamedTuple):
     hash: np.ndarray
     first: np.ndarray  # index of each row's first word, and the number of words at the end
     data: np.ndarray  # the bytes, lowered where asked
-    sums: np.ndarray  # running sums behind the hashes
     offsets: np.ndarray  # of the rows in data
 
     def prefix_hash(self, n_bytes: int) -> np.ndarray:
         """Hash of each word's first bytes, the whole word where it is shorter."""
-        return span_hash(self.sums, self.start, np.minimum(self.start + n_bytes, self.end))
+        return span_hash(self.data, self.start, np.minimum(self.start + n_bytes, self.end))
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
@@ -54,9 +55,84 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    inverse = powers(BASE_INVERSE, len(sums))
-    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+STEP = np.uint64(0xD6E8FEB86659FD93)
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+LONG_SPAN = 64  # bytes; longer spans are hashed one by one
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one integer; zeros stand behind the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each span of bytes: every eight of them are mixed into what stands before."""
+    view, size = eights(data), end - start
+    out = mix(size.astype(np.uint64) + STEP)
+    live = np.flatnonzero((size > 0) & (size <= LONG_SPAN))
+    at = 0
+    while live.size:
+        left = size[live] - at
+        out[live] = mix((out[live] ^ (view[start[live] + at] & MASKS[np.minimum(left, 8)])) * STEP)
+        live = live[left > 8]
+        at += 8
+    for i in np.flatnonzero(size > LONG_SPAN).tolist():
+        out[i] = int.from_bytes(blake2b(data[start[i]:end[i]], digest_size=8).digest(), "little")
+    return out
+
+
+def same_spans(data: np.ndarray, start: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether spans of equal size hold the same bytes."""
+    view = eights(data)
+    same = start == other
+    live = np.flatnonzero(~same & (size > 0))
+    same |= size == 0
+    at = 0
+    while live.size and at < LONG_SPAN:
+        left = size[live] - at
+        equal = ((view[start[live] + at] ^ view[other[live] + at]) & MASKS[np.minimum(left, 8)]) == 0
+        same[live[equal & (left <= 8)]] = True
+        live = live[equal & (left > 8)]
+        at += 8
+    for i in live.tolist():
+        same[i] = np.array_equal(data[start[i]:start[i] + size[i]], data[other[i]:other[i] + size[i]])
+    return same
+
+
+def distinct_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, keys: np.ndarray, kind: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(one, which): a span of each distinct content, and the number of each span's content.
+
+    ``keys`` are hashes of the contents and steer the search only: spans with one key
+    are compared byte by byte, and by ``kind`` if given.
+    """
+    found = pa.array(keys).dictionary_encode()
+    which = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    one = np.zeros(len(found.dictionary), np.int64)
+    one[which[::-1]] = np.arange(len(keys))[::-1]
+    first, size = one[which], end - start
+    same = size == size[first]
+    if kind is not None:
+        same &= kind == kind[first]
+    same[same] = same_spans(data, start[same], start[first[same]], size[same])
+    others: dict[tuple, int] = {}
+    more = []
+    for i in np.flatnonzero(~same).tolist():  # another content under the same key
+        content = (data[start[i]:end[i]].tobytes(), None if kind is None else int(kind[i]))
+        if content not in others:
+            others[content] = len(one) + len(more)
+            more.append(i)
+        which[i] = others[content]
+    return np.concatenate([one, np.array(more, np.int64)]), which
+
+
+def spans_array(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The spans as strings."""
+    size = end - start
+    ends = np.cumsum(size)
+    place = np.repeat(start - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+    offsets = np.concatenate([[0], ends]).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[place])))
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -84,11 +160,9 @@ def words(texts: pa.Array, separators: np.ndarray = SPACE, lower: bool = True) -
     starts[both] = True
     ends[both] = True
     start, end = np.flatnonzero(starts), np.flatnonzero(ends)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(BYTE_CODES[data] * powers(BASE, n)[:n], out=sums[1:])
     first = np.searchsorted(start, offsets)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    return Words(start, end, doc, span_hash(sums, start, end), first, data, sums, offsets)
+    return Words(start, end, doc, span_hash(data, start, end), first, data, offsets)
 
 
 def rolling(h: np.ndarray, width: int) -> np.ndarray:

@@ -10,28 +10,29 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
-import regex
 
-from tunelake.llm.bytewords import BASE, BYTE_CODES, powers
 from tunelake.llm.rows import worker_cache
 
 BLANK, LETTER, DIGIT, MARK = range(4)
 QUOTE = ord("'")
+LAST_LETTER = 0x40000  # the planes from here on hold no letters, digits or blanks
 # The vocabularies' contractions.
 SHORT_TAILS, LONG_TAILS = ("s", "t", "m", "d"), ("re", "ve", "ll")
 
 
 def classes() -> np.ndarray:
-    """Class of every code point."""
+    """Class of every code point, as the library that the vocabularies are for sees it."""
     cache = worker_cache()
     if "classes" not in cache:
+        from tokenizers import Regex, pre_tokenizers
+
         table = np.full(0x110000, MARK, np.uint8)
-        points = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000]
-        text = "".join(map(chr, points))
-        for kind, name in ((BLANK, "White_Space"), (LETTER, "L"), (DIGIT, "N")):
-            for m in regex.finditer(rf"\p{{{name}}}+", text):
-                a, b = points[m.start()], points[m.end() - 1] + 1
-                table[a:b] = kind
+        for kind, pattern in ((BLANK, r"\s+"), (LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+")):
+            split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+            for block in range(0, LAST_LETTER, 0x800):
+                if not 0xD800 <= block < 0xE000:
+                    for _, (a, b) in split.pre_tokenize_str("".join(map(chr, range(block, block + 0x800)))):
+                        table[block + a:block + b] = kind
         cache["classes"] = table
     return cache["classes"]
 
@@ -41,7 +42,6 @@ class Runs(NamedTuple):
     offsets: np.ndarray  # first code point of each text, and the end
     byte_at: np.ndarray  # byte of each code point, and the end
     data: bytes  # UTF-8 of all texts
-    sums: np.ndarray  # running sums for ``span_hash``
     start: np.ndarray  # code point where each run starts; the next run starts where it ends
     kind: np.ndarray  # class of each run
     contraction: np.ndarray  # whether it is one
@@ -83,6 +83,4 @@ def runs(texts: list[str], single_digits: bool, blank_joins: bool) -> Runs:
         new[chosen + 1] = False
         new[chosen + size] = True
     start = np.flatnonzero(new[:n])
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(BYTE_CODES[raw] * powers(BASE, len(raw))[:len(raw)], out=sums[1:])
-    return Runs(points, offsets, byte_at, data, sums, start, kinds[start], marked[start])
+    return Runs(points, offsets, byte_at, data, start, kinds[start], marked[start])

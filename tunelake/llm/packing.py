@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from tunelake.llm.bytewords import BASE_INVERSE, mix, powers
+from tunelake.llm.bytewords import distinct_spans, span_hash
 from tunelake.llm.charruns import BLANK, runs
 from tunelake.llm.rows import cut, row_key, slices, stored, text_of, worker_cache
 
+SIMPLE_END = "\u0250"  # characters below it are composed and have one lower case everywhere
 WORD_MEMORY = 300_000  # encoded words a worker remembers, dropped together when full
 
 
@@ -35,43 +36,41 @@ class WordEncoder:
     """Ids of whole texts under a lower-casing word vocabulary, word by word."""
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
+        self.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.specials = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.known: dict[int, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def word(self, word: str) -> bytes:
         text = self.tokenizer.pre_tokenizer.pre_tokenize_str(word)
         ids = [t.id for part, _ in text for t in self.tokenizer.model.tokenize(part)]
         return np.array(ids, "<u4").tobytes()
 
-    @staticmethod
-    def normal(text: str) -> str:
+    def normal(self, text: str) -> str:
         """The vocabulary's normal form: composed and in lower case, one character at a time."""
-        import unicodedata
-
-        if not text.isascii():
-            # A capital sigma is lowered the same way in every place of a word.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return text.lower()
+        if text.isascii() or max(text) < SIMPLE_END:
+            return text.lower()
+        return self.normalizer.normalize_str(text)
 
     def plain(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian 32-bit bytes, for texts without special tokens."""
         r = runs([self.normal(t) for t in texts], single_digits=True, blank_joins=False)
         start, stop = r.byte_at[r.start], r.byte_at[np.append(r.start[1:], len(r.points))]
         word = r.kind != BLANK
-        keys = mix((r.sums[stop] - r.sums[start]) * powers(BASE_INVERSE, len(r.sums))[start] + (stop - start).astype(np.uint64))[word]
         start, stop = start[word], stop[word]
-        distinct, one, which = np.unique(keys, return_index=True, return_inverse=True)
+        raw = np.frombuffer(r.data, np.uint8)
+        one, which = distinct_spans(raw, start, stop, span_hash(raw, start, stop))
         known = self.known
         if len(known) > WORD_MEMORY:
             known.clear()
         made = []
-        for key, a, b in zip(distinct.tolist(), start[one].tolist(), stop[one].tolist(), strict=True):
-            ids = known.get(key)
+        for a, b in zip(start[one].tolist(), stop[one].tolist(), strict=True):
+            own = r.data[a:b]
+            ids = known.get(own)
             if ids is None:
-                ids = known[key] = self.word(r.data[a:b].decode())
+                ids = known[own] = self.word(own.decode())
             made.append(ids)
         flat = np.frombuffer(b"".join(made), "<u4")
         sizes = np.array([len(m) // 4 for m in made], np.int64)

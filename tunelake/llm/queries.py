@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import backoff, decontaminate, katz, language, line_dedup, ngram_join, packing, site_quality, token_counts, toxicity, weak_rules
+from tunelake.llm import (
+    backoff, collocations, decontaminate, divergence, katz, language, line_dedup, mixing, ngram_join, packing, site_quality, token_counts, toxicity, weak_rules)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -128,6 +129,79 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.grade_toxicity(docs, table(spark, sf_dir, "labels")).select("doc_id", "expected_severity", "toxic")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"), least=100, top=2000)
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM cut GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, CAST(len(w) - k + 2 AS BIGINT))) AS i FROM cut, range(1, 6) t(k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT lang, phrase, k, f, c, string_split(phrase, ' ') AS w FROM (SELECT *, unnest(range(1, k)) AS c FROM grams WHERE k > 1)),
+scored AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.c, x.f AS l, y.f AS r, t.n,
+    (1000::HUGEINT * c.f * t.n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN total t USING (lang)
+  JOIN grams x ON x.lang = c.lang AND x.k = c.c AND x.phrase = array_to_string(c.w[:c.c], ' ')
+  JOIN grams y ON y.lang = c.lang AND y.k = c.k - c.c AND y.phrase = array_to_string(c.w[c.c + 1:], ' ')),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inside AS (
+  SELECT DISTINCT g.lang, array_to_string(g.w[i:i + m - 1], ' ') AS phrase, g.f
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT lang, k, f, string_split(phrase, ' ') AS w, unnest(range(2, k)) AS m FROM grams WHERE k > 2)) g),
+longest AS (SELECT lang, phrase, max(f) AS f FROM inside GROUP BY ALL),
+kept AS (SELECT w.* FROM worst w LEFT JOIN longest o USING (lang, phrase) WHERE o.f IS NULL OR 100 * o.f < 100 * w.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"), top=200, least_docs=3)
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x60\x7B-\x7F]+') AS w FROM documents),
+words AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT d) >= 3),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+found AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM found GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(f.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(f.n, 0) + 1)) // (coalesce(t.total, 0) + l.v) AS p,
+    1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.v) AS q
+  FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms QUALIFY rank <= 200)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+"""
+
+
+def op13_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), weights=(1, 2, 3), cap=3)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_counts": op2_token_counts,
@@ -139,8 +213,13 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_mixing_sources": op13_mixing_sources,
 }
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
     "op5_benchmark_decontamination": OP5_SQL,
+    "op11_phrase_collocations": OP11_SQL,
+    "op12_source_divergence": OP12_SQL,
 }

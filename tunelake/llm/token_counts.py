@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tunelake.llm.bytewords import BASE, BASE_INVERSE, BYTE_CODES, mix, powers
+from tunelake.llm.bytewords import BASE, BASE_INVERSE, BYTE_CODES, distinct_spans, mix, powers, span_hash
 from tunelake.llm.charruns import BLANK, runs
 from tunelake.llm.rows import replace_columns, slices, worker_cache
 
@@ -191,12 +191,15 @@ class PrefixCounter:
         spans_a = np.concatenate([r.byte_at[first], r.byte_at[start[loose] - 1]])
         spans_b = np.concatenate([r.byte_at[stop], r.byte_at[start[loose]]])
         size = spans_b - spans_a
-        inverse = powers(BASE_INVERSE, len(r.sums))
-        keys = mix((r.sums[spans_b] - r.sums[spans_a]) * inverse[spans_a] + size.astype(np.uint64))
-        distinct, one, which = np.unique(keys, return_index=True, return_inverse=True)
+        raw = np.frombuffer(r.data, np.uint8)
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(BYTE_CODES[raw] * powers(BASE, len(raw))[:len(raw)], out=sums[1:])
+        inverse = powers(BASE_INVERSE, len(sums))
+        keys = span_hash(raw, spans_a, spans_b)
+        one, which = distinct_spans(raw, spans_a, spans_b, keys)
         short = size[one] <= LONG_WORD
         rows = np.cumsum(short) - 1
-        table = self.word_tables(distinct[short], r.sums, inverse, spans_a[one[short]], size[one[short]])
+        table = self.word_tables(keys[one[short]], sums, inverse, spans_a[one[short]], size[one[short]])
         long_tables = {int(u): np.array(self.long_word(r.data[spans_a[one[u]]:spans_b[one[u]]])) for u in np.flatnonzero(~short)}
 
         def counts_at(span: np.ndarray, n_bytes: np.ndarray) -> np.ndarray:
