@@ -1,18 +1,22 @@
 """Phrases that stand together: counts from depth-truncated suffix subtrees, built group by group.
 
 Every place of a text starts a suffix of at most ``MAX_WORDS`` words. Suffixes are
-partitioned vertically, by their first words: a prefix with more occurrences than a
-quarter of the memory budget is extended by the next word, again and again, and all
-prefixes are dealt over so many groups that a group's suffixes fill half the budget.
-A group's subtree is built alone, level by level: a node's children are its
-suffixes' next words, its count is the sum of the leaves below it, and a node below
-the least count is not extended. Phrases shorter than an extended prefix have leaves
-in several groups, so their counts are summed up afterwards.
+partitioned vertically, by their first words, and the prefixes are dealt over so many
+groups that a group's suffixes fill half the memory budget. A prefix with more
+occurrences than a quarter of the budget is extended by further words. A group's subtree is built
+alone, level by level: a node's children are its suffixes' next words, its count is the
+sum of the leaves below it, and a node below the least count is not extended.
+
+This is done twice: first to a depth of two words, under prefixes of one, then to the
+full depth, under prefixes of two. A phrase is frequent only if all words and all
+neighbours in it are, so in either pass suffixes end before the first word that cannot
+go on, and places where nothing frequent starts are not sent. Phrases shorter than an extended prefix have
+leaves in several groups, and their counts are summed up afterwards.
 
 Words are sent as bytes, once for each block of suffixes, and compared as bytes.
-Two bitmaps of fixed size are known to all tasks: of words that may be frequent,
-where suffixes end, and of prefixes to be extended. Both are filled by hashes; a
-chance hit sends a suffix that is not needed or cuts a group finer, and changes no count.
+Bitmaps of fixed size are known to all tasks: of words and pairs that may be frequent
+and of prefixes to be extended. They are filled by hashes; a chance hit sends a suffix
+that is not needed or cuts a group finer, and changes no count.
 """
 
 from __future__ import annotations
@@ -27,20 +31,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunelake.llm.bytewords import STEP, distinct_spans, mix, span_hash, spans_array, words
+from tunelake.llm.bytewords import STEP, distinct_spans, mix, spans_array, words
 from tunelake.llm.rows import slices, stored
 
 MAX_WORDS = 5
 BLANK = pa.scalar(" ", pa.large_string())
-BUDGET = 2_000_000  # suffixes of a group that a task can hold
+BUDGET = 4_000_000  # suffixes of a group that a task can hold
 BITS = 24  # each bitmap has 2**BITS bits, two megabytes
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 MERGED = 1 << 20  # distinct words a task gathers before it sends them on
 BREAK = np.zeros(256, bool)
 BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 SEPARATOR = BREAK.copy()
 SEPARATOR[[0x20, 0x09]] = True
-BLOCK = "part long, words binary, sizes binary, wide boolean, ids binary, depths binary, n binary"
+BLOCK = "part long, words binary, sizes binary, wide boolean, ids binary, partial binary, n binary"
 
 
 class Words(NamedTuple):
@@ -122,107 +126,92 @@ def count_words(rows: DataFrame) -> DataFrame:
 
 
 def entry_keys(table: DataFrame) -> DataFrame:
-    """(key) of the rows (lang, word), as :func:`words_of` hashes them."""
+    """(key) of the words of rows (lang, word), or of the pairs of rows (lang, word, next)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(256, bool)
         for batch in batches:
             found = batch.column(0).dictionary_encode()
             code = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            one = words(batch.column(1), np.zeros(256, bool), lower=False)
-            key = mix(one.hash ^ lang_keys(found.dictionary.to_pylist())[code])
+            key = mix(words(batch.column(1), none, lower=False).hash ^ lang_keys(found.dictionary.to_pylist())[code])
+            if batch.num_columns > 2:
+                key = mix(key * STEP + words(batch.column(2), none, lower=False).hash)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], ["key"])
 
-    return table.select("lang", "word").mapInArrow(hashed, "key long")
+    return table.select(*[c for c in ("lang", "word", "next") if c in table.columns]).mapInArrow(hashed, "key long")
 
 
 class Suffixes(NamedTuple):
-    ids: np.ndarray  # (MAX_WORDS, n): entry + 1 of each word, 0 behind the end
-    keys: np.ndarray  # (MAX_WORDS, n): hash of the first one, two, ... words
+    ids: np.ndarray  # (words, n): entry + 1 of each word, 0 behind the end; sorted
+    prefix: np.ndarray  # hash of the words that decide the group
+    partial: np.ndarray  # whether the prefix was extended
     n: np.ndarray  # how often each occurs
     entries: pa.Array
 
 
-def suffixes_of(langs: pa.Array, texts: pa.Array, frequent: np.ndarray) -> Suffixes:
-    """Distinct suffixes of two words or more; they end at a piece's end and before a word that is not frequent."""
+def suffixes_of(langs: pa.Array, texts: pa.Array, frequent: np.ndarray, pairs: np.ndarray | None, extended: np.ndarray) -> Suffixes:
+    """Distinct suffixes of a slice of texts.
+
+    Without ``pairs``: of two words, under prefixes of one. With it: of three words or
+    more, under prefixes of two, as long as neighbours may be frequent.
+    """
     w = words_of(langs, texts)
+    depth, short = (2, 1) if pairs is None else (MAX_WORDS, 2)
     id_ = np.where(has_bit(frequent, w.keys), np.arange(1, len(w.keys) + 1), 0).astype(np.uint32)[w.which]
-    goes_on = np.zeros(len(id_), bool)
-    goes_on[:-1] = (w.piece[1:] == w.piece[:-1]) & (id_[1:] > 0)
-    at = np.flatnonzero(goes_on & (id_ > 0))
-    ids = np.zeros((MAX_WORDS, len(at)), np.uint32)
-    keys = np.zeros((MAX_WORDS, len(at)), np.uint64)
-    live = np.ones(len(at), bool)
-    ids[0], keys[0] = id_[at], w.keys[w.which[at]]
-    for k in range(1, MAX_WORDS):
-        live &= goes_on[np.minimum(at + k - 1, len(id_) - 1)]
-        place = np.minimum(at + k, len(id_) - 1)
-        ids[k] = np.where(live, id_[place], 0)
-        keys[k] = mix(keys[k - 1] * STEP + np.where(live, w.hash[place], np.uint64(0)))
-    found = pa.array(keys[-1]).dictionary_encode()
-    which = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    one = np.zeros(len(found.dictionary), np.int64)
-    one[which[::-1]] = np.arange(len(which))[::-1]
-    other = np.flatnonzero((ids != ids[:, one[which]]).any(axis=0))  # another suffix under the same hash
-    n = np.bincount(np.delete(which, other), minlength=len(one))
-    keep = np.concatenate([one, other])
-    return Suffixes(ids[:, keep], keys[:, keep], np.concatenate([n, np.ones(len(other), np.int64)]), w.entries)
-
-
-def depths_of(s: Suffixes, extended: np.ndarray) -> np.ndarray:
-    """Number of words of each suffix's shortest prefix that is not extended; one more than it has if all are."""
-    depth = np.ones(s.ids.shape[1], np.int64)
-    live = np.ones(len(depth), bool)
-    for k in range(MAX_WORDS - 1):
-        live &= (s.ids[k] > 0) & has_bit(extended, s.keys[k])
-        depth += live
-    return depth
-
-
-def extended_prefixes(rows: DataFrame, vocabulary: DataFrame, frequent: np.ndarray, most: int) -> np.ndarray:
-    """Bitmap of prefixes that occur more than ``most`` times, one scan for each length until none does."""
-    bitmap = bitmap_of(entry_keys(vocabulary.filter(F.col("n") > most)))
-    level = bitmap
-    for k in range(1, MAX_WORDS - 1):
-        if not level.any():
-            break
-
-        def count(batches: Iterator[pa.RecordBatch], k: int = k, level: np.ndarray = level) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for a, b in slices(batch.column(1), SLICE_BYTES):
-                    s = suffixes_of(batch.column(0)[a:b], batch.column(1)[a:b], frequent)
-                    own = np.flatnonzero((s.ids[k] > 0) & has_bit(level, s.keys[k - 1]))
-                    key, place = np.unique(s.keys[k, own], return_inverse=True)
-                    n = np.bincount(place, weights=s.n[own], minlength=len(key)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
-
-        counts = rows.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        level = bitmap_of(counts.filter(F.col("n") > most).select("key"))
-        bitmap = bitmap | level
-    return bitmap
-
-
-def dealt_suffixes(rows: DataFrame, frequent: np.ndarray, extended: np.ndarray, parts: int) -> DataFrame:
+    goes_on = np.zeros(len(id_) + MAX_WORDS, bool)
+    goes_on[:max(len(id_) - 1, 0)] = (w.piece[1:] == w.piece[:-1]) & (id_[1:] > 0) & (id_[:-1] > 0)
+    if len(id_) > 1 and pairs is not None:
+        linked = np.flatnonzero(goes_on)
+        goes_on[linked] = has_bit(pairs, mix(w.keys[w.which[linked]] * STEP + w.hash[linked + 1]))
+    starts = goes_on.copy()
+    for k in range(1, short):
+        starts[:-k] &= goes_on[k:]
+    at = np.flatnonzero(starts)
+    ids, live = np.zeros((depth, len(at)), np.uint32), np.ones(len(at), bool)
+    ids[0] = id_[at]
+    for k in range(1, depth):
+        live &= goes_on[at + k - 1]
+        ids[k, live] = id_[at[live] + k]
+    order = np.lexsort(ids[::-1])
+    ids = ids[:, order]
+    new = np.ones(len(at), bool)
+    new[1:] = (ids[:, 1:] != ids[:, :-1]).any(axis=0)
+    begin = np.flatnonzero(new)
+    n, ids, at = np.diff(np.append(begin, len(order))), ids[:, begin], at[order[begin]]
+    prefix = w.keys[w.which[at]]
+    if pairs is not None:
+        prefix = mix(prefix * STEP + w.hash[at + 1])
+    partial = has_bit(extended, prefix)
+    own = np.flatnonzero(partial)
+    for k in range(short, depth):  # an extended prefix is the whole suffix
+        there = ids[k, own] > 0
+        prefix[own] = mix(prefix[own] * STEP + np.where(there, w.hash[np.minimum(at[own] + k, len(id_) - 1)], np.uint64(0)))
+    return Suffixes(ids, prefix, partial, n, w.entries)
+
+
+def dealt_suffixes(rows: DataFrame, frequent: np.ndarray, pairs: np.ndarray | None, extended: np.ndarray, parts: int) -> DataFrame:
     """One row per slice of texts and group: the slice's suffixes with the group's prefixes, and their words."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in slices(batch.column(1), SLICE_BYTES):
-                s = suffixes_of(batch.column(0)[a:b], batch.column(1)[a:b], frequent)
-                depth = depths_of(s, extended)
-                length = (s.ids > 0).sum(axis=0)
-                prefix = s.keys[np.minimum(depth, length) - 1, np.arange(len(depth))]
-                part = (mix(prefix + STEP) >> np.uint64(16)) % np.uint64(parts)
+                s = suffixes_of(batch.column(0)[a:b], batch.column(1)[a:b], frequent, pairs, extended)
+                part = ((mix(s.prefix + STEP) >> np.uint64(16)) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
-                bounds = np.flatnonzero(np.diff(part[order], prepend=np.uint64(parts + 1), append=np.uint64(parts + 1)))
+                bounds = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1)) if len(order) else []
                 made = []
+                local = np.zeros(len(s.entries) + 1, np.uint32)
                 for x, y in zip(bounds[:-1], bounds[1:], strict=True):
                     own = order[x:y]
-                    used, ids = np.unique(np.concatenate([[0], s.ids[:, own].reshape(-1)]), return_inverse=True)
-                    texts = s.entries.take(pa.array(used[1:].astype(np.int64) - 1))
-                    wide = len(used) > 0xFFFF
+                    ids = s.ids[:, own]
+                    used = np.flatnonzero(np.bincount(ids.reshape(-1), minlength=len(local))[1:])
+                    local[used + 1] = np.arange(1, len(used) + 1)
+                    texts = s.entries.take(pa.array(used))
+                    wide = len(used) >= 0xFFFF
                     made.append((
                         int(part[own[0]]), b"".join(t.as_buffer() for t in texts), pc.binary_length(texts).to_numpy().astype("<u4").tobytes(), wide,
-                        ids[1:].astype("<u4" if wide else "<u2").tobytes(), depth[own].astype(np.uint8).tobytes(), s.n[own].astype("<u4").tobytes()))
+                        local[ids].astype("<u4" if wide else "<u2").tobytes(), s.partial[own].tobytes(), s.n[own].astype("<u4").tobytes()))
+                    local[used + 1] = 0
                 kinds = [pa.int64(), pa.binary(), pa.binary(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
                 columns = list(zip(*made, strict=True)) or [()] * len(kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [f.split()[0] for f in BLOCK.split(", ")])
@@ -230,17 +219,17 @@ def dealt_suffixes(rows: DataFrame, frequent: np.ndarray, extended: np.ndarray,
     return rows.mapInArrow(deal, BLOCK)
 
 
-def subtree(least: int):
-    """Builds one group's subtree: rows (lang, phrase, k, n) of its nodes of two words or more."""
+def subtree(least: int, depth: int, short: int):
+    """Builds one group's subtree: rows (lang, phrase, k, n) of its nodes of more than ``short`` words."""
 
     def build(blocks: pa.Table) -> pa.Table:
-        at, sizes, ids, depths, counts = 0, [], [], [], []
-        for row_sizes, wide, own, depth, n in zip(*(blocks[c].to_pylist() for c in ("sizes", "wide", "ids", "depths", "n")), strict=True):
+        at, sizes, ids, partial, counts = 0, [], [], [], []
+        for row_sizes, wide, own, cut, n in zip(*(blocks[c].to_pylist() for c in ("sizes", "wide", "ids", "partial", "n")), strict=True):
             sizes.append(np.frombuffer(row_sizes, "<u4").astype(np.int64))
-            local = np.frombuffer(own, "<u4" if wide else "<u2").reshape(MAX_WORDS, -1).astype(np.int64)
+            local = np.frombuffer(own, "<u4" if wide else "<u2").reshape(depth, -1).astype(np.int64)
             ids.append(np.where(local > 0, local + at, 0))
             at += len(sizes[-1])
-            depths.append(np.frombuffer(depth, np.uint8))
+            partial.append(np.frombuffer(cut, bool))
             counts.append(np.frombuffer(n, "<u4"))
         ends = np.cumsum(np.concatenate(sizes))
         data = np.frombuffer(b"".join(blocks["words"].to_pylist()), np.uint8)
@@ -248,32 +237,36 @@ def subtree(least: int):
         # Entries of all blocks under one number each, 0 still behind the end.
         number = np.concatenate([[0], names.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1])
         ids = number[np.concatenate(ids, axis=1)]
-        depth, n = np.concatenate(depths), np.concatenate(counts).astype(np.float64)
+        partial, n = np.concatenate(partial), np.concatenate(counts).astype(np.float64)
         lang, word = split_entries(names.dictionary)
         root, node = np.unique(ids[0], return_inverse=True)
         phrase, lang = word.take(pa.array(root - 1)), lang.take(pa.array(root - 1))
         out = []
-        for k in range(2, MAX_WORDS + 1):
+        for k in range(2, depth + 1):
             live = np.flatnonzero(ids[k - 1] > 0)
-            ids, depth, n, node = ids[:, live], depth[live], n[live], node[live]
+            ids, partial, n, node = ids[:, live], partial[live], n[live], node[live]
             child, node = np.unique(node << 32 | ids[k - 1], return_inverse=True)
             times = np.bincount(node, weights=n, minlength=len(child)).astype(np.int64)
-            whole = np.ones(len(child), bool)
-            whole[node[depth > k]] = False  # other leaves of these lie in other groups
-            stays = ~whole | (times >= least)
+            stays = times >= least
+            if k < depth:
+                stays[node[partial]] = True  # other leaves of these lie in other groups
             kept = np.flatnonzero(stays)
             phrase = pc.binary_join_element_wise(
                 phrase.take(pa.array(child[kept] >> 32)), word.take(pa.array((child[kept] & 0xFFFFFFFF) - 1)), BLANK)
             lang = lang.take(pa.array(child[kept] >> 32))
-            out.append(pa.table([lang.cast(pa.string()), phrase.cast(pa.string()), pa.array(np.full(len(kept), k, np.int32)), pa.array(times[kept])], ["lang", "phrase", "k", "n"]))
+            if k > short:
+                out.append(pa.table([lang.cast(pa.string()), phrase.cast(pa.string()), pa.array(np.full(len(kept), k, np.int32)), pa.array(times[kept])], ["lang", "phrase", "k", "n"]))
             renumbered = np.cumsum(stays) - 1
             on = stays[node]
-            ids, depth, n, node = ids[:, on], depth[on], n[on], renumbered[node[on]]
+            ids, partial, n, node = ids[:, on], partial[on], n[on], renumbered[node[on]]
         return pa.concat_tables(out)
 
     return build
 
 
+PHRASES = "lang string, phrase string, k int, n long"
+
+
 def mined_phrases(docs: DataFrame, least: int = 100, budget: int = BUDGET, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(phrases, words): (lang, phrase, k, n) of all phrases of 2 to MAX_WORDS words, and (lang, word, n), that occur ``least`` times or more.
 
@@ -282,14 +275,21 @@ def mined_phrases(docs: DataFrame, least: int = 100, budget: int = BUDGET, lang_
     rows = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     vocabulary = stored(count_words(rows).filter(F.col("word").isNull() | (F.col("n") >= least)), "phrase-words")
-    frequent = bitmap_of(entry_keys(vocabulary.filter("word is not null")))
-    total = vocabulary.filter("word is null").agg(F.sum("n")).first()[0] or 0
-    extended = extended_prefixes(rows, vocabulary.filter("word is not null"), frequent, budget // 4)
-    parts = max(1, -(-2 * total // budget))
-    dealt = dealt_suffixes(rows, frequent, extended, parts)
-    found = dealt.groupBy("part").applyInArrow(subtree(least), "lang string, phrase string, k int, n long")
-    whole = found.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    return stored(whole, "phrases"), vocabulary
+    known = vocabulary.filter("word is not null")
+    frequent = bitmap_of(entry_keys(known))
+    parts = lambda total: max(1, -(-2 * (total or 0) // budget))
+    many = F.col("n") > budget // 4
+
+    total = known.agg(F.sum("n")).first()[0]
+    dealt = dealt_suffixes(rows, frequent, None, bitmap_of(entry_keys(known.filter(many))), parts(total))
+    pairs = stored(dealt.groupBy("part").applyInArrow(subtree(least, 2, 1), PHRASES), "phrase-pairs")
+
+    two = pairs.select("lang", F.substring_index("phrase", " ", 1).alias("word"), F.substring_index("phrase", " ", -1).alias("next"), "n")
+    total = pairs.agg(F.sum("n")).first()[0]
+    dealt = dealt_suffixes(rows, frequent, bitmap_of(entry_keys(two)), bitmap_of(entry_keys(two.filter(many))), parts(total))
+    found = dealt.groupBy("part").applyInArrow(subtree(least, MAX_WORDS, 2), PHRASES)
+    longer = stored(found.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrases")
+    return pairs.unionByName(longer), vocabulary
 
 
 def exact(c: Column) -> Column:
