@@ -26,9 +26,9 @@ from tunelake.llm.components import components
 from tunelake.llm.rows import cut, field_type, put_back, row_key, set_aside, slices, text_of
 
 MAX_HASHES = 192
-BLOCK_GRAMS = 1 << 20  # n-grams in one block of a family
+BLOCK_GRAMS = 1 << 18  # n-grams in one block of a family
 BLOCK_MEMBERS = 1 << 10
-CHUNK = 1 << 22  # pairs or cells held at once while counting
+CHUNK = 1 << 20  # pairs or cells held at once while counting
 
 
 def band_plan(threshold: float, recall: float, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -172,7 +172,11 @@ def verifier(n: int, threshold: float):
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_root", "_set"], kind="stable").reset_index(drop=True)
-        grams, first = gram_sets(pa.array(pdf["_text"], pa.large_string()), n)
+        texts = pa.array(pdf.pop("_text"), pa.large_string())
+        sets = [gram_sets(texts[a:b], n) for a, b in slices(texts)]
+        del texts
+        grams = np.concatenate([g for g, _ in sets])
+        first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(f) for _, f in sets]))])
         keys, weight, block = pdf["_set"].to_numpy(), pdf["_rows"].to_numpy(), pdf["_block"].to_numpy()
         apart = pdf["_i"].iloc[0] != pdf["_j"].iloc[0]
         links, least = np.zeros(len(pdf), np.int64), keys.copy()
@@ -210,7 +214,7 @@ def classified(docs: DataFrame, n: int, threshold: float, recall: float, id_col:
     size = families.groupBy("_root").agg(F.sum("_grams").alias("g"), F.count("*").alias("m")).select(
         "_root", "g", F.greatest(F.ceil(F.col("g") / BLOCK_GRAMS), F.ceil(F.col("m") / BLOCK_MEMBERS)).cast("int").alias("_blocks"))
     small_grams = size.filter("_blocks = 1").agg(F.sum("g")).first()[0] or 0
-    tasks = max(1, -(-small_grams // BLOCK_GRAMS))
+    tasks = max(1, -(-4 * small_grams // BLOCK_GRAMS))  # dealt by hash, so a quarter of a block each leaves room for uneven ones
     block = F.pmod(F.xxhash64("_set"), F.col("_blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda k: F.struct(
         F.least(k, "_block").alias("_i"), F.greatest(k, "_block").alias("_j")))
