@@ -4,10 +4,12 @@ import math
 import random
 
 import pandas as pd
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tunelake.functions.ordered import last_before, running_sum
+from tunelake.functions.numbering import row_numbers
 from tunelake.functions.quantiles import index_quantiles
 from tunelake.operators import perf, splits, tokens, trainlog
 from tunelake.operators.codeeval import api_whitelist, score_static
@@ -121,6 +123,62 @@ def test_packs_with_repeated_ids_and_long_examples(spark):
     assert sum(p.tokens_cut for p in packs) == 4
 
 
+def plain_next_fit(lengths, max_len):
+    out, pack, used = [], 0, 0
+    for n in lengths:
+        if used + n > max_len:
+            pack, used = pack + 1, 0
+        out.append((pack, used))
+        used += n
+    return out
+
+
+@pytest.mark.parametrize("block_rows", [1, 3, 64, 100_000])
+def test_next_fit_over_blocks(spark, block_rows):
+    """Most rows in one bucket, empty and full examples among them: blocks give what one pass gives."""
+    rng = np.random.default_rng(block_rows)
+    lengths = {b: rng.choice([0, 0, 1, 2, 3, 5, 8, 13, 16], n).tolist() for b, n in ((0, 400), (1, 30), (2, 1), (3, 0))}
+    rows, number = [], 0
+    for b, own in lengths.items():
+        for n in own:
+            number += 1
+            rows.append((number * 7, b, number, n))
+    order = spark.createDataFrame(rows, "__uid long, bucket long, row long, size int").repartition(5)
+    got = {r.row: (r.pack, r.start, r["__uid"]) for r in tokens.next_fit(order, 16, block_rows).collect()}
+    assert len(got) == len(rows)
+    number = 0
+    for own in lengths.values():
+        for want in plain_next_fit(own, 16):
+            number += 1
+            assert got[number] == (*want, number * 7)
+
+
+def test_one_bucket_is_packed_in_many_tasks(spark):
+    df = spark.range(2_000).select("id", F.sequence(F.lit(1), (F.col("id") % 9 + 1).cast("int")).alias("input_ids"))
+    packs = tokens.pack_examples(df, "id", 32, num_buckets=1, block_rows=100)
+    assert packs.count() and packs.agg(F.sum(F.size("input_ids"))).first()[0] == sum(i % 9 + 1 for i in range(2_000))
+    streams = tokens.pack_wrapped(df, "id", 32, num_buckets=1, block_rows=100)
+    assert streams.agg(F.sum(F.size("input_ids"))).first()[0] == sum(i % 9 + 1 for i in range(2_000))
+    with pytest.raises(Exception, match="does not fit"):
+        tokens.pack_examples(df, "id", 8, num_buckets=1).collect()
+
+
+def test_batches_over_all_rows(spark):
+    df = spark.range(101).select("id", F.array_repeat(F.lit(5), 3).alias("input_ids"))
+    got = tokens.collate(df.repartition(7), "id", 8).groupBy("batch").count().collect()
+    assert sorted((r.batch, r["count"]) for r in got) == [(i, 8) for i in range(12)] + [(12, 5)]
+
+
+def test_row_numbers(spark):
+    df = spark.createDataFrame([(x,) for x in ["b", None, "ab", "a", "é", "z", "B"] * 1], "s string").repartition(4)
+    got = [r.s for r in row_numbers(df, [F.col("s").asc_nulls_last()], "n").orderBy("n").collect()]
+    assert got == ["B", "a", "ab", "b", "z", "é", None]
+    many = row_numbers(spark.range(1_000, numPartitions=9).select(F.col("id"), F.hash("id").alias("h")), ["h", "id"], "n")
+    rows = many.orderBy("n").collect()
+    assert [r.n for r in rows] == list(range(1, 1_001)) and [(r.h, r.id) for r in rows] == sorted((r.h, r.id) for r in rows)
+    assert row_numbers(df.limit(0), ["s"], "n").count() == 0
+
+
 def test_collate(examples):
     ready = tokens.add_aux(examples).withColumn(
         "token_type_ids", F.when(F.col("id") % 2 == 0, F.array_repeat(F.lit(7), 40)))

@@ -8,10 +8,11 @@ from tunelake.functions.pytext import is_blank
 from tunelake.operators import chat, splits, tokens
 from tunelake.plans.prepare import prepare_training_table
 from tunelake.registry.core import register
-from tunelake.registry.data_prep import FX, PARSED, RENDERED, messages
+from tunelake.registry.data_prep import FX, PARSED, RENDERED
 from tunelake.registry.inputs import derive, table
 from tunelake.registry.sql_text import WS
 from tunelake.sinks.shared import shared_dir
+from tunelake.sources import jsonl
 
 MAX_LEN = 256
 NUM_BUCKETS = 8
@@ -47,14 +48,24 @@ def _joined(col):
     return F.array_join(F.col(col).cast("array<string>"), " ").alias(col)
 
 
+def dealt_lines(spark, sf_dir):
+    """Lines dealt over tasks before they are parsed: a file of one row group would be one task's work."""
+    return derive(spark, sf_dir, "fx_jsonl_lines").repartition("line_no")
+
+
+def rendered(spark, sf_dir):
+    parsed = jsonl.training_fields(jsonl.classify_lines(dealt_lines(spark, sf_dir)), "line_no")
+    return chat.render_with(chat.to_messages(parsed))
+
+
 def tokenized(spark, sf_dir):
-    return tokens.tokenize(chat.render_with(messages(spark, sf_dir)), MAX_LEN)
+    return tokens.tokenize(rendered(spark, sf_dir), MAX_LEN)
 
 
 def stored_tokens(spark, sf_dir):
     """Uncut token rows written once, as batching and packing read a prepared table."""
     shared_dir(spark)
-    whole = tokens.tokenize(chat.render_with(messages(spark, sf_dir)), None)
+    whole = tokens.tokenize(rendered(spark, sf_dir), None)
     return whole.select("line_no", "input_ids").checkpoint()
 
 
@@ -98,6 +109,19 @@ def tok_collate(spark, sf_dir):
         _joined("labels"), _joined("attention_mask"), _joined("token_type_ids"))
 
 
+@register("tok_collate_global", TOKENS + f""",
+numbered AS (SELECT *, len(ids) AS size, greatest(CAST(n_tokens AS INTEGER) - {MAX_LEN}, 0) AS tokens_cut, row_number() OVER (ORDER BY {_order('line_no')}, line_no) - 1 AS place FROM toks),
+batched AS (SELECT *, CAST(floor(place / 8.0) AS BIGINT) AS batch, CAST(place % 8 AS INTEGER) AS row_in_batch FROM numbered),
+wide AS (SELECT *, max(size) OVER (PARTITION BY batch) AS width FROM batched)
+SELECT line_no, batch, row_in_batch, CAST(tokens_cut AS INTEGER) AS tokens_cut, CAST(width AS INTEGER) AS width,
+  array_to_string(ids || list_transform(range(width - size), lambda g: 0), ' ') AS input_ids,
+  array_to_string(ids || list_transform(range(width - size), lambda g: -100), ' ') AS labels FROM wide""", FX)
+def tok_collate_global(spark, sf_dir):
+    """Batches over all rows: every one but the last is full."""
+    return tokens.collate(stored_tokens(spark, sf_dir), "line_no", 8, max_len=MAX_LEN).select(
+        "line_no", "batch", "row_in_batch", "tokens_cut", "width", _joined("input_ids"), _joined("labels"))
+
+
 @register("tok_pack_wrapped", UNCUT + f""",
 stream AS (SELECT bucket, start + k AS place, ids[k + 1] AS tok FROM (SELECT *, unnest(range(size)) AS k FROM ranked))
 SELECT bucket, CAST(floor(place / {MAX_LEN}.0) AS BIGINT) AS block, array_to_string(list(tok ORDER BY place), ' ') AS input_ids
@@ -133,7 +157,7 @@ SELECT format, split, count(*) AS examples, CAST(sum(n_tokens) AS BIGINT) AS tok
   max(n_tokens) AS max_tokens, avg(n_tokens) AS mean_tokens, CAST(sum(unseen) AS BIGINT) AS turns_left_out
 FROM split GROUP BY format, split""", FX)
 def tok_profile(spark, sf_dir):
-    lines = derive(spark, sf_dir, "fx_jsonl_lines")
+    lines = dealt_lines(spark, sf_dir)
     return tokens.profile(
         prepare_training_table(lines, "line_no", MAX_LEN, aux=False).table, "format", "split")
 
