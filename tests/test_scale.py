@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pandas as pd
 import numpy as np
@@ -37,17 +38,18 @@ def test_running_sum_and_last(events, block_rows):
     assert {r.at: (r.upto, r.prev) for r in df.collect()} == want
 
 
-@pytest.mark.parametrize("num_bins", [2, 16, 128])
-def test_index_quantiles(spark, num_bins):
+def test_index_quantiles(spark):
     groups = {
         "spread": [rng.random() for _ in range(2001)], "same": [1.5] * 500, "one": [3.0],
         "heavy": [0.0] * 900 + [float(i) for i in range(100)], "twenty": [float(i) for i in range(20)],
+        "signs": [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-300, 300) for _ in range(500)],
+        "close": [1.0 + i * 2.0**-52 for i in range(3000)] + [-5e-324, 5e-324, 0.0, -1.0, float("inf"), float("-inf")],
     }
     rows = [(k, v) for k, vs in groups.items() for v in vs] + [("one", None), ("none", None)]
     rng.shuffle(rows)
     probs = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p100": 1.0}
     df = spark.createDataFrame(rows, "k string, x double")
-    got = {r.k: r for r in index_quantiles(df, ["k"], "x", probs, num_bins=num_bins).collect()}
+    got = {r.k: r for r in index_quantiles(df, ["k"], "x", probs).collect()}
     assert set(got) == set(groups)
     for k, vs in groups.items():
         vs = sorted(vs)
@@ -56,6 +58,34 @@ def test_index_quantiles(spark, num_bins):
             assert got[k][name] == vs[min(len(vs) - 1, int(q * len(vs)))], (k, name)
 
 
+@pytest.mark.parametrize("kind", ["long", "int", "decimal(12,3)", "float"])
+def test_index_quantiles_of_other_numbers(spark, kind):
+    low = {"long": -(2**61), "int": -(2**30), "decimal(12,3)": -(10**8), "float": -(10**4)}[kind]
+    df = spark.range(4_000).select(F.lit("k").alias("k"), (F.lit(low) + F.pmod(F.xxhash64("id"), F.lit(-2 * low))).cast(kind).alias("x"))
+    values = sorted(r.x for r in df.collect())
+    got = index_quantiles(df, ["k"], "x", {"p1": 0.01, "p50": 0.5, "p99": 0.99}).first()
+    assert [got.p1, got.p50, got.p99] == [values[int(4_000 * q)] for q in (0.01, 0.5, 0.99)]
+
+
+def test_quantiles_order_nan_last_and_refuse_text(spark):
+    df = spark.createDataFrame([("k", x) for x in (float("nan"), 1.0, float("inf"))], "k string, x double")
+    got = index_quantiles(df, ["k"], "x", {"low": 0.0, "mid": 0.5, "high": 1.0}).first()
+    assert got.low == 1.0 and got.mid == float("inf") and math.isnan(got.high)
+    with pytest.raises(TypeError):
+        index_quantiles(df.withColumn("x", F.col("x").cast("string")), ["k"], "x", {"mid": 0.5})
+
+
+def test_no_quantile_task_holds_a_group(spark):
+    """A million values in two groups: nothing but the top of the count tree is dealt by group alone."""
+    df = spark.range(1_000_000).select((F.col("id") % 2).alias("k"), F.rand(3).alias("x"))
+    made = index_quantiles(df, ["k"], "x", {"p50": 0.5})
+    assert len(made.collect()) == 2
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    by_group = [line for line in plan.split("Initial Plan")[0].splitlines() if re.search(r"hashpartitioning\(k#\d+L?, \d+\)", line)]
+    counts = df.select("k", F.floor(F.log2("x") + 1080).alias("e")).distinct().count()
+    assert by_group and counts < 100  # the top level: one row for each binary exponent or so
+
+
 @pytest.mark.parametrize("n", [1, 7, 1000])
 def test_split_is_exact_nested_and_stable(spark, n):
     ids = spark.range(n)

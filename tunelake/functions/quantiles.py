@@ -1,13 +1,15 @@
-"""Exact index quantiles without sorting a whole group in one task.
+"""Exact index quantiles from a tree of counts, without gathering a group in one task.
 
 The value at quantile q of n sorted values is the one at zero-based index
 ``min(n - 1, int(q * n))``. That is one place above ``percentile_disc`` whenever
 ``q * n`` is a whole number, so no built-in percentile gives it.
 
-Equal values are counted first (map-side combined, spread over value). A sketch
-of the distinct values cuts each group into bins, exact bin counts tell which
-bin holds each index, and only those bins are sorted. The sketch steers the
-size of the bins; it never decides the result.
+Equal values are counted first (map-side combined, spread over value). Each value has
+a 64-bit place that never falls as values rise; counts by its leading digits are the
+levels of a tree. An index is followed from the top: at each level, the child that holds
+it is found among the children of one node. Counts are exchanged by (group, digits), a node
+has at most ``2**DIGIT_BITS`` children, and a leaf a few thousand values, so no sort
+depends on how many rows or distinct values a group has.
 """
 
 from __future__ import annotations
@@ -16,78 +18,76 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A power of two; each bin is searched out by halving.
-NUM_BINS = 512
+from tunelake.sinks.shared import shared_dir
 
+DIGIT_BITS = 21  # the top level has the rest of 64 bits
+FRACTION_BITS = 40  # of a logarithm; a few thousand doubles share them
+LEAST_EXPONENT = -1080
 
-def _with_bin(df: DataFrame, num_bins: int) -> DataFrame:
-    """Add ``__bin``, the number of ``__edges`` below ``__x``, by binary search.
 
-    One column per step keeps the search inside generated code.
-    """
-    df = df.withColumn("__bin", F.lit(0))
-    step = num_bins // 2
-    while step:
-        at = F.col("__bin")
-        df = df.withColumn(
-            "__bin", at + F.when(F.get("__edges", at + (step - 1)) < F.col("__x"), step).otherwise(0))
-        step //= 2
-    return df
+def place_of(value: Column, kind: T.DataType) -> Column:
+    """A long that never falls as values rise, and is the same for few values only."""
+    if isinstance(kind, T.DecimalType):
+        if kind.precision > 18:
+            raise TypeError(f"decimals of at most 18 digits have a place, not {kind.simpleString()}")
+        return (value * F.lit(10 ** kind.scale).cast("decimal(19,0)")).cast("long")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        size = F.abs(value.cast("double"))
+        # The logarithm of a larger value is never smaller, so neither is its floor.
+        steps = F.floor((F.log2(size) - LEAST_EXPONENT) * F.lit(float(1 << FRACTION_BITS)))
+        at = F.when(size == 0, 0).when(size == float("inf"), F.lit(1 << 60)).otherwise(steps)
+        return F.when(F.isnan(value), F.lit(1 << 61)).when(value < 0, -at).otherwise(at)
+    if isinstance(kind, T.IntegralType):
+        return value.cast("long")
+    raise TypeError(f"numbers have index quantiles, not {kind.simpleString()}")
 
 
-def index_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probs: Mapping[str, float],
-    *,
-    num_bins: int = NUM_BINS,
-) -> DataFrame:
+def index_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
     """One row per key: ``keys``, ``n`` and one column per entry of ``probs``.
 
     Rows with a null key or value are left out, a group of nulls only does not
-    appear. ``num_bins`` must be a power of two.
+    appear. NaN comes after all other values, as in Spark's own order.
     """
-    if num_bins < 2 or num_bins & (num_bins - 1):
-        raise ValueError("num_bins must be a power of two")
     keys = list(keys)
+    x = F.col("__x")
     counts = (
         df.filter(reduce(and_, [F.col(c).isNotNull() for c in [*keys, value]]))
         .groupBy(*keys, F.col(value).alias("__x")).agg(F.count(F.lit(1)).alias("__c"))
+        .withColumn("__k", place_of(x, df.schema[value].dataType))
     )
-    cuts = [i / num_bins for i in range(1, num_bins)]
-    # Taking n here keeps the counts' shuffle the same for every reader, so it is reused.
-    edges = counts.groupBy(*keys).agg(
-        F.percentile_approx("__x", cuts, num_bins * 4).alias("__edges"),
-        F.sum("__c").alias("n"),
-    )
-    binned = _with_bin(counts.join(edges, keys), num_bins).drop("__edges")
-    upto = Window.partitionBy(*keys).orderBy("__bin")
-    wanted = F.array(*[
-        F.struct(F.lit(name).alias("name"), F.lit(float(q)).alias("q"))
-        for name, q in probs.items()
-    ])
-    targets = (
-        binned.groupBy(*keys, "__bin").agg(F.sum("__c").alias("__c"), F.max("n").alias("n"))
-        .withColumn("__before", F.sum("__c").over(upto) - F.col("__c"))
-        .withColumn("__p", F.explode(wanted))
-        .withColumn("__idx", F.least(F.col("n") - 1, F.floor(F.col("__p.q") * F.col("n"))))
-        .filter(
-            (F.col("__before") <= F.col("__idx"))
-            & (F.col("__idx") < F.col("__before") + F.col("__c"))
+    shared_dir(df.sparkSession)
+    counts = counts.checkpoint()  # read once for each level
+
+    def level(rows: DataFrame, shift: int, *more: str) -> DataFrame:
+        return rows.groupBy(*keys, *more, F.shiftright("__k", shift).alias("__at")).agg(F.sum("__c").alias("__c"))
+
+    def found(children: DataFrame, by: list[str], order: str) -> DataFrame:
+        """The child of each node that holds the index: ``__before`` counts what comes before it."""
+        along = Window.partitionBy(*by).orderBy(order)
+        return (
+            children.withColumn("__before", F.col("__before") + F.sum("__c").over(along) - F.col("__c"))
+            .filter((F.col("__before") <= F.col("__idx")) & (F.col("__idx") < F.col("__before") + F.col("__c"))).drop("__c")
         )
-        .select(*keys, "__bin", "n", "__before", "__idx", F.col("__p.name").alias("__name"))
-    )
-    inside = Window.partitionBy(*keys, "__bin", "__name").orderBy("__x")
-    reached = (
-        binned.drop("n").join(targets, [*keys, "__bin"])
-        .withColumn("__seen", F.col("__before") + F.sum("__c").over(inside))
-        .filter(F.col("__seen") > F.col("__idx"))
+
+    wanted = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(float(q)).alias("q")) for name, q in probs.items()]))
+    n = F.sum("__c").over(Window.partitionBy(*keys))
+    top = (
+        level(counts, 2 * DIGIT_BITS).withColumn("n", n).withColumn("__p", wanted)
+        .withColumn("__idx", F.least(F.col("n") - 1, F.floor(F.col("__p.q") * F.col("n"))))
+        .withColumn("__name", F.col("__p.name")).drop("__p").withColumn("__before", F.lit(0).cast("long"))
     )
+    node = found(top, [*keys, "__name"], "__at").withColumnRenamed("__at", "__up")
+    children = level(counts, DIGIT_BITS).withColumn("__up", F.shiftright("__at", DIGIT_BITS))
+    node = found(children.join(node, [*keys, "__up"]), [*keys, "__name", "__up"], "__at").drop("__up").withColumnRenamed("__at", "__up")
+    # From here on only values below the nodes that hold an index matter.
+    inside = counts.withColumn("__up", F.shiftright("__k", DIGIT_BITS)).join(node, [*keys, "__up"])
+    state = ["__name", "__up", "n", "__idx", "__before"]
+    node = found(level(inside, 0, *state), [*keys, "__name", "__up"], "__at").withColumnRenamed("__at", "__k")
+    leaf = inside.drop("n", "__idx", "__before").join(node.drop("__up"), [*keys, "__name", "__k"])
+    reached = found(leaf, [*keys, "__name", "__k"], "__x")
     return reached.groupBy(*keys).agg(
-        F.max("n").alias("n"),
-        *[F.min(F.when(F.col("__name") == name, F.col("__x"))).alias(name) for name in probs],
-    )
+        F.max("n").alias("n"), *[F.max(F.when(F.col("__name") == name, x)).alias(name) for name in probs])
