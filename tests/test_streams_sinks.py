@@ -2,19 +2,22 @@
 
 import json
 import os
+import time
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tunelake.operators import execeval, perf, trainlog, weights
+from tunelake.operators import execeval, generate, perf, trainlog, weights
 from tunelake.plans.evaluate import evaluate_executions, evaluate_sql, evaluate_static
 from tunelake.plans.merge import merge_adapter
 from tunelake.registry.inputs import derive
 from tunelake.sinks.records import append_new, read_records, write_document, write_records
 from tunelake.sources import tensors
 from tunelake.sources.logs import read_logs
+from tunelake.streaming import ended, responses
 from tunelake.streaming import logs as log_stream
-from tunelake.streaming import responses
+from tunelake.streaming.run import keyed_state, run_to_table
 
 
 def as_stream(spark, df, order, folder, parts=4):
@@ -54,6 +57,56 @@ def test_response_stream_equals_batch(spark, sf_dir, tmp_path):
     assert rows(got, *got.columns) == rows(perf.fold_responses(frames, starts, block_rows=50), *got.columns)
 
 
+def frame(seq, at_ms, kind):
+    line = {"text": 'data: {"choices":[{"delta":{"content":"x"}}]}', "usage": 'data: {"usage":{"completion_tokens":40}}', "end": "data: [DONE]"}[kind]
+    return (seq, at_ms * 1000, line)
+
+
+def test_rows_come_out_when_requests_end(spark, tmp_path):
+    """Micro-batch by micro-batch: ended requests at once, silent ones after their time, nothing twice."""
+    batches = [
+        [(1, *frame(0, 10, "text")), (1, *frame(1, 20, "text")), (2, *frame(0, 15, "text"))],
+        [(1, *frame(1, 20, "text")), (1, *frame(2, 30, "end")), (1, *frame(3, 40, "text")), (3, *frame(0, 45, "usage"))],
+        [(2, *frame(1, 50, "usage")), (2, *frame(2, 55, "text")), (2, *frame(3, 60, "end")), (1, *frame(4, 61, "end"))],
+        [(4, *frame(0, 5_000, "text"))],
+        [(4, *frame(1, 9_000, "end"))],
+    ]
+    columns = "request_id long, seq long, recv_us long, line string"
+    starts = spark.createDataFrame([(i, i) for i in (1, 2, 3)], "request_id long, start_us long")
+    got = []
+    for i, batch in enumerate(batches):
+        spark.createDataFrame(batch, columns).coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+        stream = spark.readStream.schema(columns).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        with keyed_state(spark):
+            run_to_table(ended.ended_responses(stream, starts, idle_ms=1_000, late_ms=100), str(tmp_path / "run"))
+        now = {tuple(r) for r in spark.read.parquet(str(tmp_path / "run/table")).collect()}
+        got.append(now - set().union(*got))
+        assert len(now) == spark.read.parquet(str(tmp_path / "run/table")).count()
+    assert got[:3] == [set(), {(1, True, 9_999, 2, 29_999)}, {(2, True, 14_998, 41, 59_998)}]
+    assert got[3] | got[4] == {(3, False, None, 40, 44_997), (4, True, None, 1, None)}
+
+
+def test_shuffled_log_parts_give_the_batch_result(spark, sf_dir, tmp_path):
+    """One file holds most lines; parts come in any order, some lines twice, and one never."""
+    raw = derive(spark, sf_dir, "fx_log_lines").withColumn("file", F.when(F.col("line_no") % 10 > 0, "train.log").otherwise(F.col("file")))
+    first = raw.groupBy("file").agg(F.min("line_no").alias("low"))
+    numbered = raw.withColumn("line_no", F.row_number().over(Window.partitionBy("file").orderBy("line_no")).cast("long")).cache()
+    assert first.count() > 2
+    lost = numbered.filter("file = 'train.log'").count() - 5
+    sent = numbered.filter(f"file <> 'train.log' or line_no <> {lost}")
+    for i in range(5):
+        part = sent.filter(F.pmod(F.xxhash64("line_no", F.lit(3)), F.lit(5)) == i)
+        part.unionByName(sent.filter("line_no % 50 = 1" if i == 4 else "false")).repartition(1).write.parquet(str(tmp_path / f"in/{i}"))
+    stream = (
+        spark.readStream.schema(numbered.schema).option("maxFilesPerTrigger", 1)
+        .option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")))
+    got = log_stream.follow_phases_late(stream, str(tmp_path / "run"), block_rows=64)
+    want = trainlog.sessions(trainlog.phases(numbered)).filter(f"file <> 'train.log' or line_no < {lost}")
+    columns = ("file", "line_no", "phase", "phase_start", "session")
+    assert rows(got, *columns) == rows(want, *columns)
+    assert sorted(r.line_no for r in log_stream.held_lines(spark, str(tmp_path / "run"), 4).collect()) == list(range(lost + 1, lost + 6))
+
+
 def test_time_to_first_token_counts_from_the_start(spark):
     frames = spark.createDataFrame([(1, 0, 5000, 'data: {"choices":[{"delta":{"content":"x"}}]}')], "request_id long, seq long, recv_us long, line string")
     starts = spark.createDataFrame([(1, 1000)], "request_id long, start_us long")
@@ -264,3 +317,29 @@ def test_trainable_share(spark, pct, verdict):
         "name string, experts int, out_dim int, in_dim int")
     row = weights.trainable_share(base, pct).first()
     assert (row.trainable, row.total, row.pct, row.verdict) == (10, 50, 20.0, verdict)
+
+
+def test_calls_in_flight_keep_their_order(spark):
+    """Never more than the window, results in order, and a call over its time does not hold up the rest."""
+    state = {"now": 0, "most": 0}
+
+    def model(prompt):
+        state["now"] += 1
+        state["most"] = max(state["most"], state["now"])
+        time.sleep({"slow": 30, "late": 0.3}.get(prompt, 0.02))
+        state["now"] -= 1
+        if prompt == "bad":
+            raise ValueError("bad prompt")
+        return prompt.upper()
+
+    prompts = ["a", "late", "b", "bad", "slow", "c"] + [f"p{i}" for i in range(30)]
+    began = time.monotonic()
+    got = list(generate.answers(model, prompts, 4, 1.0))
+    assert time.monotonic() - began < 10 and 2 <= state["most"] <= 5  # the one given up goes on beside the window
+    assert [g[0] for g in got] == ["" if p in ("bad", "slow") else p.upper() for p in prompts]
+    assert got[3][1] == "ValueError: bad prompt" and got[4][1] == "TimeoutError: no answer within 1 s"
+    assert got[1][2] >= 0.3 and got[4][2] == 0
+    df = spark.createDataFrame([(i, f"p{i}") for i in range(40)], "id long, prompt string").coalesce(1)
+    made = generate.generate(df, lambda p: p[::-1], keep=["id"], in_flight=8, limit_s=20).collect()
+    assert [(r.id, r.prediction) for r in made] == [(i, f"p{i}"[::-1]) for i in range(40)]
+    assert list(generate.answers(str.upper, [], 4, None)) == [] and list(generate.answers(str.upper, ["x"], 3, None))[0][0] == "X"

@@ -30,11 +30,25 @@ def _stub_model(prompt: str) -> str:
     return f"SELECT '{prompt}'"
 
 
-@register("udf_generate", """
+GENERATE_SQL = """
 SELECT p_partkey AS example_id, CASE WHEN contains(p_name, 'ring') THEN '' ELSE concat('SELECT ', chr(39), p_name, chr(39)) END AS prediction,
-  CASE WHEN contains(p_name, 'ring') THEN 'ValueError: no rings' END AS error, NOT contains(p_name, 'ring') AS timed FROM part""")
-def udf_generate(spark, sf_dir):
-    prompts = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("example_id"), F.col("p_name").alias("prompt"))
-    answers = generate.generate(prompts, _stub_model, keep=["example_id"], concurrency=8)
+  CASE WHEN contains(p_name, 'ring') THEN 'ValueError: no rings' END AS error, NOT contains(p_name, 'ring') AS timed FROM part"""
+
+
+def _prompts(spark, sf_dir):
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("example_id"), F.col("p_name").alias("prompt"))
+
+
+def _told(answers):
     return answers.select("example_id", "prediction", "error", (F.col("latency_s") > 0).alias("timed"))
+
+
+@register("udf_generate", GENERATE_SQL)
+def udf_generate(spark, sf_dir):
+    return _told(generate.generate(_prompts(spark, sf_dir), _stub_model, keep=["example_id"], concurrency=8))
+
+
+@register("udf_generate_in_flight", GENERATE_SQL)
+def udf_generate_in_flight(spark, sf_dir):
+    """Several calls of a task under way at once, each with a time limit."""
+    return _told(generate.generate(_prompts(spark, sf_dir), _stub_model, keep=["example_id"], concurrency=8, in_flight=4, limit_s=60))

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tunelake.functions.numbering import row_numbers
 from tunelake.functions.quantiles import index_quantiles
 from tunelake.operators import perf, trainlog
 from tunelake.registry.core import register
@@ -13,14 +14,16 @@ from tunelake.registry.inputs import derive, table
 from tunelake.sinks.shared import shared_dir
 from tunelake.sources.frames import frames_before_end, parse_frames
 from tunelake.sources.logs import rank_of
+from tunelake.streaming import ended, responses
 from tunelake.streaming import logs as log_stream
-from tunelake.streaming import responses
-from tunelake.streaming.run import new_path, run_to_table
+from tunelake.streaming.run import keyed_state, new_path, run_to_table
 
 # Small blocks, so that the checks cross many block borders.
 BLOCK = 1_000
 # Micro-batches of the streams.
 PARTS = 5
+FILES = 4  # of a part
+IDLE_MS = 10**9  # longer than all frames of the tables take, so requests end by their end mark alone
 
 
 def _pick(value: str, group: str, probs: dict[str, float], source: str) -> str:
@@ -110,9 +113,18 @@ def _streamed(spark, df, name, order):
     step = ((high or 0) - (low or 0)) // PARTS + 1
     for i in range(PARTS):  # a stream takes files by the time they were written
         start = (low or 0) + i * step
-        df.filter((F.col(order) >= start) & (F.col(order) < start + step)).coalesce(1).write.parquet(f"{path}/{i}")
+        df.filter((F.col(order) >= start) & (F.col(order) < start + step)).repartition(FILES).write.parquet(f"{path}/{i}")
     return (
-        spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path))
+        spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES).option("recursiveFileLookup", "true").parquet(path))
+
+
+@register("sse_ended_stream", FOLD + "SELECT true AS ended, fold.* FROM fold WHERE request_id IN (SELECT request_id FROM f WHERE is_end)", FOLDS)
+def sse_ended_stream(spark, sf_dir):
+    """One row for each request that ends, from the micro-batch with its end mark."""
+    frames = _streamed(spark, derive(spark, sf_dir, "fx_frames"), "frames", "seq")
+    rows = ended.ended_responses(frames, derive(spark, sf_dir, "fx_request_starts"), IDLE_MS)
+    with keyed_state(spark):
+        return run_to_table(rows, new_path(frames, "ended"))
 
 
 @register("sse_request_fold_stream", FOLD + "SELECT * FROM fold", FOLDS)
@@ -122,6 +134,16 @@ def sse_request_fold_stream(spark, sf_dir):
 
 
 LOGS = ("fx_log_lines",)
+
+
+def _shuffled_parts(spark, df, name):
+    """Like :func:`_streamed`, but a part holds lines from all over the table."""
+    path = f"{shared_dir(spark)}/{name}-in-{uuid.uuid4().hex}"
+    for i in range(PARTS):
+        df.filter(F.pmod(F.xxhash64("file", "line_no"), F.lit(PARTS)) == i).repartition(FILES).write.parquet(f"{path}/{i}")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES).option("recursiveFileLookup", "true").parquet(path)
+
+
 _TRAIN = r"^\[TRAIN\] step=(\d+)/(\S+) loss=(\S+) lr=(\S+)"
 _EVAL = r"^\[EVAL\] eval_loss=(\S+)"
 _HEADER = r"^=== Rank (\d+): logging session started \((.*)\) ===$"
@@ -188,3 +210,15 @@ def log_sessions_stream(spark, sf_dir):
     lines = _streamed(spark, log_lines(spark, sf_dir), "logs", "line_no")
     return log_stream.follow_phases(lines, new_path(lines, "sessions")).select(
         "file", "line_no", "session")
+
+
+@register("log_late_lines_stream", f"""WITH p AS ({PHASES}), s AS ({SESSIONS})
+SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY line_no) AS BIGINT) AS line_no, phase, phase_start, session
+FROM p JOIN s USING (file, line_no)""", LOGS)
+def log_late_lines_stream(spark, sf_dir):
+    """Phases and sessions of lines that arrive in any order; each waits for those before it."""
+    numbered = row_numbers(log_lines(spark, sf_dir), ["file", "line_no"], "n")
+    first = numbered.groupBy("file").agg(F.min("n").alias("first"))
+    numbered = numbered.join(first, "file").select("file", (F.col("n") - F.col("first") + 1).alias("line_no"), "value")
+    lines = _shuffled_parts(spark, numbered, "late-logs")
+    return log_stream.follow_phases_late(lines, new_path(lines, "late")).select("file", "line_no", "phase", "phase_start", "session")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tunelake.sinks.shared import shared_dir
 
@@ -16,6 +17,21 @@ def new_path(stream: DataFrame, name: str) -> str:
     return f"{shared_dir(stream.sparkSession)}/{name}-{uuid.uuid4().hex}"
 
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Within it, streams start with the state store that keyed state with timers needs."""
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(PROVIDER, before)
+
+
 def run_to_table(stream: DataFrame, path: str) -> DataFrame:
     """Process all available input into a parquet table and read that back.
 
@@ -47,7 +63,7 @@ def run_batches(stream: DataFrame, path: str, step: Step, *, carries: bool = Fal
         rows, carry = step(batch, before)
         rows.write.mode("overwrite").parquet(f"{path}/table/batch={number}")
         if carry is not None:
-            carry.coalesce(1).write.mode("overwrite").parquet(f"{path}/carry/{number}")
+            carry.write.mode("overwrite").parquet(f"{path}/carry/{number}")
 
     query = stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
     try:
