@@ -49,3 +49,25 @@ def test_spans_under_one_key():
         names: dict = {}
         assert [names.setdefault(int(w), len(names)) for w in which] == want
         assert all(which[i] == k for k, i in enumerate(one))
+
+
+def test_line_dedup_of_many_lines(spark):
+    """Two texts of 60,000 lines, one a copy: time in proportion to the lines."""
+    import time
+
+    from tunelake.llm import line_dedup
+
+    text = "\n".join(f"line {i}" for i in range(60_000))
+    docs = spark.createDataFrame([(1, text), (2, text + "\nlast"), (3, "line 7\nline 8\nline 9\nown")], "doc_id long, text string")
+    began = time.monotonic()
+    got = {r.doc_id: r for r in line_dedup.remove_repeated_lines(docs).collect()}
+    assert time.monotonic() - began < 30
+    assert got[1].text == text and (got[2].text, got[2].n_removed) == ("last", 60_000) and got[3].text == "own"
+
+
+def test_packing_does_not_depend_on_room_in_nodes(spark, sf_dir):
+    """Small nodes deal what they cannot hold over more nodes: few more sequences than one node needs."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    n = {rows: packing.pack_documents(docs, vocabulary, capacity=512, node_rows=rows).select("sequence_id").distinct().count() for rows in (20_000, 60)}
+    assert n[20_000] <= n[60] <= 1.03 * n[20_000]

@@ -193,9 +193,7 @@ def pack_pieces(pieces: DataFrame, capacity: int, nearly_full: int, node_rows: i
         at = place[np.searchsorted(first, pdf["_now"].to_numpy())]
         shift = offset[np.searchsorted(first, pdf["_now"].to_numpy())]
         out = pdf.assign(_now=lead[at], _shift=pdf["_shift"] + shift, _filled=np.array(filled, np.int64)[at])
-        # The emptiest go on, as many as a node holds; the others are finished as they are.
-        seats = np.argsort(np.argsort(filled, kind="stable"), kind="stable") * max(1, len(pdf) // len(filled))
-        return out.assign(_done=(out["_filled"] >= nearly_full) | (seats[at] >= node_rows))
+        return out.assign(_done=out["_filled"] >= nearly_full)
 
     open_bins = (
         packed.filter(F.col("_filled") < nearly_full).select("_bin", "_node", "_filled").distinct()
@@ -205,7 +203,11 @@ def pack_pieces(pieces: DataFrame, capacity: int, nearly_full: int, node_rows: i
     while nodes > 1:
         nodes = -(-nodes // fan_in)
         up = open_bins.withColumn("_node", (F.col("_node") / fan_in).cast("long"))
-        merged = cut(up.groupBy("_node").applyInPandas(merge, up.schema))
+        # More sequences than a node holds are dealt over several; none is finished for lack of room.
+        seats = up.groupBy("_node").agg(F.ceil(F.count("*") / node_rows).alias("_seats"))
+        seat = F.pmod(F.xxhash64("_now"), F.col("_seats")).cast("long")
+        merged = cut(up.join(seats, "_node").withColumn("_seat", seat).drop("_seats").groupBy("_node", "_seat").applyInPandas(
+            lambda pdf: merge(pdf.drop(columns="_seat")), up.schema))
         finished.append(merged.filter("_done"))
         open_bins = merged.filter("not _done")
     moved = reduce(DataFrame.unionByName, [*finished, open_bins]).select("_bin", "_now", "_shift")
