@@ -29,7 +29,7 @@ from tunelake.llm.charruns import BLANK, runs
 from tunelake.llm.rows import cut, row_key, slices, stored, text_of, worker_cache
 
 SIMPLE_END = "\u0250"  # characters below it are composed and have one lower case everywhere
-WORD_MEMORY = 300_000  # encoded words a worker remembers, dropped together when full
+WORD_MEMORY = 150_000  # encoded words a worker remembers, dropped together when full
 
 
 class WordEncoder:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import types
 import uuid
@@ -73,6 +75,13 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("_corpus_worker_cache", types.ModuleType("_corpus_worker_cache")).__dict__
 
 
+def give_back() -> None:
+    """Return memory that a worker has freed to the system: workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES):
     """(start, stop) of runs of rows with about ``limit`` bytes of text, one row at least."""
     ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
@@ -82,3 +91,4 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES):
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield start, stop
         start = stop
+    give_back()

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunelake.llm.bytewords import mix, words
-from tunelake.llm.rows import replace_columns, slices
+from tunelake.llm.rows import field_type, replace_columns, slices, stored
 from tunelake.llm.sampling import labelled_sample
 
 GRADE_SHARES = (0.02, 0.05)  # of a toxic text's words in the lexicon: grades 2 and 3
@@ -71,15 +71,6 @@ def grades_of(toxic: np.ndarray, doc: np.ndarray, feature: np.ndarray) -> np.nda
     return np.where(toxic, 1 + sum((share >= s).astype(int) for s in GRADE_SHARES), 0)
 
 
-def association(toxic: np.ndarray, doc: np.ndarray, place: np.ndarray, n_features: int) -> np.ndarray:
-    """Chi-square of each feature's presence with the label."""
-    n, n_toxic = len(toxic), int(toxic.sum())
-    bad = np.bincount(place, weights=toxic[doc], minlength=n_features)
-    seen = np.bincount(place, minlength=n_features)
-    spread = seen * (n - seen) * float(n_toxic) * (n - n_toxic)
-    return np.divide(n * (bad * n - seen * float(n_toxic)) ** 2, spread, out=np.zeros(n_features), where=spread > 0)
-
-
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
@@ -129,28 +120,48 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     n = {r["_label"]: r["n"] for r in totals.collect()}
     n_grades = len(GRADE_SHARES) + 2
 
+    def pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(_id, _row, _label, feature) without repeats, and one row without a feature for each text."""
+        for batch in batches:
+            for a, b in slices(batch.column(3)):
+                doc, feature, _ = features_of(batch.column(3)[a:b])
+                row = pa.array(np.concatenate([np.arange(a, b), a + doc]))
+                found = pa.array(np.concatenate([np.zeros(b - a, np.uint64), feature]).view(np.int64), mask=np.arange(b - a + len(doc)) < b - a)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(row) for i in range(3)), found], ["_id", "_row", "_label", "feature"])
+
+    kind = field_type(sample, "_id").simpleString()
+    rows = sample.select("_id", F.monotonically_increasing_id().alias("_row"), "_label", "_text")
+    pairs = stored(rows.mapInArrow(pairs_of, f"_id {kind}, _row long, _label int, feature long"), "toxicity-pairs")
+    size, n_toxic = pairs.filter("feature is null").agg(F.count("*"), F.sum("_label")).first()
+    size, n_toxic = float(size), float(n_toxic or 0)
+    seen, bad = F.col("seen").cast("double"), F.col("bad").cast("double")
+    spread = seen * (size - seen) * n_toxic * (size - n_toxic)
+    common = (
+        pairs.filter("feature is not null").groupBy("feature").agg(F.count("*").alias("seen"), F.sum("_label").alias("bad"))
+        .filter((F.col("seen") >= MIN_DOCUMENTS) & (spread > 0) & (size * F.pow(bad * size - seen * n_toxic, F.lit(2.0)) >= MIN_ASSOCIATION * spread)))
+    kept = pairs.filter("feature is null").unionByName(pairs.join(common.select("feature"), "feature", "left_semi"))
+
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_id").reset_index(drop=True)
-        texts = pa.array(pdf["_text"], pa.large_string())
-        parts = [(a, *features_of(texts[a:b])[:2]) for a, b in slices(texts)]
-        doc = np.concatenate([a + d for a, d, _ in parts])
-        feature = np.concatenate([f for _, _, f in parts])
-        names, place, times = np.unique(feature, return_inverse=True, return_counts=True)
-        toxic = pdf["_label"].to_numpy() == 1
-        common = (times >= MIN_DOCUMENTS) & (association(toxic, doc, place, len(names)) >= MIN_ASSOCIATION)
-        keep = common[place]
-        column = (np.cumsum(common) - 1)[place[keep]]
-        grade = grades_of(toxic, doc[keep], feature[keep])
+        docs = pdf[pdf["_whole"]].sort_values(["_id", "_row"]).reset_index(drop=True)
+        own = pdf[~pdf["_whole"]]
+        doc = pd.Series(np.arange(len(docs)), index=docs["_row"]).reindex(own["_row"]).to_numpy(np.int64)
+        names, column = np.unique(own["feature"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
+        order = np.lexsort((column, doc))
+        doc, column = doc[order], column[order]
+        toxic = docs["_label"].to_numpy() == 1
+        grade = grades_of(toxic, doc, column)
         share = {k: n[k] / max(1, int((toxic == bool(k)).sum())) for k in n}
         weight = np.where(toxic, share.get(1, 1.0), share.get(0, 1.0))
         weight = weight / weight.mean()
-        weights, thresholds = fit_ordinal(doc[keep], column, int(common.sum()), grade, weight, n_grades)
+        weights, thresholds = fit_ordinal(doc, column, len(names), grade, weight, n_grades)
         return pd.DataFrame({"kind": ["w"] * len(weights) + ["t"] * len(thresholds),
-                             "key": [*names[common].view(np.int64).tolist(), *range(len(thresholds))],
+                             "key": [*names.view(np.int64).tolist(), *range(len(thresholds))],
                              "value": [*weights, *thresholds]})
 
-    # One task: the sample is bounded by per_label.
-    fitted = sample.withColumn("_all", F.lit("all")).groupBy("_all").applyInPandas(fit, "kind string, key long, value double").toPandas()
+    # One task, which gets no text: pairs of at most 2 * per_label texts with the features kept.
+    kept = kept.select("_id", "_row", "_label", F.col("feature").isNull().alias("_whole"), F.coalesce("feature", F.lit(0)).alias("feature"))
+    fitted = kept.withColumn("_all", F.lit("all")).groupBy("_all").applyInPandas(
+        fit, "kind string, key long, value double").toPandas()
     w, t = fitted[fitted.kind == "w"], fitted[fitted.kind == "t"].sort_values("key")
     thresholds = t["value"].to_numpy() if len(t) else np.full(n_grades - 1, 35.0)
     return OrdinalModel(w["key"].to_numpy().astype(np.int64).view(np.uint64), w["value"].to_numpy(), thresholds)
