@@ -4,6 +4,7 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as contract
+from tunelake.functions.quantiles import value_counts
 from tunelake.registry.catalog import ORACLES, QUERIES
 
 
@@ -34,7 +35,9 @@ def test_results_do_not_depend_on_partitions(spark, sf_dir, duck, name):
 
 
 def test_pushdown_reaches_the_scan(spark, sf_dir):
-    plan = QUERIES["quantile_index"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    """The counts behind the quantiles, before they are checkpointed."""
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    plan = value_counts(lineitem, ["l_returnflag"], "l_extendedprice")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_extendedprice:double,l_returnflag:string>" in plan
     assert "IsNotNull(l_extendedprice)]" in plan
 

@@ -46,6 +46,15 @@ def place_of(value: Column, kind: T.DataType) -> Column:
     raise TypeError(f"numbers have index quantiles, not {kind.simpleString()}")
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys, __x, __c, __k): how often each value occurs in each group, and its place."""
+    return (
+        df.filter(reduce(and_, [F.col(c).isNotNull() for c in [*keys, value]]))
+        .groupBy(*keys, F.col(value).alias("__x")).agg(F.count(F.lit(1)).alias("__c"))
+        .withColumn("__k", place_of(F.col("__x"), df.schema[value].dataType))
+    )
+
+
 def index_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
     """One row per key: ``keys``, ``n`` and one column per entry of ``probs``.
 
@@ -54,13 +63,8 @@ def index_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     """
     keys = list(keys)
     x = F.col("__x")
-    counts = (
-        df.filter(reduce(and_, [F.col(c).isNotNull() for c in [*keys, value]]))
-        .groupBy(*keys, F.col(value).alias("__x")).agg(F.count(F.lit(1)).alias("__c"))
-        .withColumn("__k", place_of(x, df.schema[value].dataType))
-    )
     shared_dir(df.sparkSession)
-    counts = counts.checkpoint()  # read once for each level
+    counts = value_counts(df, keys, value).checkpoint()  # read once for each level
 
     def level(rows: DataFrame, shift: int, *more: str) -> DataFrame:
         return rows.groupBy(*keys, *more, F.shiftright("__k", shift).alias("__at")).agg(F.sum("__c").alias("__c"))
