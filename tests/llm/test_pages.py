@@ -23,10 +23,11 @@ def test_later_pages_speak_too(spark):
 
 def test_a_document_takes_the_mean_log_odds_of_its_pages(spark):
     good, bad = "The house is on the hill and it was built of stone by the people. " * 5, "$$ ## BUY!!! %% || "
-    docs = spark.createDataFrame([(i, good if i < 30 else bad * (i % 3 + 1)) for i in range(60)], "doc_id long, text string")
-    labels = docs.selectExpr("doc_id", "cast(doc_id < 30 as int) quality")
-    sites = [(i, "good" if i < 30 else "bad", None) for i in range(60)]
+    docs = spark.createDataFrame([(i, good if i < 30 or i == 60 else bad * (i % 3 + 1)) for i in range(61)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id < 30 or doc_id = 60 as int) quality")
+    sites = [(i, "good" if i < 30 else "bad", None) for i in range(61)]
     got = {r.doc_id: r for r in site_quality.judge_sites(docs, labels, spark.createDataFrame([*sites, (0, "bad", "p")], "doc_id long, host string, path string")).collect()}
-    assert len(got) == 60 and got[40].host_rate < got[0].host_rate < got[1].host_rate
+    assert len(got) == 61 and got[40].host_rate < got[0].host_rate < got[1].host_rate
     odds = lambda p: p / (1 - p)
-    assert odds(got[0].host_rate) ** 2 == pytest.approx(odds(got[1].host_rate) * odds(got[40].host_rate))
+    # 1 has the text of 0 and stands on the one host, 60 on the other; each is judged by the others there.
+    assert odds(got[0].host_rate) ** 2 == pytest.approx(odds(got[1].host_rate) * odds(got[60].host_rate))

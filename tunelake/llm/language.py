@@ -127,8 +127,9 @@ def fused_languages(
 
     sites  (id, host, suffix, declared), one row per page of a document; each page
            counts for its host, suffix and declaration, and a document takes the
-           mean of what its pages' hosts, suffixes and declarations say; a missing
-           row and each null part is no evidence
+           mean of what its pages' hosts, suffixes and declarations say without
+           what stands under its own id; a missing row, each null part, and a suffix
+           or declaration that no other document has are no evidence
     model  a fitted one; without it, one is fitted on the labelled documents
 
     Null and empty texts are no evidence either: such a document gets what its site
@@ -144,35 +145,49 @@ def fused_languages(
     domain = F.regexp_extract("_host", r"([^.]+\.[^.]+\.[^.]+|[^.]+\.[^.]+)$", 1)
     scored = rows.select("_id", text_scores(model, F.col("_text")).alias("_scores"))
     scored = cut(scored.withColumn("_own", softmax(F.col("_scores"))))
-    paged = cut(scored.select("_id", "_own").join(where.withColumn("_domain", F.when(F.col("_host").isNotNull(), domain)), "_id"))
     total = scored.agg(*sums_of("_own", n)).first()
     shares = np.array([x or 0.0 for x in total]) + 1.0
     shares = (shares / shares.sum()).tolist()
+    # What each document says of each of its hosts, domains, suffixes and declarations.
+    fact = lambda kind, value, above=None: F.struct(F.lit(kind).alias("_kind"), value.alias("_value"), (above if above is not None else F.lit(None).cast("string")).alias("_above"))
+    facts = where.select("_id", F.inline(F.array(
+        fact("host", F.col("_host"), domain), fact("domain", domain), fact("suffix", F.col("_suffix")), fact("declared", F.col("_declared")))))
+    facts = facts.filter("_value is not null").groupBy("_id", "_kind", "_value", "_above").agg(F.count("*").alias("_pages"))
+    per_id = scored.groupBy("_id").agg(F.count("*").alias("_rows"), *sums_of("_own", n))
+    mine = cut(facts.join(per_id, "_id").select(
+        "_id", "_kind", "_value", "_above", "_pages", (F.col("_pages") * F.col("_rows")).alias("_n0"),
+        F.array(*[F.col("_pages") * F.col(f"s{k}") for k in range(n)]).alias("_mine")))
+    groups = mine.groupBy("_kind", "_value").agg(F.sum("_n0").alias("_n"), F.array(*[F.sum(F.col("_mine")[k]) for k in range(n)]).alias("_sums"))
+    whole = {r["_kind"]: r["per"] for r in mine.groupBy("_kind").agg(F.array(*[F.sum(F.col("_mine")[k]) for k in range(n)]).alias("per")).collect()}
+    # A document's own share leaves the sums it is judged by, as its text is evidence already.
+    others = mine.join(groups, ["_kind", "_value"]).select(
+        "_id", "_kind", "_value", "_above", "_pages", (F.col("_n") - F.col("_n0")).alias("_left"),
+        F.zip_with("_sums", "_mine", lambda x, y: F.greatest(x - y, F.lit(0.0))).alias("_sums"))
+
+    def sum_of(array: Column) -> Column:
+        return F.aggregate(array, F.lit(0.0), lambda a, y: a + y)
+
+    def toward(sums: Column, above: Column) -> Column:
+        """Shares of a group, drawn toward those above it."""
+        return F.zip_with(sums, above, lambda x, y: (x + PULL * y) / (sum_of(sums) + PULL))
+
+    def likelihood(kind: str) -> Column:
+        """log P(value | language); null where no other document has the value."""
+        per = whole.get(kind, [0.0] * n)
+        drawn = sum_of(F.col("_sums")) / (sum(per) or 1.0)
+        says = F.array(*[F.log((F.col("_sums")[k] + PULL * drawn) / (per[k] + PULL)) for k in range(n)])
+        return F.when(F.col("_left") > 0, says)
 
-    def toward(groups: DataFrame, above: list[Column], name: str) -> DataFrame:
-        """Shares of each group, drawn toward ``above``."""
-        whole = sum((F.col(f"s{k}") for k in range(n)), F.lit(0.0))
-        return groups.withColumn(name, F.array(*[(F.col(f"s{k}") + PULL * above[k]) / (whole + PULL) for k in range(n)])).drop(*[f"s{k}" for k in range(n)])
-
-    def likelihood(column: str) -> DataFrame:
-        """log P(value | language) for each value of a column."""
-        groups = paged.filter(F.col(column).isNotNull()).groupBy(column).agg(*sums_of("_own", n))
-        sums = groups.agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(n)]).first()
-        per = [float(x or 0.0) for x in sums]
-        every = sum(per) or 1.0
-        whole = sum((F.col(f"s{k}") for k in range(n)), F.lit(0.0)) / every
-        return groups.select(column, F.array(*[F.log((F.col(f"s{k}") + PULL * whole) / (per[k] + PULL)) for k in range(n)]).alias(f"{column}_says"))
-
-    hosts = paged.filter("_host is not null").groupBy("_host", "_domain").agg(*sums_of("_own", n))
-    domains = toward(hosts.groupBy("_domain").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(n)]), [F.lit(x) for x in shares], "_domain_shares")
-    hosts = toward(hosts.join(domains, "_domain"), [F.col("_domain_shares")[k] for k in range(n)], "_host_shares")
     everywhere = F.array(*[F.lit(x) for x in shares])
+    domains = others.filter("_kind = 'domain'").select("_id", F.col("_value").alias("_above"), toward(F.col("_sums"), everywhere).alias("_drawn"))
+    hosts = others.filter("_kind = 'host'").join(domains, ["_id", "_above"]).select(
+        "_id", "_kind", "_pages", F.transform(toward(F.col("_sums"), F.col("_drawn")), lambda x: F.log(x)).alias("_says"))
+    rest = others.filter("_kind in ('suffix', 'declared')").select(
+        "_id", "_kind", "_pages", F.when(F.col("_kind") == "suffix", likelihood("suffix")).otherwise(likelihood("declared")).alias("_says"))
+    told = hosts.unionByName(rest).filter("_says is not null").groupBy("_id", "_kind").agg(
+        F.array(*[F.sum(F.col("_pages") * F.col("_says")[k]) / F.sum("_pages") for k in range(n)]).alias("_says"))
+    pages = told.groupBy("_id").agg(*[F.max(F.when(F.col("_kind") == kind, F.col("_says"))).alias(f"_{kind}_says") for kind in ("host", "suffix", "declared")])
     nothing = F.array(*[F.lit(0.0)] * n)
-    known = hosts.select("_host", F.transform("_host_shares", lambda x: F.log(x)).alias("_host_says"))
-    each_page = where.join(known, "_host", "left").join(likelihood("_suffix"), "_suffix", "left").join(likelihood("_declared"), "_declared", "left")
-    says = ("_host_says", "_suffix_says", "_declared_says")
-    mean = lambda c: F.array(*[F.avg(F.col(c)[k]) for k in range(n)])
-    pages = each_page.groupBy("_id").agg(*[F.when(F.count(c) > 0, mean(c)).alias(c) for c in says])
     joined = scored.join(pages, "_id", "left")
     parts = [F.col("_scores"), F.coalesce("_suffix_says", nothing), F.coalesce("_declared_says", nothing), F.coalesce("_host_says", F.transform(everywhere, lambda x: F.log(x)))]
     fused = joined.select("_id", F.array(*[sum((p[k] for p in parts), F.lit(0.0)) for k in range(n)]).alias("_fused"))

@@ -6,6 +6,8 @@ chances: a host's rate is drawn toward the global rate, a path's toward its
 host's, and the strength of each draw is what the spread between sites calls for.
 A document's posterior joins its path's rate and its own evidence, so a text that
 says little is judged by where it stands, and a sparse site by what surrounds it.
+What the document itself adds to its sites' sums is left out of the rates it is
+joined with, so nothing is counted twice.
 """
 
 from __future__ import annotations
@@ -101,8 +103,8 @@ def judge_sites(
 
     sites  (id, host, path), one row per page of a document; each page counts for
            its host and path, and a document takes the mean log odds of its pages'
-           rates; documents without a page whose host is known are judged with the
-           global rate
+           rates, from which everything under its own id is left out; documents
+           without a page whose host is known are judged with the global rate
 
     Null and empty texts are classified by their counts, which are zero. Repeated
     rows count each. Null ids have no site. Other columns are left out.
@@ -117,17 +119,23 @@ def judge_sites(
     pages = where.filter("_host is not null").withColumn("_path", F.coalesce("_path", F.lit("")))
     whole = rows.agg(F.avg("_chance")).first()[0]
     top = F.lit(float(np.clip(0.5 if whole is None else whole, 1e-6, 1 - 1e-6)))
-    paths = rows.join(pages, "_id").groupBy("_host", "_path").agg(F.count("*").alias("_n"), F.sum("_chance").alias("_s"))
+    mine = rows.join(pages, "_id").groupBy("_id", "_host", "_path").agg(F.count("*").alias("_n0"), F.sum("_chance").alias("_s0"))
+    mine = cut(mine)
+    paths = mine.groupBy("_host", "_path").agg(F.sum("_n0").alias("_n"), F.sum("_s0").alias("_s"))
     hosts = paths.groupBy("_host").agg(F.sum("_n").alias("_hn"), F.sum("_s").alias("_hs"))
     pull = strength(hosts, "_hn", "_hs", top)
-    hosts = hosts.select("_host", ((F.col("_hs") + pull * top) / (F.col("_hn") + pull)).alias("host_rate"))
-    rated = paths.join(hosts, "_host")
-    path_pull = strength(rated, "_n", "_s", F.col("host_rate"))
-    rated = rated.select("_host", "_path", "host_rate", ((F.col("_s") + path_pull * F.col("host_rate")) / (F.col("_n") + path_pull)).alias("path_rate"))
+    paths = paths.join(hosts, "_host")
+    path_pull = strength(paths, "_n", "_s", (F.col("_hs") + pull * top) / (F.col("_hn") + pull))
     base_odds = math.log(model.base / (1 - model.base))
     bounded = lambda c: F.greatest(F.least(c, F.lit(1 - 1e-9)), F.lit(1e-9))
-    mean = lambda c: 1 / (1 + F.exp(-F.avg(logit(bounded(F.col(c))))))
-    own = pages.join(rated, ["_host", "_path"]).groupBy("_id").agg(mean("host_rate").alias("host_rate"), mean("path_rate").alias("path_rate"))
+    # What a document says itself comes as evidence, so its own chances leave the sums it is judged by.
+    own_host = mine.groupBy("_id", "_host").agg(F.sum("_n0").alias("_hn0"), F.sum("_s0").alias("_hs0"))
+    others = mine.join(own_host, ["_id", "_host"]).join(paths, ["_host", "_path"])
+    rate = lambda s, s0, n, n0, k, above: (F.greatest(F.col(s) - F.col(s0), F.lit(0.0)) + k * above) / (F.col(n) - F.col(n0) + k)
+    others = others.withColumn("host_rate", rate("_hs", "_hs0", "_hn", "_hn0", pull, top))
+    others = others.withColumn("path_rate", rate("_s", "_s0", "_n", "_n0", path_pull, F.col("host_rate")))
+    mean = lambda c: 1 / (1 + F.exp(-F.sum(F.col("_n0") * logit(bounded(F.col(c)))) / F.sum("_n0")))
+    own = others.groupBy("_id").agg(mean("host_rate").alias("host_rate"), mean("path_rate").alias("path_rate"))
     out = rows.join(own, "_id", "left").select(
         F.col("_id").alias(id_col), (F.col("_odds") - base_odds).alias("evidence"),
         F.coalesce("host_rate", top).alias("host_rate"), F.coalesce("path_rate", top).alias("path_rate"))
