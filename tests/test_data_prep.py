@@ -89,6 +89,16 @@ def test_eval_window(spark, block_rows):
     assert sorted((r.idx, r.value) for r in got) == [(1, "b"), (2, "c"), (3, "d")]
 
 
+def test_eval_window_over_many_blocks(spark, tmp_path):
+    """No window over a constant key, and the scan is bound by the order column itself."""
+    lines = spark.range(1, 20_001).select(F.col("id").alias("line_no"), F.lit("x").alias("value"))
+    lines.repartitionByRange(20, "line_no").write.parquet(str(tmp_path / "lines"))
+    got = jsonl.eval_window(spark.read.parquet(str(tmp_path / "lines")), limit=5_020, start_from=5_000, block_rows=100)
+    assert sorted(r.line_no for r in got.collect()) == list(range(5_001, 5_021))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(0" not in plan and "(line_no" in plan and ">= scalar-subquery" in plan
+
+
 def messages_of(spark, *docs):
     df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "line_no long, value string")
     return chat.to_messages(jsonl.training_fields(jsonl.classify_lines(df), "line_no"))

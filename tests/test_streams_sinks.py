@@ -12,7 +12,7 @@ from tunelake.operators import execeval, generate, perf, trainlog, weights
 from tunelake.plans.evaluate import evaluate_executions, evaluate_sql, evaluate_static
 from tunelake.plans.merge import merge_adapter
 from tunelake.registry.inputs import derive
-from tunelake.sinks.records import append_new, read_records, write_document, write_records
+from tunelake.sinks.records import append_new, commit_records, committed_records, read_records, write_document, write_records
 from tunelake.sources import tensors
 from tunelake.sources.logs import read_logs
 from tunelake.streaming import ended, responses
@@ -157,6 +157,23 @@ def test_records_survive_reruns(spark, tmp_path):
     assert rows(read_records(spark, path), "idx") == [(1,), (3,)]
 
 
+def test_committed_records(spark, tmp_path):
+    """The newest commit of each run, the newest run of each key; nothing of a run that failed."""
+    path = str(tmp_path / "table")
+    commit_records(spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "idx long, v string"), path, "r1")
+    commit_records(spark.createDataFrame([(2, "new", 5), (3, "c", None)], "idx long, v string, extra int"), path, "r2")
+    broken = spark.createDataFrame([(1, "x"), (9, "y")], "idx long, v string").withColumn(
+        "v", F.when(F.col("idx") == 9, F.raise_error(F.lit("lost executor")).cast("string")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost executor"):
+        commit_records(broken, path, "r3")
+    columns = ("idx", "v", "extra", "run_id")
+    want = [(1, "a", None, "r1"), (2, "new", 5, "r2"), (3, "c", None, "r2"), (None, "n", None, "r1")]
+    assert sorted(rows(committed_records(spark, path, ["idx"]), *columns), key=str) == sorted(want, key=str)
+    commit_records(spark.createDataFrame([(2, "again")], "idx long, v string"), path, "r1")
+    want = [(2, "again", None, "r1"), (3, "c", None, "r2")]
+    assert sorted(rows(committed_records(spark, path, ["idx"]), *columns), key=str) == sorted(want, key=str)
+
+
 def test_pending_skips_readable_records_only(spark):
     todo = spark.range(10).withColumnRenamed("id", "idx")
     records = spark.createDataFrame([(2, "{}"), (3, "{oops"), (4, None), (5, '{"a": 1}')], "idx long, record string")

@@ -7,7 +7,7 @@ bounded number of columns, so one large tensor is spread over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -266,10 +266,10 @@ def delta_norm(delta: DataFrame) -> DataFrame:
     return delta.groupBy("name").agg(F.sqrt(F.sum(squares)).alias("norm"))
 
 
-def tile_values(tiles: DataFrame, col_block: int = COL_BLOCK) -> DataFrame:
-    """One row per value: (name, expert, row, col, value)."""
+def tile_values(tiles: DataFrame, col_block: int = COL_BLOCK, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per value: (name, expert, row, col, value), after the columns ``carry``."""
     return tiles.select(
-        "name", "expert", "row", "col_block", F.posexplode("values").alias("at", "value")
+        *carry, "name", "expert", "row", "col_block", F.posexplode("values").alias("at", "value")
     ).select(
-        "name", "expert", "row",
+        *carry, "name", "expert", "row",
         (F.col("col_block") * col_block + F.col("at")).cast("bigint").alias("col"), "value")

@@ -11,7 +11,7 @@ from tunelake.functions.exectext import categorize, error_line, parse_result, st
 from tunelake.operators import execeval
 from tunelake.registry.core import register
 from tunelake.registry.inputs import derive, table
-from tunelake.sinks.records import append_new, read_records, write_records
+from tunelake.sinks.records import append_new, commit_records, committed_records, read_records, write_records
 from tunelake.sinks.shared import shared_dir
 
 FX = ("fx_exec_results",)
@@ -207,3 +207,18 @@ def sink_records(spark, sf_dir):
         write_records(both.filter(F.col("side") == "base"), path, "first")
     append_new(both, path, "second", ["idx", "side"])
     return read_records(spark, path)
+
+
+@register("sink_committed", """
+SELECT idx, side, CASE WHEN side = 'base' THEN example_id ELSE upper(example_id) END AS example_id,
+  CASE WHEN side = 'base' THEN 'first' ELSE 'second' END AS run_id FROM fx_exec_results""", FX)
+def sink_committed(spark, sf_dir):
+    """All results as one run, one side again with other values as a later run, and a run that never commits."""
+    path = f"{shared_dir(spark)}/committed-{uuid.uuid4().hex}"
+    both = runs(spark, sf_dir).select("idx", "side", "example_id")
+    later = both.filter(F.col("side") != "base").withColumn("example_id", F.upper("example_id"))
+    commit_records(both.filter(F.col("side") == "base"), path, "first")
+    commit_records(both, path, "first")
+    commit_records(later, path, "second")
+    both.withColumn("example_id", F.lit("lost")).write.parquet(f"{path}/data/{uuid.uuid4().hex}")
+    return committed_records(spark, path, ["idx", "side"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tunelake.functions.loranames import ATTENTION, is_trainable, parse_adapter_key, resolve_target
 from tunelake.operators import weights
+from tunelake.plans.merge import merge_adapter
 from tunelake.registry.core import register
 from tunelake.registry.inputs import derive, table
 from tunelake.sinks.shared import shared_dir
@@ -266,3 +267,46 @@ def tensor_shard_layout(spark, sf_dir):
     return spark.read.parquet(path).groupBy(
         "shard", F.substring_index("name", "/", -1).alias("name")
     ).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.size("values")).alias("n_values"))
+
+
+# One pair over all embeddings for the tensor u; v has none, and w is not in the base. The
+# base is in twentieths, which neither double nor single precision holds exactly.
+@register("merge_adapter_values", f"""
+WITH v AS (SELECT vec_id AS row, c AS col, CAST(round(CAST(embedding[c + 1] AS DOUBLE) * 20) AS BIGINT) AS x
+  FROM (SELECT *, unnest(range(len(embedding))) AS c FROM embeddings)),
+a AS (SELECT row % {RANK} AS k, col, sum(x) AS x FROM v GROUP BY ALL),
+b AS (SELECT row, col % {RANK} AS k, sum(x) AS x FROM v GROUP BY ALL),
+d AS (SELECT b.row, a.col, CAST(sum(b.x * a.x) AS DOUBLE) * {SCALING} AS value FROM b JOIN a ON a.k = b.k GROUP BY ALL),
+merged AS (
+  SELECT 's0' AS shard, 'u.weight' AS name, v.row, v.col, CAST(v.x AS DOUBLE) / 20 + d.value AS value FROM v JOIN d ON d.row = v.row AND d.col = v.col
+  UNION ALL SELECT 's1', 'v.weight', row, col, CAST(x AS DOUBLE) / 20 FROM v)
+SELECT shard, name, row, col, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value FROM merged""")
+def merge_adapter_values(spark, sf_dir):
+    """The values that a merge writes in single precision, read back by shard."""
+    emb = table(spark, sf_dir, "embeddings").withColumn("x", F.transform("embedding", lambda e: F.round(e.cast("double") * 20)))
+    size = emb.agg(F.count(F.lit(1)).cast("int").alias("n"), F.max(F.size("x")).alias("width"))
+
+    def rows_of(fields: str, *values: tuple):
+        names = fields.split()
+        return size.select(F.inline(F.array(*[F.struct(*[F.expr(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in values])))
+
+    keys = rows_of("key dim0 dim1", *[
+        (f"'base_model.model.{t}.lora_{f}.weight'", *shape)
+        for t in ("u", "w") for f, shape in (("A", (f"{RANK}", "width")), ("B", ("n", f"{RANK}")))])
+    manifest = rows_of(
+        "name shard experts out_dim in_dim", ("'u.weight'", "'s0'", "cast(null as int)", "n", "width"), ("'v.weight'", "'s1'", "cast(null as int)", "n", "width"))
+    base_rows = emb.select(
+        F.explode(F.array(F.lit("u.weight"), F.lit("v.weight"))).alias("name"), F.lit(0).alias("expert"), F.col("vec_id").alias("row"),
+        F.transform("x", lambda v: v / 20).alias("values"))
+    both = F.explode(F.array(F.lit("u"), F.lit("w"))).alias("root")
+    a_rows = (
+        emb.select(F.pmod("vec_id", F.lit(RANK)).cast("int").alias("k"), F.posexplode("x").alias("c", "v"))
+        .groupBy("k", "c").agg(F.sum("v").alias("v")).groupBy("k").agg(F.array_sort(F.collect_list(F.struct("c", "v"))).alias("s"))
+        .select(both, F.lit("bare").alias("slot"), "k", F.col("s.v").alias("values")))
+    coeffs = F.transform(F.sequence(F.lit(0), F.lit(RANK - 1)), lambda k: F.aggregate(F.filter("x", lambda v, i: i % RANK == k), F.lit(0.0), lambda s, v: s + v))
+    b_rows = emb.select(both, F.lit("bare").alias("slot"), F.col("vec_id").alias("row"), coeffs.alias("coeffs"))
+    path = f"{shared_dir(spark)}/merged-{uuid.uuid4().hex}"
+    merge_adapter(manifest, base_rows, keys, a_rows, b_rows, SCALING, path, num_experts=EXPERTS)
+    written = spark.read.parquet(path)
+    values = weights.tile_values(written.select("shard", "name", "expert", "row", "col_block", "values"), carry=("shard",)).drop("expert")
+    return values.withColumn("value", F.col("value").cast("double"))

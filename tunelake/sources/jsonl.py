@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunelake.functions.codetext import extract_code
-from tunelake.functions.ordered import BLOCK_ROWS
+from tunelake.functions.ordered import BLOCK_ROWS, running_sum
 from tunelake.functions.pytext import is_blank, strip, text_or_empty
 from tunelake.functions.rows import select_where
 
@@ -155,17 +155,16 @@ def eval_window(
 ) -> DataFrame:
     """Number the non-blank lines from 0 and keep ``start_from <= idx < limit``.
 
-    ``limit`` of 0 means no limit. Lines are counted per block of line numbers; only
-    blocks that reach into the window leave the scan, which their first and last bound.
+    ``limit`` of 0 means no limit. Lines are counted per block of line numbers, and
+    the blocks' running sum is taken over blocks of blocks. Only the range of ``order``
+    that reaches into the window leaves the scan: its bounds are compared with the
+    column itself, so that a file's statistics can rule it out.
     """
-    block, before = "__block", "__before"
-    filled = lines.filter(~is_blank(F.col("value"))).withColumn(
-        block, F.floor(F.col(order) / F.lit(block_rows)))
-    earlier = Window.partitionBy(F.lit(0)).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        filled.groupBy(block).agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn(before, F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
-    )
+    block, before = "__at", "__before"
+    filled = lines.filter(~is_blank(F.col("value")))
+    at = F.floor(F.col(order) / F.lit(block_rows)).alias(block)
+    counts = filled.groupBy(at).agg(F.count(F.lit(1)).alias("__n"))
+    blocks = running_sum(counts, [], block, F.col("__n"), before, inclusive=False)
     reached = F.col(before) + F.col("__n") > start_from
     inside = F.col("idx") >= start_from
     if limit > 0:
@@ -173,9 +172,10 @@ def eval_window(
         inside = inside & (F.col("idx") < limit)
     in_block = F.row_number().over(Window.partitionBy(block).orderBy(order))
     within = blocks.filter(reached).drop("__n")
-    first, last = within.agg(F.min(block)).scalar(), within.agg(F.max(block)).scalar()
+    low = within.agg(F.min(block) * block_rows).scalar()
+    high = within.agg((F.max(block) + 1) * block_rows).scalar()
     return (
-        filled.filter(F.col(block).between(first, last)).join(within, block)
+        filled.filter((F.col(order) >= low) & (F.col(order) < high)).select("*", at).join(within, block)
         .withColumn("idx", F.col(before) + in_block - 1)
         .filter(inside).drop(block, before)
     )
