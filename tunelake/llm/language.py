@@ -157,7 +157,8 @@ def fused_languages(
     mine = cut(facts.join(per_id, "_id").select(
         "_id", "_kind", "_value", "_above", "_pages", (F.col("_pages") * F.col("_rows")).alias("_n0"),
         F.array(*[F.col("_pages") * F.col(f"s{k}") for k in range(n)]).alias("_mine")))
-    groups = mine.groupBy("_kind", "_value").agg(F.sum("_n0").alias("_n"), F.array(*[F.sum(F.col("_mine")[k]) for k in range(n)]).alias("_sums"))
+    # Cut, so that the join below has two plain exchanges: adaptive execution then sends the small side or splits a hot value.
+    groups = cut(mine.groupBy("_kind", "_value").agg(F.sum("_n0").alias("_n"), F.array(*[F.sum(F.col("_mine")[k]) for k in range(n)]).alias("_sums")))
     whole = {r["_kind"]: r["per"] for r in mine.groupBy("_kind").agg(F.array(*[F.sum(F.col("_mine")[k]) for k in range(n)]).alias("per")).collect()}
     # A document's own share leaves the sums it is judged by, as its text is evidence already.
     others = mine.join(groups, ["_kind", "_value"]).select(
