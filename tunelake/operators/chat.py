@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tunelake.functions.chattemplate import compile_template
 from tunelake.functions.ordered import running_sum
 from tunelake.functions.pytext import text_or_empty, truthy
 
@@ -176,10 +177,12 @@ def render(messages: Column, *, add_generation_prompt: bool = False) -> Column:
 
 
 def render_with(
-    df: DataFrame, template: Callable[[Column, Column], Column] | None = None, *, out: str = "text"
+    df: DataFrame, template: Callable[[Column, Column], Column] | str | None = None, *, out: str = "text"
 ) -> DataFrame:
-    """Render ``messages`` (and ``tools``) by a caller's template, a function of
-    the two columns such as a pandas UDF, or by the fallback."""
+    """Render ``messages`` (and ``tools``) by a caller's template, the text of a chat
+    template or a function of the two columns such as a pandas UDF, or by the fallback."""
+    if isinstance(template, str):
+        template = compile_template(template)
     text = template(F.col("messages"), F.col("tools")) if template else render(F.col("messages"))
     return df.withColumn(out, text)
 

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tunelake.functions.chattemplate import compile_template
 from tunelake.functions.pytext import text_or_empty
 from tunelake.operators import chat
 from tunelake.registry.core import register
@@ -232,6 +233,43 @@ def chat_render(spark, sf_dir):
         F.concat("text", F.lit(chat.GENERATION_PROMPT)).alias("prompt"))
 
 
+TEMPLATE = """
+{%- set known = ['system', 'user', 'assistant'] %}
+{% for m in messages %}
+    {% if m.role == 'assistant' and loop.first %}{{ raise_exception('an answer before any question') }}{% endif %}
+    {% if loop.first and m.role != 'system' %}
+<|system|>You are helpful.
+    {% endif %}
+    {% if m.role in known %}
+        {%- set body = m.content | trim if m.content is not none else '-' %}
+<|{{ m.role | upper }}|>{{ body ~ (eos_token if m.role == 'assistant' else '') }}
+        {%- if m.role == 'user' and m.content | length > 40 %} (long){% endif %}
+
+    {% else %}
+        {%- set body = 'unknown' %}
+[{{ loop.index }} of {{ loop.length }}: {{ body }}]
+    {% endif %}
+{% endfor %}
+{% if add_generation_prompt %}<|ASSISTANT|>{% endif %}
+"""
+
+
+@register("chat_render_template", MESSAGES + f""",
+told AS (SELECT *, count(*) OVER (PARTITION BY line_no) AS n FROM messages),
+segments AS (SELECT line_no, pos, pos = 0 AND role IS NOT DISTINCT FROM 'assistant' AS refused, concat(
+  CASE WHEN pos = 0 AND role IS DISTINCT FROM 'system' THEN concat('<|system|>You are helpful.', chr(10)) ELSE '' END,
+  CASE WHEN role IN ('system', 'user', 'assistant') THEN concat('<|', upper(role), '|>', coalesce({strip('content')}, '-'),
+      CASE WHEN role = 'assistant' THEN '</s>' ELSE '' END, CASE WHEN role = 'user' AND length(content) > 40 THEN ' (long)' ELSE '' END, chr(10))
+    ELSE concat('[', pos + 1, ' of ', n, ': unknown]', chr(10)) END) AS segment FROM told)
+SELECT line_no, bool_or(refused) AS refused,
+  CASE WHEN NOT bool_or(refused) THEN concat(string_agg(segment, '' ORDER BY pos), '<|ASSISTANT|>') END AS text FROM segments GROUP BY line_no""", FX)
+def chat_render_template(spark, sf_dir):
+    """A tokenizer's own template: white-space control, variables, branches, filters, loop places and refusal."""
+    template = compile_template(TEMPLATE, add_generation_prompt=True, eos_token="</s>")
+    out = chat.render_with(messages(spark, sf_dir), template)
+    return out.select("line_no", (F.col("messages").isNotNull() & F.col("text").isNull()).alias("refused"), "text")
+
+
 @register("chat_render_turns", f"""
 WITH s AS (SELECT conv_id, turn, {SEGMENT.replace('coalesce(content', 'coalesce(text').replace('CASE role', 'CASE role')} AS segment FROM fx_chat_turns)
 SELECT conv_id, turn, segment,
