@@ -223,21 +223,19 @@ def subtree(least: int, depth: int, short: int):
     """Builds one group's subtree: rows (lang, phrase, k, n) of its nodes of more than ``short`` words."""
 
     def build(blocks: pa.Table) -> pa.Table:
-        at, sizes, ids, partial, counts = 0, [], [], [], []
-        for row_sizes, wide, own, cut, n in zip(*(blocks[c].to_pylist() for c in ("sizes", "wide", "ids", "partial", "n")), strict=True):
-            sizes.append(np.frombuffer(row_sizes, "<u4").astype(np.int64))
-            local = np.frombuffer(own, "<u4" if wide else "<u2").reshape(depth, -1).astype(np.int64)
-            ids.append(np.where(local > 0, local + at, 0))
-            at += len(sizes[-1])
-            partial.append(np.frombuffer(cut, bool))
-            counts.append(np.frombuffer(n, "<u4"))
-        ends = np.cumsum(np.concatenate(sizes))
-        data = np.frombuffer(b"".join(blocks["words"].to_pylist()), np.uint8)
-        names = spans_array(data, ends - np.concatenate(sizes), ends).dictionary_encode()
+        views = lambda c, kind: [np.frombuffer(x.as_buffer(), kind) for x in blocks[c]]
+        lengths = views("sizes", "<u4")
+        sizes = np.concatenate(lengths).astype(np.int64)
+        ends = np.cumsum(sizes)
+        names = spans_array(np.concatenate(views("words", np.uint8)), ends - sizes, ends).dictionary_encode()
+        number = names.indices.to_numpy(zero_copy_only=False).astype(np.int32) + np.int32(1)
+        partial, n = np.concatenate(views("partial", bool)), np.concatenate(views("n", "<u4"))
         # Entries of all blocks under one number each, 0 still behind the end.
-        number = np.concatenate([[0], names.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1])
-        ids = number[np.concatenate(ids, axis=1)]
-        partial, n = np.concatenate(partial), np.concatenate(counts).astype(np.float64)
+        ids, at, row = np.zeros((depth, len(n)), np.int32), 0, 0
+        for own, wide, x in zip(lengths, blocks["wide"].to_pylist(), blocks["ids"], strict=True):
+            local = np.frombuffer(x.as_buffer(), "<u4" if wide else "<u2").reshape(depth, -1)
+            ids[:, row:row + local.shape[1]] = np.concatenate([[0], number[at:at + len(own)]]).astype(np.int32)[local]
+            at, row = at + len(own), row + local.shape[1]
         lang, word = split_entries(names.dictionary)
         root, node = np.unique(ids[0], return_inverse=True)
         phrase, lang = word.take(pa.array(root - 1)), lang.take(pa.array(root - 1))
