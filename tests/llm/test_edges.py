@@ -1,11 +1,13 @@
 """Every operator on nulls, empty and long texts, repeated rows, clashing columns and empty tables."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
 import corpus_pipeline
-from tunelake.llm import decontaminate, katz, language, line_dedup, ngram_join, packing, site_quality, token_counts, toxicity, weak_rules
+from tunelake.llm import backoff, decontaminate, katz, language, line_dedup, ngram_join, packing, site_quality, token_counts, toxicity, weak_rules
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 LONG = " ".join(f"w{i}x" for i in range(30_000)) + "\n" + "z" * 50_000
@@ -85,6 +87,23 @@ def test_language_model(docs):
         assert all(r.score < 0 and r.base_score < 0 for r in got.values())
 
 
+@pytest.mark.parametrize("seen", ["all but one", "none"])
+def test_backoff_model(docs, seen):
+    """The model of the query: clashing names, no rows to learn from, a text of 30,001 words, nulls and repeats."""
+    clashing = docs.withColumns({c: F.lit("other") for c in ("score", "base_score", "n_known", "gram", "key", "part", "n", "context")})
+    model = backoff.train_backoff(clashing.filter("doc_id is null or doc_id <> 8" if seen != "none" else "false"))
+    out = backoff.score_backoff(clashing, model)
+    assert out.count() == docs.count()
+    rows = out.collect()
+    got = {r.doc_id: r for r in rows}
+    if docs.count():
+        assert (got[1].n_tokens, got[4].n_tokens) == (1, 30_002)
+        # Where nothing was learnt, every token has the chance 1: c, N and V are 0.
+        assert all((r.score < 0 and r.base_score < 0) if seen != "none" else (r.n_known, r.base_score) == (0, 0) for r in rows)
+        assert all(math.isfinite(r.score) for r in rows)
+        assert seen == "none" or (got[8].n_known, got[1].n_known) == (1, 1)
+
+
 def test_site_quality(docs, labels, sites):
     out = site_quality.judge_sites(docs, labels, sites)
     assert out.count() == docs.count()
