@@ -327,6 +327,15 @@ def test_reconciled_names_cover_the_base(spark):
         ("c.linear.weight", "kept"), ("d.buffer", "copied"), ("new.weight", "kept")], key=str)
 
 
+def test_names_are_never_broadcast(spark, sf_dir):
+    """Tables of names are merged, at any size: the planner thinks millions of them small."""
+    base, saved = derive(spark, sf_dir, "fx_base_tensors"), derive(spark, sf_dir, "fx_saved_names")
+    reconciled = weights.reconcile_names(saved, base)
+    pairs = weights.lora_pairs(weights.adapter_factors(derive(spark, sf_dir, "fx_adapter_keys")))
+    for made in (reconciled, weights.match_pairs(pairs, base, 8)):
+        assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("pct, verdict", [(1.0, "ok"), (60.0, "fail")])
 def test_trainable_share(spark, pct, verdict):
     base = spark.createDataFrame(

@@ -65,7 +65,7 @@ def match_pairs(
     The adapter's own ``rank`` sets the scale, whatever the shape says; given
     here, ``rank_differs`` marks the pairs whose shape disagrees with it.
     """
-    tensors = base.select(F.col("name").alias("target"), "shard", "experts", "out_dim", "in_dim")
+    tensors = base.select(F.col("name").alias("target"), "shard", "experts", "out_dim", "in_dim").hint("merge")
     status = (
         F.when(~is_complete(), "incomplete")
         .when(F.col("shard").isNull(), "target_missing")
@@ -87,7 +87,7 @@ def outcomes(matched: DataFrame) -> DataFrame:
 def unapplied(pairs: DataFrame, base: DataFrame, k: int = 10) -> DataFrame:
     """First ``k`` complete pairs without a base tensor, and how many there are."""
     complete = pairs.filter(is_complete())
-    names = base.select(F.col("name").alias("target"))
+    names = base.select(F.col("name").alias("target")).hint("merge")
     missing = complete.join(names, "target", "left_anti")
     total = missing.agg(F.count(F.lit(1)).alias("n")).scalar()
     return missing.orderBy("target", "slot").limit(k).select("target", "root", "slot").withColumn(
@@ -120,10 +120,14 @@ def trainable_share(
 
 def reconcile_names(saved: DataFrame, base: DataFrame) -> DataFrame:
     """Saved names brought back to the base's: renamed where only the nested form
-    exists there, kept otherwise, and every base name still missing copied."""
+    exists there, kept otherwise, and every base name still missing copied.
+
+    Names are made from narrower columns, so the planner takes tables of millions of them
+    for small enough to broadcast; they are merged instead, which holds a part at a time.
+    """
     names = base.select("name").distinct()
-    flat = names.select("name", F.lit(True).alias("__flat"))
-    nested = names.select(F.col("name").alias("__nested"), F.lit(True).alias("__is_nested"))
+    flat = names.select("name", F.lit(True).alias("__flat")).hint("merge")
+    nested = names.select(F.col("name").alias("__nested"), F.lit(True).alias("__is_nested")).hint("merge")
     rename = F.col("__flat").isNull() & F.col("__is_nested").isNotNull()
     fixed = (
         saved.select("name").withColumn("__nested", nested_name(F.col("name")))
@@ -133,7 +137,7 @@ def reconcile_names(saved: DataFrame, base: DataFrame) -> DataFrame:
             F.when(rename, F.col("__nested")).otherwise(F.col("name")).alias("name"),
             F.when(rename, "renamed").otherwise("kept").alias("action"))
     )
-    copied = names.join(fixed.select("name"), "name", "left_anti").select(
+    copied = names.join(fixed.select("name").hint("merge"), "name", "left_anti").select(
         F.lit(None).cast("string").alias("saved_name"), "name", F.lit("copied").alias("action"))
     return fixed.unionByName(copied)
 
