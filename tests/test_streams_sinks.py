@@ -332,7 +332,7 @@ def test_names_are_never_broadcast(spark, sf_dir):
     base, saved = derive(spark, sf_dir, "fx_base_tensors"), derive(spark, sf_dir, "fx_saved_names")
     reconciled = weights.reconcile_names(saved, base)
     pairs = weights.lora_pairs(weights.adapter_factors(derive(spark, sf_dir, "fx_adapter_keys")))
-    for made in (reconciled, weights.match_pairs(pairs, base, 8)):
+    for made in (reconciled, weights.reconcile_counts(reconciled), weights.match_pairs(pairs, base, 8), weights.unapplied(pairs, base)):
         assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
 
 
