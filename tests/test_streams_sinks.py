@@ -4,6 +4,7 @@ import json
 import os
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -86,6 +87,59 @@ def test_rows_come_out_when_requests_end(spark, tmp_path):
     assert got[3] | got[4] == {(3, False, None, 40, 44_997), (4, True, None, 1, None)}
 
 
+class Handle:
+    """A state store of one key, as a processor sees it."""
+
+    def __init__(self):
+        self.value, self.timers = None, []
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.append(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.timers.remove(at)
+
+
+class Now(int):
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return int(self)
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs  # noqa: N815
+
+
+def test_many_requests_are_folded_in_one_call():
+    """A call serves a bucket of requests with one timer; each ends or is given up by itself."""
+    def frames(*rows):
+        return iter([pd.DataFrame(rows, columns=["request_id", "seq", "recv_us", "is_end", "has_content", "usage_tokens"])])
+
+    handle, processor = Handle(), ended.EndedResponses(1_000)
+    processor.init(handle)
+    text = [(i, 0, 1_000 * i, False, True, None) for i in range(500)]
+    assert list(processor.handleInputRows((0,), frames(*text), Now(0))) == [] and handle.timers == [1_001]
+    ends = [(i, 1, 600_000, True, False, None) for i in range(0, 500, 2)]
+    [got] = processor.handleInputRows((0,), frames(*ends), Now(0))
+    assert sorted(got["request_id"]) == list(range(0, 500, 2)) and set(got["completion_tokens"]) == {1} and got["ended"].all()
+    assert list(got.sort_values("request_id")["content_us"]) == [1_000 * i for i in range(0, 500, 2)] and handle.timers == [1_002]
+    handle.timers = []
+    [given_up] = processor.handleExpiredTimer((0,), Now(1_301), Now(1_002))
+    assert sorted(given_up["request_id"]) == list(range(1, 300, 2)) and not given_up["ended"].any() and handle.timers == [1_302]
+
+
 def test_shuffled_log_parts_give_the_batch_result(spark, sf_dir, tmp_path):
     """One file holds most lines; parts come in any order, some lines twice, and one never."""
     raw = derive(spark, sf_dir, "fx_log_lines").withColumn("file", F.when(F.col("line_no") % 10 > 0, "train.log").otherwise(F.col("file")))
