@@ -4,12 +4,14 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tunelake.llm import backoff, katz, queries
+from tunelake.sinks.shared import shared_dir
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -71,6 +73,32 @@ def check(docs, got, order):
         assert got[i].score == pytest.approx(sum(math.log10(chance(t[max(0, j - order + 1):j + 1])) for j in range(1, len(t))), rel=1e-6)
 
 
+@pytest.mark.parametrize("order", [3, 4])
+def test_training_texts_sent_once_or_twice(spark, sf_dir, monkeypatch, order):
+    """Longer n-grams, parts of frequent words cut, and texts marked as those of training, which are then sent once."""
+    monkeypatch.setattr(backoff, "PART_TOKENS", 1_000)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = backoff.train_backoff(docs.filter(~katz.held_out("doc_id")), order=order, hot=300)
+    assert len(model.split)
+    got = backoff.score_backoff(docs, model, trained=~katz.held_out("doc_id")).collect()
+    check(docs, {r.doc_id: r for r in got}, order)
+    again = {r.doc_id: r for r in backoff.score_backoff(docs, model).collect()}
+    assert all(again[r.doc_id].score == pytest.approx(r.score, abs=1e-6) and again[r.doc_id][:3] == r[:3] for r in got)
+
+
+def test_little_is_stored_and_sent(spark, sf_dir):
+    """The shared folder holds less than the input, and a token goes to its part in a few bytes."""
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    stored = lambda: sum(p.stat().st_size for p in shared.rglob("*.parquet"))
+    path, before = f"{sf_dir}/documents.parquet", stored()
+    docs = spark.read.parquet(path)
+    model = backoff.train_backoff(docs)
+    backoff.score_backoff(docs, model).collect()
+    assert 0 < stored() - before < Path(path).stat().st_size
+    sent = backoff.training_blocks(model.rows, model.sent()).agg(F.sum(F.length("data"))).first()[0]
+    assert sent < 8 * model.train_tokens
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (None, "a b c"), (2, ""), (2, ""), (3, " \n "), (4, " ".join(f"w{i}" for i in range(9_000))), (8, "never seen")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -101,7 +101,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = backoff.train_backoff(docs.filter(~katz.held_out("doc_id")))
-    return backoff.score_backoff(docs, model).withColumn("held_out", katz.held_out("doc_id")).withColumn(
+    return backoff.score_backoff(docs, model, trained=~katz.held_out("doc_id")).withColumn("held_out", katz.held_out("doc_id")).withColumn(
         "train_tokens", F.lit(model.train_tokens).cast("long"))
 
 
