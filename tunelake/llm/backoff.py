@@ -37,10 +37,9 @@ from tunelake.llm.rows import give_back, row_key, slices, stored
 ORDER = 3
 HOT = 1 << 19  # most frequent words, known to every task
 PART_TOKENS = 3_000_000  # training tokens behind one part
-PIECES = 4  # in which a part is fitted, one after the other, to hold less at once
+PIECES = 8  # in which a part is fitted, one after the other, to hold less at once
 CHUNK = 1 << 19  # tokens sorted into blocks at once
 UNIT = 1e9  # of the sums that come back
-BITS = np.uint64(21)  # of a word's number within a chunk
 TOP = np.uint64(1 << 63)  # marks the hash of a word that has no number
 START = np.uint64(1 << 62)
 NONE = np.uint64((1 << 62) + 1)  # what stands before the start
@@ -163,53 +162,53 @@ def found_at(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == x, at, -1)
 
 
-def codes_of(tokens: np.ndarray, m: Backoff) -> np.ndarray:
-    """A word's number, or its marked hash where it has none."""
-    found = pa.array(tokens | TOP).dictionary_encode()
-    words = found.dictionary.to_numpy()
-    at = found_at(m.hashes, words)
-    codes = np.where(at >= 0, m.ids[at], words) if len(m.ids) else words
-    return codes[found.indices.to_numpy()]
+def grams_of(texts: pa.Array, m: Backoff) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """All codes in order; by place among them the word before each token, its own and those further before; each text's first token and the end.
 
-
-def grams_of(texts: pa.Array, m: Backoff) -> tuple[list[np.ndarray], np.ndarray]:
-    """Of each token the codes of the word before it, its own and those of the words further before, and each text's first token and the end.
-
-    A text's first word follows the start; no longer n-gram begins before it.
+    A word's code is its number, or its marked hash where it has none. A text's first
+    word follows the start; no longer n-gram begins before it.
     """
     tokens, first = tokens_of(texts)
-    code = codes_of(tokens, m)
+    found = pa.array(tokens | TOP).dictionary_encode()
+    words = found.dictionary.to_numpy()
+    at = found_at(m.hashes, words)
+    codes = np.append(np.where(at >= 0, m.ids[at], words) if len(m.ids) else words, [START, NONE])
+    order = np.argsort(codes)
+    number = np.empty(len(codes), np.uint64)
+    number[order] = np.arange(len(codes), dtype=np.uint64)
+    code = number[found.indices.to_numpy()]
     place = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
     out = []
     for k in range(1, m.order):
-        before = np.full(len(code), NONE)
+        before = np.full(len(code), number[-1])
         before[k:] = code[:-k]
-        before[place == k - 1] = START
-        before[place < k - 1] = NONE
+        before[place == k - 1] = number[-2]
+        before[place < k - 1] = number[-1]
         out.append(before)
-    return [out[0], code, *out[1:]], first
+    return codes[order], [out[0], code, *out[1:]], first
 
 
-def parts_of(columns: list[np.ndarray], m: Backoff) -> np.ndarray:
+def parts_of(codes: np.ndarray, columns: list[np.ndarray], m: Backoff) -> np.ndarray:
     """The part of each token: that of the word before it, cut by the one before that where it is very frequent."""
-    part = mix(columns[0]) % np.uint64(m.parts)
-    at = np.flatnonzero(columns[0] < np.uint64(len(m.split)))
+    mixed, n_parts = mix(codes), np.uint64(m.parts)
+    part = (mixed % n_parts)[columns[0]]
+    at = np.flatnonzero(columns[0] < np.uint64(np.searchsorted(codes, np.uint64(len(m.split)))))
     if len(at):
-        part[at] = (part[at] + mix(columns[2][at]) % m.split[columns[0][at]]) % np.uint64(m.parts)
+        part[at] = (part[at] + mixed[columns[2][at]] % m.split[codes[columns[0][at]].astype(np.int64)]) % n_parts
     return part
 
 
-def blocks_of(columns: list[np.ndarray], part: np.ndarray, n_parts: int, owner: np.ndarray | None = None) -> Iterator[tuple[int, bytes]]:
+def blocks_of(codes: np.ndarray, columns: list[np.ndarray], part: np.ndarray, n_parts: int, owner: np.ndarray | None = None) -> Iterator[tuple[int, bytes]]:
     """For each part the distinct rows of codes in order, how often each occurs, and the owners of all."""
+    bits = len(codes).bit_length()
     for start in range(0, len(part), CHUNK):
         own = [c[start:start + CHUNK] for c in columns]
-        codes, local = numbered(np.concatenate(own))
-        local = local.reshape(len(own), -1)
-        key, used = local[0], 1
-        for x in local[1:]:
-            if used == 3:
-                key, used = np.unique(key, return_inverse=True)[1].astype(np.uint64), 1
-            key, used = key << BITS | x, used + 1
+        key, width = own[0], bits
+        for x in own[1:]:
+            if width + bits > 64:
+                values, key = distinct(key)
+                key, width = key.astype(np.uint64), len(values).bit_length()
+            key, width = key << np.uint64(bits) | x, width + bits
         deal = part[start:start + CHUNK].astype(np.uint16 if n_parts < 1 << 16 else np.int64)
         order = np.argsort(key)
         order = order[np.argsort(deal[order], kind="stable")]
@@ -217,44 +216,53 @@ def blocks_of(columns: list[np.ndarray], part: np.ndarray, n_parts: int, owner:
         for i in range(n_parts):
             at = order[bounds[i]:bounds[i + 1]]
             if len(at):
-                begin = np.flatnonzero(np.append(True, key[at[1:]] != key[at[:-1]]))
-                sizes = np.diff(begin, append=len(at))
-                used_codes, rows = numbered(local[:, at[begin]].ravel())
+                sorted_key = key[at]
+                begin = np.flatnonzero(np.append(True, sorted_key[1:] != sorted_key[:-1]))
+                used, rows = numbered(np.concatenate([c[at[begin]] for c in own]))
                 rows = rows.reshape(len(own), -1)
                 yield i, packed(
-                    np.diff(codes[used_codes], prepend=np.uint64(0)), np.diff(rows[0], prepend=np.uint64(0)), *rows[1:], sizes - 1,
+                    np.diff(codes[used], prepend=np.uint64(0)), np.diff(rows[0], prepend=np.uint64(0)), *rows[1:], np.diff(begin, append=len(at)) - 1,
                     *([] if owner is None else [owner[start:start + CHUNK][at]]))
 
 
 class Block(NamedTuple):
-    columns: list[np.ndarray]  # places among the codes
-    sizes: np.ndarray
+    place: np.ndarray  # of the block's codes among all
+    columns: list[np.ndarray]  # places among the block's codes
+    more: np.ndarray  # how often each row occurs, less one
     owner: np.ndarray | None
 
+    def sums_of(self, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Sums of these rows' values over the block's owners."""
+        inside = np.zeros(len(self.more), bool)
+        inside[rows] = True
+        own = self.owner[np.repeat(inside, self.more.astype(np.int32) + 1)]
+        return np.bincount(own, weights=np.repeat(values, self.more[rows].astype(np.int32) + 1), minlength=int(self.owner.max()) + 1)
+
 
 def read_blocks(data: list[bytes], k: int, *more: np.ndarray) -> tuple[np.ndarray, list[Block]]:
     """All codes in order, those in ``more`` too, and the blocks."""
-    found = [unpacked(x) for x in data]
-    own = [np.cumsum(x[0], dtype=np.uint64) for x in found]
-    codes = np.unique(np.concatenate([np.zeros(0, np.uint64), *more, *own]))
-    places = (np.searchsorted(codes, x).astype(np.int32) for x in own)
-    return codes, [
-        Block([place[np.cumsum(x[1], dtype=np.int32)], *(place[c] for c in x[2:k + 1])], x[k + 1].astype(np.int32) + 1, x[k + 2] if len(x) > k + 2 else None)
-        for place, x in zip(places, found, strict=True)]
+    blocks = []
+    for x in data:
+        own, first, *rest = unpacked(x)
+        first = np.cumsum(first, dtype=np.min_scalar_type(len(own)))
+        blocks.append(Block(np.cumsum(own, dtype=np.uint64), [first, *rest[:k - 1]], rest[k - 1], rest[k] if len(rest) > k else None))
+    codes = np.unique(np.concatenate([np.zeros(0, np.uint64), *more, *(b.place for b in blocks)]))
+    return codes, [b._replace(place=np.searchsorted(codes, b.place).astype(np.int32)) for b in blocks]
 
 
 def pieces_of(codes: np.ndarray, *groups: list[Block]) -> Iterator[tuple[np.ndarray, ...]]:
     """Of each piece which codes are in it, and each block's rows: all that follow the same word are in one."""
     piece = ((mix(codes) >> np.uint64(40)) % np.uint64(PIECES)).astype(np.uint8)
+    own = [[piece[b.place][b.columns[0]] for b in blocks] for blocks in groups]
     for i in range(PIECES):
-        yield piece == i, *([np.flatnonzero(piece[b.columns[0]] == i) for b in blocks] for blocks in groups)
+        yield piece == i, *([np.flatnonzero(x == i) for x in pieces] for pieces in own)
 
 
 def rows_of(blocks: list[Block], rows: list[np.ndarray], k: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The columns of these rows of all blocks, and how often each row occurs."""
+    """The columns of these rows of all blocks, as places among all codes, and how often each row occurs."""
     none = np.zeros(0, np.int32)
-    columns = [np.concatenate([none, *(b.columns[i][at] for b, at in zip(blocks, rows, strict=True))]) for i in range(k)]
-    return columns, np.concatenate([none, *(b.sizes[at] for b, at in zip(blocks, rows, strict=True))])
+    columns = [np.concatenate([none, *(b.place[b.columns[i][at]] for b, at in zip(blocks, rows, strict=True))]) for i in range(k)]
+    return columns, np.concatenate([none, *(b.more[at].astype(np.int32) + 1 for b, at in zip(blocks, rows, strict=True))])
 
 
 def longer(at: np.ndarray, x: np.ndarray, rows: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -265,22 +273,11 @@ def longer(at: np.ndarray, x: np.ndarray, rows: np.ndarray, codes: np.ndarray) -
 
 def training_blocks(rows: DataFrame, m: Backoff) -> DataFrame:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def made() -> pa.RecordBatch:
-            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-            parts, data = zip(*blocks_of(columns, parts_of(columns, m), m.parts), strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(data, pa.binary())], ["part", "data"])
-
         for batch in batches:
             for a, b in slices(batch.column(0), SLICE_BYTES):
-                columns, _ = grams_of(batch.column(0)[a:b], m)
-                held, size = [*held, columns], size + len(columns[0])
-                if size >= CHUNK // 2:
-                    yield made()
-                    held, size = [], 0
-        if size:
-            yield made()
+                codes, columns, _ = grams_of(batch.column(0)[a:b], m)
+                parts, data = zip(*blocks_of(codes, columns, parts_of(codes, columns, m), m.parts), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(data, pa.binary())], ["part", "data"])
 
     return rows.select("_text").mapInArrow(gather, COUNTED)
 
@@ -444,18 +441,17 @@ def score_backoff(docs: DataFrame, model: Backoff, id_col: str = "doc_id", text_
                 number += 1
                 own_slice = int.from_bytes(blake2b(f"{place} {number} ".encode() + docs.tobytes(), digest_size=8).digest(), "little", signed=True)
                 in_training = batch.column(3)[a:b].to_numpy(zero_copy_only=False).astype(bool)
-                columns, first = grams_of(batch.column(2)[a:b], m)
-                owner, code = np.repeat(np.arange(b - a), np.diff(first)), columns[1]
-                known = np.flatnonzero(code < TOP)
+                codes, columns, first = grams_of(batch.column(2)[a:b], m)
+                owner, code = np.repeat(np.arange(b - a), np.diff(first)), codes[columns[1]]
+                known, rare = np.flatnonzero(code < TOP), np.flatnonzero(code >= TOP)
                 count = m.counts[code[known].astype(np.int64)] if len(known) else np.zeros(0)
                 base = np.bincount(owner[known], weights=np.log10(count + 1), minlength=b - a)
                 sums = np.column_stack([np.diff(first), np.bincount(owner[known], minlength=b - a), np.rint(base * UNIT)]).astype(np.int64)
                 rows = [(own_slice % m.parts, 0, docs.tobytes(), sums.tobytes())]
-                rare = np.flatnonzero(code >= TOP)
-                rows += [(i, 1, b"", x) for i, x in blocks_of([code[rare]], mix(code[rare]) % np.uint64(m.parts), m.parts, owner[rare])]
-                part, kinds = parts_of(columns, m), in_training[owner]
+                rows += [(i, 1, b"", x) for i, x in blocks_of(codes, [columns[1][rare]], mix(code[rare]) % np.uint64(m.parts), m.parts, owner[rare])]
+                part, kinds = parts_of(codes, columns, m), in_training[owner]
                 for kind, at in ((2, np.flatnonzero(kinds)), (3, np.flatnonzero(~kinds))):
-                    rows += [(i, kind, b"", x) for i, x in blocks_of([c[at] for c in columns], part[at], m.parts, owner[at])]
+                    rows += [(i, kind, b"", x) for i, x in blocks_of(codes, [c[at] for c in columns], part[at], m.parts, owner[at])]
                 parts, kind, keys, data = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([own_slice] * len(rows)), pa.array(parts, pa.int32()), pa.array(kind, pa.int32()), pa.array(keys, pa.binary()), pa.array(data, pa.binary())],
@@ -484,10 +480,9 @@ def score_backoff(docs: DataFrame, model: Backoff, id_col: str = "doc_id", text_
         """Each block's sums per document, from the part's n-grams or counts of words."""
         out = []
 
-        def put(own_slice: int, block: Block, *values: np.ndarray) -> None:
-            owners, own = np.unique(block.owner, return_inverse=True)
-            sums = (np.bincount(own, weights=np.repeat(x, block.sizes), minlength=len(owners)) for x in values)
-            out.append((own_slice, len(values), b"", packed(owners, *(signed(np.rint(x).astype(np.int64)) for x in sums))))
+        def put(own_slice: int, *sums: np.ndarray) -> None:
+            owners = np.flatnonzero(np.any([x != 0 for x in sums], axis=0))
+            out.append((own_slice, len(sums), b"", packed(owners, *(signed(np.rint(x[owners]).astype(np.int64)) for x in sums))))
 
         rows = {k: own for k, own in blocks.groupby("kind")}
         none = blocks[:0]
@@ -500,23 +495,25 @@ def score_backoff(docs: DataFrame, model: Backoff, id_col: str = "doc_id", text_
             at = found_at(word, codes)
             n = np.where(at >= 0, count[at], 0) if len(word) else np.zeros(len(at), np.int64)
             n = n[block.columns[0]]
-            put(own_slice, block, n > 0, np.log10(n + 1) * UNIT, m.log_p1(n) * UNIT)
+            put(own_slice, *(block.sums_of(np.arange(len(n)), x) for x in (n > 0, np.log10(n + 1) * UNIT, m.log_p1(n) * UNIT)))
         trained = pd.concat([rows.get(2, none), rows.get(4, none)])
         others = rows.get(3, none)
         pairs = table[table["kind"] == 2]
         first = pairs["a"].to_numpy(np.int64).view(np.uint64)
         codes, all_blocks = read_blocks([*trained["data"], *others["data"]], m.order, first, pairs["b"].to_numpy(np.int64).view(np.uint64))
-        values = [np.zeros(len(x.sizes)) for x in all_blocks]
         own, other = all_blocks[:len(trained)], all_blocks[len(trained):]
+        sums = [0.0] * len(all_blocks)
         for inside, at, other_at in pieces_of(codes, own, other):
             f = fitted(codes, *rows_of(own, at, m.order), pairs[inside[np.searchsorted(codes, first)]], m)
-            found = f.values, evaluated(codes, rows_of(other, other_at, m.order)[0], f, m)
-            ends = np.cumsum([len(x) for x in at + other_at], dtype=int)
-            for to, x, value in zip(values, at + other_at, np.split(np.concatenate(found), ends)[:-1], strict=True):
-                to[x] = value
-        for own_slice, block, value in zip([*trained["slice"], *others["slice"]], all_blocks, values, strict=True):
+            found = np.append(f.values, evaluated(codes, rows_of(other, other_at, m.order)[0], f, m)) * UNIT
+            begin = 0
+            for i, (block, x) in enumerate(zip(all_blocks, at + other_at, strict=True)):
+                if block.owner is not None:
+                    sums[i] = sums[i] + block.sums_of(x, found[begin:begin + len(x)])
+                begin += len(x)
+        for own_slice, block, x in zip([*trained["slice"], *others["slice"]], all_blocks, sums, strict=True):
             if block.owner is not None:
-                put(own_slice, block, value * UNIT)
+                put(own_slice, x)
         give_back()
         return pd.DataFrame(out, columns=["slice", "kind", "docs", "data"])
 
