@@ -36,8 +36,8 @@ from tunelake.llm.rows import give_back, row_key, slices, stored
 
 ORDER = 3
 HOT = 1 << 19  # most frequent words, known to every task
-PART_TOKENS = 3_000_000  # training tokens behind one part
-PIECES = 8  # in which a part is fitted, one after the other, to hold less at once
+PART_TOKENS = 2_000_000  # training tokens behind one part
+PIECES = 4  # in which a part is fitted, one after the other, to hold less at once
 CHUNK = 1 << 19  # tokens sorted into blocks at once
 UNIT = 1e9  # of the sums that come back
 TOP = np.uint64(1 << 63)  # marks the hash of a word that has no number
